@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only a side whose size is checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default bound for a dimension that is broadcast: 200k rows of a handful of
+# columns stay well under the broadcast limit of an executor.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a checked-small side; otherwise leave the choice to
+    the planner (sort-merge join, or a runtime broadcast chosen by AQE)."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
