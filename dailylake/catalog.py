@@ -131,3 +131,303 @@ def perf_rolling_range(spark, sf_dir):
 def perf_country_daily(spark, sf_dir):
     g = _gold(spark, sf_dir)
     return P.country_daily(g.fact(), g.dim_location())
+
+
+# ---- sources and silver ---------------------------------------------------------------
+
+from dailylake.functions.coerce import nan_to_null, to_int  # noqa: E402
+from dailylake.operators import flatten as FL  # noqa: E402
+from dailylake.operators import load as LD  # noqa: E402
+from dailylake.operators import quality as Q  # noqa: E402
+from dailylake.operators.dedup import duplicate_groups, duplicate_members, keep_last  # noqa: E402
+from dailylake.plans import pipeline as PL  # noqa: E402
+from dailylake.schemas import SILVER_DAILY, SILVER_LOCATIONS, STG_DAILY_COLUMNS  # noqa: E402
+from dailylake.sources import bronze as B  # noqa: E402
+from dailylake.sources import silver as S  # noqa: E402
+from dailylake.sources.registry import validate_registry  # noqa: E402
+from dailylake.sources.tables import observations  # noqa: E402
+from dailylake.session import scratch_path  # noqa: E402
+
+SILVER_DAILY_COLS = [f.name for f in SILVER_DAILY.fields]
+SILVER_LOCATION_COLS = [f.name for f in SILVER_LOCATIONS.fields]
+
+# Range rules in price units (the weather defaults are -80..60 degrees).
+PRICE_QUALITY = Q.QualityConfig(temp_min_c=5000.0, temp_max_c=495000.0)
+# The backfill gate only has to pass on valid prices.
+PRICE_GATE = Q.QualityConfig(temp_min_c=0.0, temp_max_c=1e9)
+# Freshness is judged against this reference time (a parameter of the check).
+FRESHNESS_NOW = "2001-08-04 00:00:00"
+
+
+def _tables(spark, sf_dir) -> Tables:
+    configure(spark)
+    return Tables(spark, sf_dir)
+
+
+def _envelopes(t: Tables) -> DataFrame:
+    return B.build_envelopes(t.obs(), t.registry())
+
+
+def _order_envelopes(t: Tables) -> DataFrame:
+    return B.build_envelopes(t.order_obs(), t.registry())
+
+
+def _silver_daily_out(df: DataFrame) -> DataFrame:
+    return _ntz(df.select(*SILVER_DAILY_COLS), "ingested_at")
+
+
+def _day_silver(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Silver daily and locations for every day, built from in-memory envelopes."""
+    env = _envelopes(t)
+    return FL.silver_daily(env), FL.silver_locations(env)
+
+
+@query
+def src_registry(spark, sf_dir):
+    return validate_registry(_tables(spark, sf_dir).registry())
+
+
+@query
+def silver_daily(spark, sf_dir):
+    return _silver_daily_out(_day_silver(_tables(spark, sf_dir))[0])
+
+
+@query
+def silver_locations(spark, sf_dir):
+    return _ntz(_day_silver(_tables(spark, sf_dir))[1].select(*SILVER_LOCATION_COLS), "ingested_at")
+
+
+@query
+def silver_dedup(spark, sf_dir):
+    """Re-delivered observations: keep the last delivery per (location, day)."""
+    t = _tables(spark, sf_dir)
+    daily = FL.silver_daily(_order_envelopes(t))
+    return _silver_daily_out(keep_last(daily, ["location_id", "date"], ["ingested_at"]))
+
+
+@query
+def scalar_nan_to_null(spark, sf_dir):
+    ev = _tables(spark, sf_dir).events.select("event_id", "value", "props")
+    out = nan_to_null(ev, ["value"])
+    return out.select("event_id", "value", to_int(F.get_json_object("props", "$.k")).alias("k"))
+
+
+@query
+def src_bronze_json(spark, sf_dir):
+    """Envelopes written as JSON Lines, scanned back with the explicit schema."""
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "bronze")
+    B.write_bronze(_envelopes(t), root)
+    return _silver_daily_out(FL.silver_daily(B.read_bronze(spark, root)))
+
+
+@query
+def sink_bronze_roundtrip(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "bronze")
+    B.write_bronze(_envelopes(t), root)
+    b = B.read_bronze(spark, root)
+    return b.select(F.col("dt").cast("date").alias("dt"),
+                    F.col("metadata.location_id").alias("location_id"),
+                    F.col("metadata.location_name").alias("location_name"),
+                    F.col("metadata.ingested_at").alias("ingested_at"),
+                    F.col("metadata.source").alias("source"),
+                    F.col("metadata.api_version").alias("api_version"),
+                    F.col("metadata.request.q").alias("request_q"),
+                    F.col("metadata.request.endpoint").alias("request_endpoint"),
+                    F.size("payload.forecast.forecastday").alias("n_days"))
+
+
+@query
+def src_silver_parquet(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "silver")
+    S.write_silver(_day_silver(t)[0], root)
+    return _silver_daily_out(S.read_silver(spark, root))
+
+
+def _finished_only(t: Tables) -> DataFrame:
+    return observations(t.orders.where(F.col("o_orderstatus") == "F"), t.customer)
+
+
+def _days_with_open_orders(t: Tables) -> DataFrame:
+    """Days (dt) with at least one order that is not finished."""
+    return (t.orders.where(F.col("o_orderstatus") != "F")
+            .select(F.to_date("o_orderdate").alias("dt")).distinct())
+
+
+@query
+def sink_silver_overwrite(spark, sf_dir):
+    """Write silver from finished orders, then rewrite the days that have other
+    orders from all orders: untouched days survive, rewritten days are whole."""
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "silver")
+    first = FL.silver_daily(B.build_envelopes(_finished_only(t), t.registry()))
+    S.write_silver(first, root)
+    again = _day_silver(t)[0].join(_days_with_open_orders(t), "dt", "left_semi")
+    S.write_silver(again, root)
+    return _silver_daily_out(S.read_silver(spark, root))
+
+
+def _stg_out(df: DataFrame) -> DataFrame:
+    return _ntz(df.select(*STG_DAILY_COLUMNS), "ingested_at")
+
+
+@query
+def load_daily_replace_dt(spark, sf_dir):
+    """Load finished-order days, then reload the days with other orders."""
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "stg_daily")
+    first = FL.silver_daily(B.build_envelopes(_finished_only(t), t.registry()))
+    LD.load_daily_replace_dt(spark, LD.staging_daily_rows(first), root)
+    again = _day_silver(t)[0].join(_days_with_open_orders(t), "dt", "left_semi")
+    LD.load_daily_replace_dt(spark, LD.staging_daily_rows(again), root)
+    return _stg_out(spark.read.parquet(root))
+
+
+@query
+def load_locations_full(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "stg_locations")
+    LD.load_locations_full(LD.staging_location_rows(_day_silver(t)[1]), root)
+    out = spark.read.parquet(root)
+    return _ntz(out.drop("loaded_at"), "ingested_at")
+
+
+@query
+def load_upsert_by_key(spark, sf_dir):
+    """Upsert corrections: finished-order rows first, then every (location, day)
+    with other orders recomputed from all orders."""
+    t = _tables(spark, sf_dir)
+    root = scratch_path(spark, "stg_upsert")
+    base = LD.staging_daily_rows(FL.silver_daily(B.build_envelopes(_finished_only(t), t.registry())))
+    LD.upsert_into(spark, base, root, ["location_id", "date"])
+    open_keys = (t.orders.where(F.col("o_orderstatus") != "F")
+                 .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+                 .select(F.col("c_nationkey").cast("string").alias("location_id"),
+                         F.to_date("o_orderdate").alias("date")).distinct())
+    upd = LD.staging_daily_rows(_day_silver(t)[0].join(open_keys, ["location_id", "date"], "left_semi"))
+    LD.upsert_into(spark, upd, root, ["location_id", "date"])
+    return _stg_out(spark.read.parquet(root))
+
+
+@query
+def backfill_range(spark, sf_dir):
+    """Whole date range through bronze, silver, gate and staging in one run."""
+    t = _tables(spark, sf_dir)
+    paths = PL.LakePaths(scratch_path(spark, "lake"))
+    B.write_bronze(_envelopes(t), paths.bronze)
+    lo, hi = t.obs().agg(F.min("date"), F.max("date")).first()
+    PL.run(spark, paths, lo, hi, cfg=PRICE_GATE, with_gold=False)
+    return _stg_out(spark.read.parquet(paths.stg_daily))
+
+
+# ---- quality -------------------------------------------------------------------------------
+
+def _calendar(df: DataFrame, col: str = "date") -> DataFrame:
+    b = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
+    return b.select(F.explode(F.sequence("lo", "hi")).alias("dt"))
+
+
+@query
+def q_missing_partitions(spark, sf_dir):
+    """Days of the observed range without a silver partition."""
+    t = _tables(spark, sf_dir)
+    daily = _day_silver(t)[0]
+    root = scratch_path(spark, "silver")
+    S.write_silver(daily, root)
+    return _calendar(t.obs()).join(S.present_dts(spark, root), "dt", "left_anti")
+
+
+@query
+def q_not_null(spark, sf_dir):
+    daily, locs = _day_silver(_tables(spark, sf_dir))
+    d_cols = Q.DAILY_REQUIRED + ["temp_min_c", "temp_max_c", "temp_avg_c", "precip_mm",
+                                 "humidity_avg", "wind_max_kph"]
+    return (Q.null_counts(daily, d_cols, ["dt"], "daily")
+            .unionByName(Q.null_counts(locs, Q.LOCATIONS_REQUIRED, ["dt"], "locations")))
+
+
+@query
+def q_range(spark, sf_dir):
+    daily = _day_silver(_tables(spark, sf_dir))[0]
+    return Q.range_counts(daily, PRICE_QUALITY.ranges(daily.columns), ["dt"])
+
+
+@query
+def q_unique(spark, sf_dir):
+    """Top 5 duplicated (location_id, date) groups among re-delivered records."""
+    daily = FL.silver_daily(_order_envelopes(_tables(spark, sf_dir)))
+    return duplicate_groups(daily, ["location_id", "date"], 5)
+
+
+@query
+def q_duplicate_rows(spark, sf_dir):
+    daily = FL.silver_daily(_order_envelopes(_tables(spark, sf_dir)))
+    rows = duplicate_members(daily, ["location_id", "date"])
+    return _ntz(rows.select("location_id", "date", "ingested_at", "temp_avg_c"), "ingested_at")
+
+
+@query
+def q_fresh_dt(spark, sf_dir):
+    """Per ingestion day: records whose observation day differs from it."""
+    daily = FL.silver_daily(_order_envelopes(_tables(spark, sf_dir)))
+    return Q.freshness_counts(daily)
+
+
+@query
+def q_completeness(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return Q.completeness(_day_silver(t)[0], t.registry())
+
+
+@query
+def q_missing_locations(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return Q.missing_locations(_day_silver(t)[0], t.registry(), 10)
+
+
+@query
+def q_report(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    daily, locs = _day_silver(t)
+    rep = Q.gate_report(daily, locs, PRICE_QUALITY, expected_dts=_calendar(t.obs()),
+                        expected_locations=t.registry())
+    return rep.select("dt", "daily_rows", "location_rows", "dup_groups", "present", "expected",
+                      "ratio", "failed_rule", "passed")
+
+
+# ---- model tests -----------------------------------------------------------------------------
+
+@query
+def t_not_null(spark, sf_dir):
+    g = _gold(spark, sf_dir)
+    models = {"stg_weather_daily": g.stg_daily, "fact_weather_daily": g.fact(),
+              "dim_location": g.dim_location(), "dim_date": g.dim_date()}
+    return Q.test_not_null(models, [("stg_weather_daily", "location_id"),
+                                    ("stg_weather_daily", "date"), ("stg_weather_daily", "dt"),
+                                    ("fact_weather_daily", "location_id"),
+                                    ("fact_weather_daily", "date"),
+                                    ("dim_location", "location_id"), ("dim_date", "date")])
+
+
+@query
+def t_unique(spark, sf_dir):
+    g = _gold(spark, sf_dir)
+    return Q.test_unique({"dim_location": g.dim_location(), "dim_date": g.dim_date()},
+                         [("dim_location", ["location_id"]), ("dim_date", ["date"])])
+
+
+@query
+def t_unique_combo(spark, sf_dir):
+    g = _gold(spark, sf_dir)
+    return Q.test_unique({"stg_weather_daily": g.stg_daily},
+                         [("stg_weather_daily", ["location_id", "date"])])
+
+
+@query
+def t_source_freshness(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    out = Q.source_freshness({"stg_weather_daily": t.staging_daily(),
+                              "stg_locations": t.staging_locations()}, FRESHNESS_NOW)
+    return _ntz(out, "max_loaded_at")

@@ -21,6 +21,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Partitioned writes pay a fixed cost per output file; keep small inputs
+    # spread over the cores instead of coalescing them into one writer task.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 

@@ -57,6 +57,36 @@ def observations(orders: DataFrame, customer: DataFrame) -> DataFrame:
     return obs.withColumn("ingested_at", F.date_add("date", 1).cast("timestamp"))
 
 
+def order_observations(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """One observation per order: re-deliveries of the same (location, day).
+
+    Each order is a separate record for its nation and order date, ingested
+    at the next midnight plus ``o_orderkey`` seconds (so later keys are later
+    deliveries), and filed under the UTC day it was ingested (``dt``), which
+    can differ from the observation day. Used by the duplicate, keep-last and
+    freshness checks.
+    """
+    o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
+                      "o_orderpriority", "o_orderstatus")
+    c = customer.select("c_custkey", "c_nationkey")
+    price = F.col("o_totalprice").cast(PRICE)
+    ing = F.timestamp_seconds(F.unix_seconds(F.date_add(F.to_date("o_orderdate"), 1).cast("timestamp"))
+                              + F.col("o_orderkey"))
+    return (o.join(c, o.o_custkey == c.c_custkey)
+            .select(F.col("c_nationkey").cast("string").alias("location_id"),
+                    F.to_date("o_orderdate").alias("date"),
+                    price.alias("temp_min_c"), price.alias("temp_max_c"), price.alias("temp_avg_c"),
+                    price.alias("precip_mm"),
+                    F.when(F.col("o_orderpriority") == "5-LOW", 1).otherwise(0).cast(PRICE).alias("snow_cm"),
+                    F.when(F.col("o_orderpriority") == "1-URGENT", 100).otherwise(0).cast(PRICE)
+                    .alias("humidity_avg"),
+                    F.when(F.col("o_orderstatus") == "F", price).alias("wind_max_kph"),
+                    F.substring("o_orderpriority", 1, 1).cast("int").alias("condition_code"),
+                    F.col("o_orderpriority").alias("condition_text"),
+                    ing.alias("ingested_at"))
+            .withColumn("dt", F.to_date("ingested_at")))
+
+
 def locations(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Location registry rows: nation joined with its region (25 x sf-independent)."""
     return (nation.join(region, nation.n_regionkey == region.r_regionkey)
@@ -105,6 +135,9 @@ class Tables:
     def obs(self) -> DataFrame:
         return observations(self.orders, self.customer)
 
+    def order_obs(self) -> DataFrame:
+        return order_observations(self.orders, self.customer)
+
     def registry(self) -> DataFrame:
         return locations(self.nation, self.region)
 
