@@ -1,9 +1,12 @@
 """Gold models: dimensions, fact, marts and BI views.
 
 Each model is a function of DataFrames, so the dependency graph is the call
-graph. Dimensions are joined with a broadcast hint only after their size is
-checked (``broadcast_if_small``); beyond the bound the planner falls back to a
-shuffle join.
+graph. Dimension joins carry no broadcast hint: adaptive execution measures
+each dimension's materialized stage and broadcasts it only when it is below
+``spark.sql.adaptive.autoBroadcastJoinThreshold``; a larger dimension stays a
+sort-merge join. The final plans of the BI views are broadcast hash joins
+(dimensions are bounded by the calendar and the location registry), and a
+separate size-check job would only recompute the dimension.
 """
 
 from __future__ import annotations
@@ -14,7 +17,6 @@ from pyspark.sql import functions as F
 from dailylake.functions import dates as D
 from dailylake.functions.numeric import avg_money, money
 from dailylake.operators.dedup import latest_by_key
-from dailylake.operators.joins import broadcast_if_small
 from dailylake.operators.windows import (change_vs_lag, group_stats, trailing_avg, zscore)
 
 FACT_COLUMNS = ["location_id", "date", "dt", "temp_min_c", "temp_max_c", "temp_avg_c",
@@ -59,10 +61,11 @@ def mart_weekly_change(fact: DataFrame) -> DataFrame:
 def mart_anomalies(fact: DataFrame) -> DataFrame:
     """z-score of ``temp_avg_c`` within its location.
 
-    The per-location mean and deviation are a partial aggregate joined back;
-    with a checked-small stats table the fact is not shuffled at all.
+    The per-location mean and deviation are a partial aggregate (one row per
+    location) joined back; adaptive execution broadcasts it, so the fact is
+    not shuffled for the statistics.
     """
-    stats = broadcast_if_small(group_stats(fact, "location_id", "temp_avg_c"))
+    stats = group_stats(fact, "location_id", "temp_avg_c")
     return (fact.select("location_id", "date", "temp_avg_c")
             .join(stats, "location_id")
             .select("location_id", "date", "temp_avg_c",
@@ -71,8 +74,8 @@ def mart_anomalies(fact: DataFrame) -> DataFrame:
 
 def weather_daily_bi(fact: DataFrame, dim_dt: DataFrame, dim_loc: DataFrame) -> DataFrame:
     f = fact.select("location_id", "date", "temp_avg_c", "temp_min_c", "temp_max_c", "precip_mm")
-    d = broadcast_if_small(dim_dt.select("date", "year", "month"))
-    l = broadcast_if_small(dim_loc.select("location_id", F.col("name").alias("city"), "country"))
+    d = dim_dt.select("date", "year", "month")
+    l = dim_loc.select("location_id", F.col("name").alias("city"), "country")
     return (f.join(d, "date").join(l, "location_id")
             .select("date", "year", "month", "location_id", "city", "country",
                     "temp_avg_c", "temp_min_c", "temp_max_c", "precip_mm"))
@@ -93,8 +96,8 @@ def weekly(fact: DataFrame) -> DataFrame:
 
 def weather_weekly_bi(fact: DataFrame, dim_loc: DataFrame) -> DataFrame:
     w = weekly(fact)
-    l = broadcast_if_small(dim_loc.select("location_id", F.col("name").alias("city"), "country",
-                                          "region", "tz_id"))
+    l = dim_loc.select("location_id", F.col("name").alias("city"), "country",
+                                          "region", "tz_id")
     return (w.join(l, "location_id")
             .select("week_start", "week_end",
                     D.iso_year("week_start").alias("iso_year"),
@@ -131,9 +134,9 @@ def anomalies(fact: DataFrame, threshold: float = 5.0) -> DataFrame:
 def weather_anomalies_bi(fact: DataFrame, dim_dt: DataFrame, dim_loc: DataFrame,
                          threshold: float = 5.0) -> DataFrame:
     a = anomalies(fact, threshold)
-    d = broadcast_if_small(dim_dt)
-    l = broadcast_if_small(dim_loc.select("location_id", F.col("name").alias("city"), "country",
-                                          "region", "tz_id"))
+    d = dim_dt
+    l = dim_loc.select("location_id", F.col("name").alias("city"), "country",
+                                          "region", "tz_id")
     return (a.join(d, "date").join(l, "location_id")
             .select("date", "year", "month", "day", "iso_dow", "year_month",
                     "location_id", "city", "country", "region", "tz_id",

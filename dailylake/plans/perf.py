@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dailylake.functions.numeric import avg_money
-from dailylake.operators.joins import broadcast_if_small
 from dailylake.operators.windows import trailing_avg
 
 
@@ -30,29 +29,30 @@ def top_locations(dim_loc: DataFrame, k: int = 10) -> DataFrame:
     return dim_loc.select("location_id", "country", "region", "name").orderBy("location_id").limit(k)
 
 
-def date_window(fact: DataFrame, days: int) -> tuple[_dt.date | None, _dt.date | None]:
-    """(max(date) - days, max(date)), evaluated once."""
-    hi = fact.agg(F.max("date")).first()[0]
-    return (hi - _dt.timedelta(days=days) if hi else None, hi)
+def params(fact: DataFrame, dim_loc: DataFrame, key: str, days: int):
+    """(first non-NULL ``key`` of the dimension, max(date) - days, max(date)).
 
-
-def first_value(dim_loc: DataFrame, col: str):
-    """``SELECT col ... WHERE col IS NOT NULL ORDER BY col LIMIT 1`` (binary order)."""
-    return dim_loc.where(F.col(col).isNotNull()).agg(F.min(col)).first()[0]
+    Both values are scalar subqueries of one job; the single row is what a
+    ``params`` CTE holds.
+    """
+    spark = fact.sparkSession
+    first_key = dim_loc.where(F.col(key).isNotNull()).agg(F.min(key)).scalar()
+    last_day = fact.agg(F.max("date")).scalar()
+    row = spark.range(1).select(first_key.alias("k"), last_day.alias("hi")).first()
+    hi = row["hi"]
+    return row["k"], (hi - _dt.timedelta(days=days) if hi else None), hi
 
 
 def location_range(fact: DataFrame, dim_loc: DataFrame, days: int = 30) -> DataFrame:
     """Daily metrics of the first location over the last ``days`` + 1 dates."""
-    loc = first_value(dim_loc, "location_id")
-    lo, hi = date_window(fact, days)
+    loc, lo, hi = params(fact, dim_loc, "location_id", days)
     return (fact.where((F.col("location_id") == F.lit(loc)) & F.col("date").between(lo, hi))
             .select("location_id", "date", "temp_avg_c", "precip_mm", "wind_max_kph"))
 
 
 def rolling_range(fact: DataFrame, dim_loc: DataFrame, days: int = 60) -> DataFrame:
     """7-row rolling average computed *after* the range filter (short first frames)."""
-    loc = first_value(dim_loc, "location_id")
-    lo, hi = date_window(fact, days)
+    loc, lo, hi = params(fact, dim_loc, "location_id", days)
     f = fact.where((F.col("location_id") == F.lit(loc)) & F.col("date").between(lo, hi))
     return f.select("location_id", "date", "temp_avg_c",
                     trailing_avg("temp_avg_c", 7).alias("temp_avg_7d"))
@@ -60,11 +60,10 @@ def rolling_range(fact: DataFrame, dim_loc: DataFrame, days: int = 60) -> DataFr
 
 def country_daily(fact: DataFrame, dim_loc: DataFrame, days: int = 30) -> DataFrame:
     """Average per day over the first country's locations, numeric(10,2)."""
-    country = first_value(dim_loc, "country")
-    lo, hi = date_window(fact, days)
+    country, lo, hi = params(fact, dim_loc, "country", days)
     locs = dim_loc.where(F.col("country") == F.lit(country)).select("location_id", "country")
     f = fact.where(F.col("date").between(lo, hi)).select("location_id", "date", "temp_avg_c")
-    return (f.join(broadcast_if_small(locs), "location_id")
+    return (f.join(locs, "location_id")
             .groupBy("country", "date")
             .agg(avg_money("temp_avg_c").alias("avg_temp_avg_c")))
 

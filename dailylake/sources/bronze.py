@@ -31,8 +31,7 @@ def build_envelopes(obs: DataFrame, locations: DataFrame, ingested_at: Column |
     field names in ``DAY_FIELDS``); ``locations``: registry rows. Output has
     the envelope columns plus ``dt`` (the partition value).
     """
-    from dailylake.operators.joins import broadcast_if_small
-    loc = broadcast_if_small(locations.select(
+    loc = (locations.select(
         "location_id", F.col("name").alias("_name"), F.col("region").alias("_region"),
         F.col("country").alias("_country"), F.col("lat").alias("_lat"),
         F.col("lon").alias("_lon"), F.col("tz").alias("_tz")))
