@@ -1,0 +1,139 @@
+"""Staging loads, run log, daily pipeline and backfill."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import envelope, land
+from dailylake.operators import load as LD
+from dailylake.operators.quality import QualityConfig, QualityGateError
+from dailylake.plans import pipeline as PL
+
+D = dt.date
+DAILY = ("dt date, location_id string, ingested_at timestamp, date date, temp_min_c double, "
+         "temp_max_c double, temp_avg_c double, precip_mm double, snow_cm double, "
+         "humidity_avg double, wind_max_kph double, condition_code int, condition_text string")
+
+
+def silver_rows(spark, rows):
+    return spark.createDataFrame(
+        [(d, loc, dt.datetime(2024, 1, 1), dd, 1.0, 2.0, t, float("nan"), 0.0, 50.0, 3.0, 1, "x")
+         for d, loc, dd, t in rows], DAILY)
+
+
+def test_staging_rows_types_nan_and_missing_columns(spark):
+    rows = LD.staging_daily_rows(silver_rows(spark, [(D(2024, 1, 1), "a", D(2024, 1, 1), 1.25)]))
+    r = rows.first()
+    assert r["precip_mm"] is None  # K9: NaN -> NULL
+    assert str(r["temp_avg_c"]) == "1.250000" and r["loaded_at"] is not None
+    with pytest.raises(LD.LoadError, match="Missing columns"):
+        LD.staging_daily_rows(silver_rows(spark, [(D(2024, 1, 1), "a", D(2024, 1, 1), 1.0)]).drop("wind_max_kph"))
+
+
+def test_location_loader_optional_columns(spark):
+    # ingested_at/lat/lon/local_time may be absent; the other six are required
+    df = spark.createDataFrame([(D(2024, 1, 1), "a", "A", "R", "C", "UTC")],
+                               "dt date, location_id string, name string, region string, country string, tz_id string")
+    r = LD.staging_location_rows(df).first()
+    assert r["lat"] is None and r["ingested_at"] is None
+    with pytest.raises(LD.LoadError):
+        LD.staging_location_rows(df.drop("tz_id"))
+
+
+def test_replace_dt_is_idempotent_and_keeps_other_days(spark, tmp_root):
+    root = os.path.join(tmp_root, "stg")
+    day1 = LD.staging_daily_rows(silver_rows(spark, [(D(2024, 1, 1), "a", D(2024, 1, 1), 1.0)]))
+    day2 = LD.staging_daily_rows(silver_rows(spark, [(D(2024, 1, 2), "a", D(2024, 1, 2), 2.0)]))
+    LD.load_daily_replace_dt(spark, day1, root)
+    LD.load_daily_replace_dt(spark, day2, root)
+    LD.load_daily_replace_dt(spark, day2, root)
+    assert spark.read.parquet(root).count() == 2
+    fix = LD.staging_daily_rows(silver_rows(spark, [(D(2024, 1, 1), "b", D(2024, 1, 1), 9.0)]))
+    LD.load_daily_replace_dt(spark, fix, root)
+    got = {(r["location_id"], str(r["date"])) for r in spark.read.parquet(root).collect()}
+    assert got == {("b", "2024-01-01"), ("a", "2024-01-02")}
+
+
+def test_primary_key_checked_across_dts(spark, tmp_root):
+    # (location_id, date) from another dt collides
+    root = os.path.join(tmp_root, "stg")
+    LD.load_daily_replace_dt(spark, LD.staging_daily_rows(
+        silver_rows(spark, [(D(2024, 1, 1), "a", D(2024, 1, 1), 1.0)])), root)
+    late = LD.staging_daily_rows(silver_rows(spark, [(D(2024, 1, 2), "a", D(2024, 1, 1), 1.0)]))
+    with pytest.raises(LD.LoadError, match="duplicate key"):
+        LD.load_daily_replace_dt(spark, late, root)
+
+
+def test_upsert_by_key(spark, tmp_root):
+    root = os.path.join(tmp_root, "up")
+    mk = lambda rows: spark.createDataFrame(rows, "k string, v int")
+    LD.upsert_into(spark, mk([("a", 1), ("b", 1)]), root, ["k"])
+    LD.upsert_into(spark, mk([("b", 2), ("c", 2)]), root, ["k"])
+    assert sorted(tuple(r) for r in spark.read.parquet(root).collect()) == [("a", 1), ("b", 2), ("c", 2)]
+
+
+def _land_days(root, days, locations, temp=lambda d, l: "10"):
+    for d in days:
+        for loc in locations:
+            land(root, d, loc, envelope(d, loc, temp_avg=temp(d, loc),
+                                        ingested_at=f"{d}T06:00:00+00:00"))
+
+
+def _snapshot(spark, paths):
+    rows = spark.read.parquet(paths.stg_daily).drop("loaded_at").collect()
+    return sorted((str(r["dt"]), r["location_id"], str(r["date"]), str(r["temp_avg_c"])) for r in rows)
+
+
+def test_daily_run_end_to_end_and_rerun(spark, tmp_root):
+    paths = PL.LakePaths(os.path.join(tmp_root, "lake"))
+    _land_days(paths.bronze, ["2024-03-01"], ["a", "b"])
+    out = PL.run(spark, paths, "2024-03-01", landed=True)
+    assert out["fact_weather_daily"].count() == 2
+    assert spark.table("weather_anomalies_bi").count() == 0  # one day: no baseline yet
+    first = _snapshot(spark, paths)
+    PL.run(spark, paths, "2024-03-01", landed=True)  # idempotent rerun
+    assert _snapshot(spark, paths) == first
+    runs = spark.read.parquet(paths.runs).collect()
+    assert {r["status"] for r in runs} == {"success"} and len(runs) == 2
+
+
+def test_gate_failure_blocks_staging(spark, tmp_root):
+    paths = PL.LakePaths(os.path.join(tmp_root, "lake"))
+    _land_days(paths.bronze, ["2024-03-01"], ["a"], temp=lambda d, l: "75")
+    with pytest.raises(QualityGateError, match="range:temp_avg_c"):
+        PL.run(spark, paths, "2024-03-01", landed=True)
+    assert not os.path.exists(paths.stg_daily)
+    runs = spark.read.parquet(paths.runs).collect()
+    assert runs[0]["status"] == "failed" and "range:temp_avg_c" in runs[0]["error_summary"]
+
+
+def test_backfill_equals_single_days_and_skips_failing_days(spark, tmp_root):
+    days = ["2024-03-01", "2024-03-02", "2024-03-04"]  # 03-03 has no data
+    t = lambda d, l: str(int(d[-1]) + len(l))
+    one = PL.LakePaths(os.path.join(tmp_root, "one"))
+    _land_days(one.bronze, days, ["a", "bb"], t)
+    for d in days:
+        PL.run(spark, one, d, landed=True, with_gold=False)
+    many = PL.LakePaths(os.path.join(tmp_root, "many"))
+    _land_days(many.bronze, days, ["a", "bb"], t)
+    out = PL.run(spark, many, "2024-03-01", "2024-03-04", landed=True, with_gold=False)
+    assert _snapshot(spark, one) == _snapshot(spark, many)
+    rep = {str(r["dt"]): r["failed_rule"] for r in out["gate_report"].collect()}
+    assert rep["2024-03-03"] == "missing_daily_partition"
+    logged = {str(r["dt"]): r["status"] for r in spark.read.parquet(many.runs).collect()}
+    assert logged == {"2024-03-01": "success", "2024-03-02": "success", "2024-03-03": "failed",
+                      "2024-03-04": "success"}
+
+
+def test_locations_replace_vs_upsert_on_backfill(spark, tmp_root):
+    # Reloading an older day with fewer locations shrinks the dimension in replace mode
+    for mode, expect in [("replace", {"a"}), ("upsert", {"a", "b"})]:
+        paths = PL.LakePaths(os.path.join(tmp_root, mode))
+        _land_days(paths.bronze, ["2024-03-02"], ["a", "b"])
+        _land_days(paths.bronze, ["2024-03-01"], ["a"])
+        PL.run(spark, paths, "2024-03-02", landed=True, with_gold=False, locations_mode=mode)
+        PL.run(spark, paths, "2024-03-01", landed=True, with_gold=False, locations_mode=mode)
+        got = {r["location_id"] for r in spark.read.parquet(paths.stg_locations).collect()}
+        assert got == expect
