@@ -102,16 +102,29 @@ def check_unique(df: DataFrame, keys: list[str], what: str) -> None:
         raise LoadError(f"{what}: duplicate key {keys}: {[tuple(r) for r in dup]}")
 
 
+# A daily load or a backfill touches a bounded set of dates; up to this many
+# are pushed to the Parquet scan as an IN filter.
+MAX_PUSHED_DATES = 10_000
+
+
 def load_daily_replace_dt(spark: SparkSession, rows: DataFrame, root: str,
                           check_keys: bool = True) -> None:
-    """Replace the dt partitions present in ``rows``; other days survive."""
+    """Replace the dt partitions present in ``rows``; other days survive.
+
+    The key check reads only existing rows that can collide: those whose
+    ``date`` is one of the loaded dates (pushed down as an ``IN`` filter, so
+    row groups of other dates are skipped), outside the replaced dts.
+    """
     if check_keys:
         existing = read_table(spark, root)
         keys = rows.select("dt", "location_id", "date")
         if existing is not None:
-            kept = existing.select(F.col("dt").cast("date").alias("dt"), "location_id", "date") \
-                .join(keys.select("dt").distinct(), "dt", "left_anti")
-            keys = keys.unionByName(kept)
+            old = existing.select(F.col("dt").cast("date").alias("dt"), "location_id", "date")
+            dates = [r[0] for r in rows.select("date").distinct().limit(MAX_PUSHED_DATES + 1).collect()]
+            if len(dates) <= MAX_PUSHED_DATES:
+                old = old.where(F.col("date").isin(dates))
+            old = old.join(keys.select("dt").distinct(), "dt", "left_anti")
+            keys = keys.unionByName(old)
         check_unique(keys, ["location_id", "date"], "stg_weather_daily")
     (rows.hint("rebalance", "dt").sortWithinPartitions("dt", "location_id", "date")
          .write.mode("overwrite").partitionBy("dt").parquet(root))
