@@ -219,7 +219,7 @@ def raise_on_failure(report: DataFrame, sample: int = 5) -> DataFrame:
 # ---- model tests (C11-C14) ----------------------------------------------------------
 
 def test_not_null(models: dict[str, DataFrame], tests: list[tuple[str, str]]) -> DataFrame:
-    """dbt ``not_null``: failing rows per (model, column), one pass per model."""
+    """Model test ``not_null``: failing rows per (model, column), one pass per model."""
     parts = []
     for model in dict.fromkeys(m for m, _ in tests):
         cols = [c for m, c in tests if m == model]
@@ -233,7 +233,7 @@ def test_not_null(models: dict[str, DataFrame], tests: list[tuple[str, str]]) ->
 
 
 def test_unique(models: dict[str, DataFrame], tests: list[tuple[str, list[str]]]) -> DataFrame:
-    """dbt ``unique`` / unique combination: number of key values occurring more than once."""
+    """Model test ``unique`` / unique combination: number of key values occurring more than once."""
     parts = []
     for model, keys in tests:
         g = (models[model].groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
@@ -248,7 +248,7 @@ def test_unique(models: dict[str, DataFrame], tests: list[tuple[str, list[str]]]
 
 def source_freshness(sources: dict[str, DataFrame], now, warn_hours: float = 30,
                      error_hours: float = 48, field: str = "loaded_at") -> DataFrame:
-    """dbt source freshness on ``max(loaded_at)`` against a passed-in ``now``."""
+    """Source freshness on ``max(loaded_at)`` against a passed-in ``now``."""
     parts = []
     for name, df in sources.items():
         m = df.agg(F.max(field).alias("max_loaded_at"))
