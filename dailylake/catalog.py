@@ -282,7 +282,7 @@ def load_daily_replace_dt(spark, sf_dir):
     LD.load_daily_replace_dt(spark, LD.staging_daily_rows(first), root)
     again = _day_silver(t)[0].join(_days_with_open_orders(t), "dt", "left_semi")
     LD.load_daily_replace_dt(spark, LD.staging_daily_rows(again), root)
-    return _stg_out(spark.read.parquet(root))
+    return _stg_out(S.read_silver(spark, root))
 
 
 @query
@@ -308,7 +308,7 @@ def load_upsert_by_key(spark, sf_dir):
                          F.to_date("o_orderdate").alias("date")).distinct())
     upd = LD.staging_daily_rows(_day_silver(t)[0].join(open_keys, ["location_id", "date"], "left_semi"))
     LD.upsert_into(spark, upd, root, ["location_id", "date"])
-    return _stg_out(spark.read.parquet(root))
+    return _stg_out(S.read_silver(spark, root))
 
 
 @query
@@ -319,7 +319,7 @@ def backfill_range(spark, sf_dir):
     B.write_bronze(_envelopes(t), paths.bronze)
     lo, hi = t.obs().agg(F.min("date"), F.max("date")).first()
     PL.run(spark, paths, lo, hi, cfg=PRICE_GATE, with_gold=False)
-    return _stg_out(spark.read.parquet(paths.stg_daily))
+    return _stg_out(S.read_silver(spark, paths.stg_daily))
 
 
 # ---- quality -------------------------------------------------------------------------------

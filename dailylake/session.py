@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 
 # Settings every job of the library assumes (see README "Session").
 REQUIRED_CONF = {
+    # Strict casts: an unparseable business date fails the job (contract rule).
+    "spark.sql.ansi.enabled": "true",
     # Timestamps are UTC end to end (timestamptz columns of the contract).
     "spark.sql.session.timeZone": "UTC",
     # A daily load replaces only the dt partitions it writes.

@@ -335,7 +335,7 @@ SELECT dt FROM cal WHERE dt NOT IN (SELECT DISTINCT date FROM obs)"""
 
 
 def _null_counts(src: str, cols: list[str], dataset: str) -> list[str]:
-    return [f"""SELECT dt, '{c}' AS "column", count_if({c} IS NULL) AS n_null,
+    return [f"""SELECT dt, '{c}' AS "column", cast(count_if({c} IS NULL) AS bigint) AS n_null,
        '{dataset}' AS dataset FROM {src} GROUP BY dt""" for c in cols]
 
 
@@ -364,8 +364,8 @@ SELECT location_id, date, cast(ingested_at AS timestamp) AS ingested_at, temp_av
 FROM (SELECT *, count(*) OVER (PARTITION BY location_id, date) AS n FROM og_silver) WHERE n > 1"""
 
 ORACLE["q_fresh_dt"] = SILVER + """
-SELECT dt, count(*) AS n_rows, count_if(date IS NULL) AS n_bad_date,
-       count_if(date IS NULL OR date <> dt) AS n_date_ne_dt
+SELECT dt, count(*) AS n_rows, cast(count_if(date IS NULL) AS bigint) AS n_bad_date,
+       cast(count_if(date IS NULL OR date <> dt) AS bigint) AS n_date_ne_dt
 FROM og_silver GROUP BY dt"""
 
 ORACLE["q_completeness"] = SILVER + """
@@ -436,14 +436,14 @@ FROM rep"""
 
 # ---- model tests -----------------------------------------------------------------------------------
 
-ORACLE["t_not_null"] = GOLD + """
-SELECT 'stg_weather_daily' AS model, 'location_id' AS "column", count_if(location_id IS NULL) AS failures FROM stg
-UNION ALL SELECT 'stg_weather_daily', 'date', count_if(date IS NULL) FROM stg
-UNION ALL SELECT 'stg_weather_daily', 'dt', count_if(dt IS NULL) FROM stg
-UNION ALL SELECT 'fact_weather_daily', 'location_id', count_if(location_id IS NULL) FROM fact
-UNION ALL SELECT 'fact_weather_daily', 'date', count_if(date IS NULL) FROM fact
-UNION ALL SELECT 'dim_location', 'location_id', count_if(location_id IS NULL) FROM dim_location
-UNION ALL SELECT 'dim_date', 'date', count_if(date IS NULL) FROM dim_date"""
+_NN_TESTS = [("stg_weather_daily", "stg", "location_id"), ("stg_weather_daily", "stg", "date"),
+             ("stg_weather_daily", "stg", "dt"), ("fact_weather_daily", "fact", "location_id"),
+             ("fact_weather_daily", "fact", "date"), ("dim_location", "dim_location", "location_id"),
+             ("dim_date", "dim_date", "date")]
+
+ORACLE["t_not_null"] = GOLD + "\n" + "\nUNION ALL ".join(
+    f"""SELECT '{m}' AS model, '{c}' AS "column", cast(count_if({c} IS NULL) AS bigint) AS failures FROM {t}"""
+    for m, t, c in _NN_TESTS)
 
 ORACLE["t_unique"] = GOLD + """
 SELECT 'dim_location' AS model, 'location_id' AS "column",
