@@ -205,14 +205,46 @@ def gate_report(daily: DataFrame, locations: DataFrame, cfg: QualityConfig = Qua
     return rep.withColumn("failed_rule", failed).withColumn("passed", failed.isNull())
 
 
-def raise_on_failure(report: DataFrame, sample: int = 5) -> DataFrame:
-    """Raise with the first failing days (bounded sample); return the report otherwise."""
+def offenders(daily: DataFrame, cfg: QualityConfig = QualityConfig(), n: int = 5) -> DataFrame:
+    """Sample of offending daily rows for the freshness and range rules.
+
+    (rule, dt, location_id, date, value), the first ``n`` per rule in
+    (dt, location_id, date) order: a bounded, deterministic sample.
+    """
+    from pyspark.sql import Window
+    d = F.col("date").try_cast("date")
+    parts = [daily.where(d.isNull() | (d != F.col("dt").cast("date")))
+             .select(F.lit("date_ne_dt").alias("rule"), "dt", "location_id", "date",
+                     F.col("date").cast("string").alias("value"))]
+    for c, lo, hi in cfg.ranges(daily.columns):
+        v = to_double(c)
+        parts.append(daily.where((v < F.lit(lo)) | (v > F.lit(hi)))
+                     .select(F.lit(f"range:{c}").alias("rule"), "dt", "location_id", "date",
+                             v.cast("string").alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    w = Window.partitionBy("rule").orderBy("dt", "location_id", "date")
+    # top-n per rule: Spark plans this as a per-partition group limit before the shuffle
+    return out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+
+
+def raise_on_failure(report: DataFrame, sample: int = 5, daily: DataFrame | None = None,
+                     cfg: QualityConfig = QualityConfig()) -> DataFrame:
+    """Raise with the first failing days (bounded sample), plus offending rows
+    when ``daily`` is given; return the report otherwise."""
     bad = (report.where(~F.col("passed")).select("dt", "failed_rule")
            .orderBy("dt").limit(sample).collect())
     if bad:
         n = report.where(~F.col("passed")).count()
         shown = ", ".join(f"dt={r['dt']}: {r['failed_rule']}" for r in bad)
-        raise QualityGateError(f"{n} day(s) failed. First: {shown}")
+        msg = f"{n} day(s) failed. First: {shown}"
+        if daily is not None:
+            rows = offenders(daily, cfg, sample).orderBy("rule", "dt", "location_id").collect()
+            if rows:
+                msg += ". Sample: " + ", ".join(
+                    f"{r['rule']} {r['location_id']}/{r['date']}={r['value']}" for r in rows[:sample])
+        raise QualityGateError(msg)
     return report
 
 

@@ -47,7 +47,8 @@ def location_range(fact: DataFrame, dim_loc: DataFrame, days: int = 30) -> DataF
     """Daily metrics of the first location over the last ``days`` + 1 dates."""
     loc, lo, hi = params(fact, dim_loc, "location_id", days)
     return (fact.where((F.col("location_id") == F.lit(loc)) & F.col("date").between(lo, hi))
-            .select("location_id", "date", "temp_avg_c", "precip_mm", "wind_max_kph"))
+            .select("location_id", "date", "temp_avg_c", "precip_mm", "wind_max_kph")
+            .orderBy("date"))
 
 
 def rolling_range(fact: DataFrame, dim_loc: DataFrame, days: int = 60) -> DataFrame:
@@ -55,7 +56,7 @@ def rolling_range(fact: DataFrame, dim_loc: DataFrame, days: int = 60) -> DataFr
     loc, lo, hi = params(fact, dim_loc, "location_id", days)
     f = fact.where((F.col("location_id") == F.lit(loc)) & F.col("date").between(lo, hi))
     return f.select("location_id", "date", "temp_avg_c",
-                    trailing_avg("temp_avg_c", 7).alias("temp_avg_7d"))
+                    trailing_avg("temp_avg_c", 7).alias("temp_avg_7d")).orderBy("date")
 
 
 def country_daily(fact: DataFrame, dim_loc: DataFrame, days: int = 30) -> DataFrame:
@@ -65,5 +66,6 @@ def country_daily(fact: DataFrame, dim_loc: DataFrame, days: int = 30) -> DataFr
     f = fact.where(F.col("date").between(lo, hi)).select("location_id", "date", "temp_avg_c")
     return (f.join(locs, "location_id")
             .groupBy("country", "date")
-            .agg(avg_money("temp_avg_c").alias("avg_temp_avg_c")))
+            .agg(avg_money("temp_avg_c").alias("avg_temp_avg_c"))
+            .orderBy("date"))
 

@@ -113,7 +113,7 @@ def gate(spark: SparkSession, paths: LakePaths, dt_from, dt_to=None,
     locs = S.read_silver(spark, paths.silver_locations, dt_from=dt_from, dt_to=dt_to)
     rep = Q.gate_report(daily, locs, cfg, expected_dts=expected_days(spark, dt_from, dt_to),
                         expected_locations=registry).cache()
-    return Q.raise_on_failure(rep) if strict else rep
+    return Q.raise_on_failure(rep, daily=daily, cfg=cfg) if strict else rep
 
 
 def load_staging(spark: SparkSession, paths: LakePaths, days: DataFrame,

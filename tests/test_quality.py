@@ -100,9 +100,12 @@ def test_completeness_against_registry(spark):
 def test_required_columns_and_raise(spark):
     with pytest.raises(Q.QualityGateError, match="missing required columns"):
         Q.gate_report(daily(spark).drop("ingested_at"), locs(spark))
-    rep = Q.gate_report(daily(spark, row0_temp_min_c=-99.0), locs(spark))
+    d = daily(spark, row0_temp_min_c=-99.0)
+    rep = Q.gate_report(d, locs(spark))
     with pytest.raises(Q.QualityGateError, match=r"\[QUALITY_GATE\].*range:temp_min_c"):
         Q.raise_on_failure(rep)
+    with pytest.raises(Q.QualityGateError, match=r"Sample: range:temp_min_c l00/2024-03-01=-99.0"):
+        Q.raise_on_failure(rep, daily=d)
 
 
 def test_range_counts_ignore_text_and_nan(spark):
