@@ -129,8 +129,13 @@ def load_staging(spark: SparkSession, paths: LakePaths, days: DataFrame,
     LD.load_daily_replace_dt(spark, LD.staging_daily_rows(daily), paths.stg_daily)
 
 
-def build_gold(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
-    """Materialize dims, fact and marts as Parquet tables; BI views stay views."""
+def build_gold(spark: SparkSession, paths: LakePaths, since=None) -> dict[str, DataFrame]:
+    """Materialize dims, fact and marts as Parquet tables; BI views stay views.
+
+    ``since``: first changed day. The trailing-window marts are then refreshed
+    from that day's month on instead of being rebuilt (see ``incremental``).
+    """
+    from dailylake.plans import incremental as INC
     g = G.Gold(spark.read.parquet(paths.stg_daily), spark.read.parquet(paths.stg_locations))
     tables = {
         "dim_location": g.dim_location(),
@@ -147,13 +152,15 @@ def build_gold(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
     fact = spark.read.parquet(paths.gold("fact_weather_daily"))
     dim_d = spark.read.parquet(paths.gold("dim_date"))
     dim_l = spark.read.parquet(paths.gold("dim_location"))
-    marts = {
-        "mart_weather_rolling": G.mart_weather_rolling(fact),
-        "mart_weekly_change": G.mart_weekly_change(fact),
-        "mart_anomalies": G.mart_anomalies(fact),
-    }
-    for name, df in marts.items():
-        df.write.mode("overwrite").parquet(paths.gold(name))
+    for name, (build, _) in INC.TRAILING_MARTS.items():
+        if since is not None and LD.read_table(spark, paths.gold(name)) is not None:
+            INC.refresh_into(spark, fact, paths.gold(name), name, since)
+        else:
+            INC.write_full(build(fact), paths.gold(name))
+    # z-scores use whole-location statistics: any new row changes them all
+    G.mart_anomalies(fact).write.mode("overwrite").parquet(paths.gold("mart_anomalies"))
+    marts = {name: INC.read_mart(spark, paths.gold(name)) for name in INC.TRAILING_MARTS}
+    marts["mart_anomalies"] = spark.read.parquet(paths.gold("mart_anomalies"))
     views = {
         "weather_daily_bi": G.weather_daily_bi(fact, dim_d, dim_l),
         "weather_weekly_bi": G.weather_weekly_bi(fact, dim_l),
@@ -161,7 +168,7 @@ def build_gold(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    return {**{k: spark.read.parquet(paths.gold(k)) for k in list(tables) + list(marts)}, **views}
+    return {**{k: spark.read.parquet(paths.gold(k)) for k in tables}, **marts, **views}
 
 
 def run(spark: SparkSession, paths: LakePaths, dt_from, dt_to=None,
@@ -195,7 +202,7 @@ def run(spark: SparkSession, paths: LakePaths, dt_from, dt_to=None,
     _log_days(spark, paths, rep.select("dt", "failed_rule"), started, loaded)
     out = {"gate_report": rep}
     if with_gold:
-        out.update(build_gold(spark, paths))
+        out.update(build_gold(spark, paths, since=dt_from))
     return out
 
 
