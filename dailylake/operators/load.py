@@ -142,24 +142,45 @@ def upsert_by_key(target: DataFrame, updates: DataFrame, keys: list[str]) -> Dat
 
 
 def upsert_into(spark: SparkSession, updates: DataFrame, root: str, keys: list[str],
-                partition_by: list[str] | None = None) -> None:
+                partition_by: str | None = None) -> None:
     """Upsert into the Parquet table at ``root``.
 
-    A job cannot overwrite a path it reads, so the merged result is
-    checkpointed (reliable checkpoint in ``spark.checkpoint.dir``, which cuts
-    the lineage to the old files) before the table is rewritten.
+    Unpartitioned: the merged table is rewritten. Partitioned by
+    ``partition_by``: only the affected partitions are rewritten (the
+    partitions of the updates and those their keys move out of), with dynamic
+    overwrite; if one of them would end up empty (every row moved elsewhere),
+    the whole table is rewritten, since a dynamic overwrite cannot drop a
+    partition.
+
+    A job cannot overwrite files it reads, so the merged rows are first
+    checkpointed (reliable checkpoint under ``spark.checkpoint.dir``), which
+    cuts the lineage to the old files.
     """
     from dailylake.session import checkpoint_root
     checkpoint_root(spark)
     target = read_table(spark, root)
-    merged = updates if target is None else upsert_by_key(target.select(*updates.columns), updates, keys)
-    merged = merged.checkpoint(eager=True)
+    if target is None:
+        w = updates.write.mode("overwrite")
+        (w.partitionBy(partition_by) if partition_by else w).parquet(root)
+        return
+    target = target.select(*updates.columns)
+    if partition_by:
+        p = partition_by
+        moved = target.join(updates.select(*keys).distinct(), keys, "left_semi").select(p)
+        affected = updates.select(p).union(moved).distinct()
+        scope = target.join(affected, p, "left_semi")
+        merged = upsert_by_key(scope, updates, keys).checkpoint(eager=True)
+        emptied = affected.join(merged.select(p).distinct(), p, "left_anti")
+        if emptied.limit(1).count() == 0:
+            (merged.hint("rebalance", p).write.mode("overwrite").partitionBy(p).parquet(root))
+            return
+    merged = upsert_by_key(target, updates, keys).checkpoint(eager=True)
     w = merged.write.mode("overwrite")
     if partition_by:
-        # every partition is rewritten: overwrite them all, not only those present
+        # every partition is rewritten, including the ones that became empty
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
         try:
-            w.partitionBy(*partition_by).parquet(root)
+            w.partitionBy(partition_by).parquet(root)
         finally:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     else:

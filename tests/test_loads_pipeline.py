@@ -74,6 +74,26 @@ def test_upsert_by_key(spark, tmp_root):
     assert sorted(tuple(r) for r in spark.read.parquet(root).collect()) == [("a", 1), ("b", 2), ("c", 2)]
 
 
+def test_partitioned_upsert_rewrites_only_affected_days(spark, tmp_root):
+    root = os.path.join(tmp_root, "upd")
+    mk = lambda rows: spark.createDataFrame(rows, "dt date, k string, v int")
+    d1, d2, d3 = D(2024, 1, 1), D(2024, 1, 2), D(2024, 1, 3)
+    LD.upsert_into(spark, mk([(d1, "a", 1), (d2, "b", 1), (d2, "c", 1)]), root, ["k"], "dt")
+    before = {f for f in os.listdir(root) if f.startswith("dt=")}
+    untouched = sorted(os.listdir(os.path.join(root, "dt=2024-01-01")))
+    LD.upsert_into(spark, mk([(d2, "b", 2), (d3, "d", 2)]), root, ["k"], "dt")
+    assert sorted(os.listdir(os.path.join(root, "dt=2024-01-01"))) == untouched  # not rewritten
+    got = sorted((str(r["dt"]), r["k"], r["v"]) for r in spark.read.parquet(root).collect())
+    assert got == [("2024-01-01", "a", 1), ("2024-01-02", "b", 2), ("2024-01-02", "c", 1),
+                   ("2024-01-03", "d", 2)]
+    assert before <= {f for f in os.listdir(root) if f.startswith("dt=")}
+    # key 'a' moves to another day and its old day becomes empty: full rewrite drops it
+    LD.upsert_into(spark, mk([(d3, "a", 3)]), root, ["k"], "dt")
+    got = sorted((str(r["dt"]), r["k"], r["v"]) for r in spark.read.parquet(root).collect())
+    assert got == [("2024-01-02", "b", 2), ("2024-01-02", "c", 1), ("2024-01-03", "a", 3),
+                   ("2024-01-03", "d", 2)]
+
+
 def _land_days(root, days, locations, temp=lambda d, l: "10"):
     for d in days:
         for loc in locations:
