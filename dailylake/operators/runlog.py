@@ -1,42 +1,36 @@
-"""Run log (K8): one appended row per pipeline run."""
+"""Run log (K8): one appended row per day and run, derived from the gate report."""
 
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
-from contextlib import contextmanager
-from decimal import Decimal
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from dailylake.schemas import PIPELINE_RUNS
 
 
-def append_run(spark: SparkSession, root: str, dt, status: str, started_at: _dt.datetime,
-               finished_at: _dt.datetime | None, records_loaded: int | None,
-               error_summary: str | None, run_id: str | None = None) -> str:
-    run_id = run_id or str(uuid.uuid4())
-    dur = (Decimal(str(round((finished_at - started_at).total_seconds(), 3)))
-           if finished_at else None)
-    if isinstance(dt, str):
-        dt = _dt.date.fromisoformat(dt)
-    row = (run_id, dt, status, started_at, finished_at, dur, records_loaded,
-           (error_summary or None) and error_summary[:2000])
-    spark.createDataFrame([row], PIPELINE_RUNS).coalesce(1).write.mode("append").parquet(root)
-    return run_id
-
-
-@contextmanager
-def logged_run(spark: SparkSession, root: str, dt):
-    """Log success with the record count set on the yielded dict, or failure with the error."""
-    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    state: dict = {"records_loaded": None}
-    try:
-        yield state
-    except Exception as e:
-        append_run(spark, root, dt, "failed", started,
-                   _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), state["records_loaded"],
-                   f"{type(e).__name__}: {e}")
-        raise
-    append_run(spark, root, dt, "success", started,
-               _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), state["records_loaded"], None)
+def utc_now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
+def log_days(outcome: DataFrame, root: str, started: _dt.datetime,
+             loaded: DataFrame | None = None) -> None:
+    """Append one row per day of ``outcome`` (dt, failed_rule) to the run log.
+
+    ``loaded``: (dt, records_loaded) for the days that reached staging. The
+    rows are built from DataFrames (one per day), not on the driver.
+    """
+    finished = utc_now()
+    df = outcome if loaded is None else outcome.join(loaded, "dt", "left")
+    if loaded is None:
+        df = df.withColumn("records_loaded", F.lit(None).cast("int"))
+    rows = df.select(
+        F.expr("uuid()").alias("run_id"), F.col("dt").cast("date").alias("dt"),
+        F.when(F.col("failed_rule").isNull(), "success").otherwise("failed").alias("status"),
+        F.lit(started).cast("timestamp_ntz").alias("started_at"),
+        F.lit(finished).cast("timestamp_ntz").alias("finished_at"),
+        F.lit(round((finished - started).total_seconds(), 3)).cast("decimal(18,3)").alias("duration_sec"),
+        F.col("records_loaded").cast("int").alias("records_loaded"),
+        F.col("failed_rule").alias("error_summary"))
+    rows.select(*[f.name for f in PIPELINE_RUNS.fields]).write.mode("append").parquet(root)

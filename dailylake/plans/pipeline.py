@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from dailylake.operators import flatten as FL
 from dailylake.operators import load as LD
 from dailylake.operators import quality as Q
+from dailylake.operators.runlog import log_days, utc_now
 from dailylake.plans import gold as G
 from dailylake.sources import bronze as B
 from dailylake.sources import silver as S
@@ -183,51 +184,29 @@ def run(spark: SparkSession, paths: LakePaths, dt_from, dt_to=None,
     """
     dt_to = dt_to or dt_from
     strict = (str(dt_from) == str(dt_to)) if strict is None else strict
-    started = _now()
+    started = utc_now()
     try:
         bronze_to_silver(spark, paths, dt_from, dt_to, landed=landed)
         rep = gate(spark, paths, dt_from, dt_to, cfg, registry, strict=strict)
     except Exception as e:
-        _log_days(spark, paths, expected_days(spark, dt_from, dt_to)
-                  .select("dt", F.lit(f"{type(e).__name__}: {e}"[:2000]).alias("failed_rule")),
-                  started, None)
+        log_days(expected_days(spark, dt_from, dt_to)
+                 .select("dt", F.lit(f"{type(e).__name__}: {e}"[:2000]).alias("failed_rule")),
+                 paths.runs, started)
         raise
     days = rep.where("passed").select("dt")
     if days.limit(1).count() == 0:
-        _log_days(spark, paths, rep.select("dt", "failed_rule"), started, None)
+        log_days(rep.select("dt", "failed_rule"), paths.runs, started)
         raise Q.QualityGateError(f"no day of {dt_from}..{dt_to} passed the gate")
     load_staging(spark, paths, days, locations_mode)
     loaded = (S.read_silver(spark, paths.stg_daily).join(days, "dt", "left_semi")
               .groupBy("dt").agg(F.count(F.lit(1)).cast("int").alias("records_loaded")))
-    _log_days(spark, paths, rep.select("dt", "failed_rule"), started, loaded)
+    log_days(rep.select("dt", "failed_rule"), paths.runs, started, loaded)
     out = {"gate_report": rep}
     if with_gold:
         out.update(build_gold(spark, paths, since=dt_from))
     return out
 
 
-def _now():
-    import datetime as _dt
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-
-
-def _log_days(spark: SparkSession, paths: LakePaths, outcome: DataFrame, started,
-              loaded: DataFrame | None) -> None:
-    """Append one run-log row per day (distributed: derived from the gate report)."""
-    finished = _now()
-    df = outcome if loaded is None else outcome.join(loaded, "dt", "left")
-    if loaded is None:
-        df = df.withColumn("records_loaded", F.lit(None).cast("int"))
-    rows = df.select(
-        F.expr("uuid()").alias("run_id"), F.col("dt").cast("date").alias("dt"),
-        F.when(F.col("failed_rule").isNull(), "success").otherwise("failed").alias("status"),
-        F.lit(started).cast("timestamp_ntz").alias("started_at"),
-        F.lit(finished).cast("timestamp_ntz").alias("finished_at"),
-        F.lit(round((finished - started).total_seconds(), 3)).cast("decimal(18,3)").alias("duration_sec"),
-        "records_loaded", F.col("failed_rule").alias("error_summary"))
-    rows.write.mode("append").parquet(paths.runs)
-
-
 def backfill(spark: SparkSession, paths: LakePaths, dt_from, dt_to, **kw) -> dict[str, DataFrame]:
     """All days of [dt_from, dt_to] in one run (each day gated on its own)."""
     return run(spark, paths, dt_from, dt_to, **kw)

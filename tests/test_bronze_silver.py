@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import envelope, land
 from dailylake.operators import flatten as FL

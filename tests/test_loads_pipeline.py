@@ -4,11 +4,10 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import envelope, land
 from dailylake.operators import load as LD
-from dailylake.operators.quality import QualityConfig, QualityGateError
+from dailylake.operators.quality import QualityGateError
 from dailylake.plans import pipeline as PL
 
 D = dt.date

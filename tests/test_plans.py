@@ -1,14 +1,10 @@
 """Physical-plan assertions: pushdown, pruning, shared window exchange, runtime broadcasts."""
 
-import datetime as dt
 import os
 
-from pyspark.sql import functions as F
-
 from dailylake.catalog import REGISTRY
 from dailylake.plans import gold as G
 from dailylake.plans import perf as P
-from dailylake.plans import pipeline as PL
 from dailylake.sources.tables import Tables
 
 SF = "/root/testdata/sf0.001"
