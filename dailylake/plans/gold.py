@@ -65,9 +65,10 @@ def mart_anomalies(fact: DataFrame) -> DataFrame:
     location) joined back; adaptive execution broadcasts it, so the fact is
     not shuffled for the statistics.
     """
-    stats = group_stats(fact, "location_id", "temp_avg_c")
-    return (fact.select("location_id", "date", "temp_avg_c")
-            .join(stats, "location_id")
+    stats = group_stats(fact, "location_id", "temp_avg_c").withColumnRenamed("location_id", "_loc")
+    f = fact.select("location_id", "date", "temp_avg_c")
+    # null-safe: a window PARTITION BY keeps NULL keys together, an equi-join would drop them
+    return (f.join(stats, f["location_id"].eqNullSafe(stats["_loc"]))
             .select("location_id", "date", "temp_avg_c",
                     zscore(F.col("temp_avg_c"), F.col("_mean"), F.col("_sd")).alias("z_score")))
 
