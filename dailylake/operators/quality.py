@@ -78,15 +78,13 @@ def range_counts(df: DataFrame, ranges: list[tuple[str, float, float]],
                  F.count_if(v < F.lit(lo)).alias(f"{c}__low"),
                  F.count_if(v > F.lit(hi)).alias(f"{c}__high")]
     wide = df.groupBy(*by).agg(*aggs)
-    parts = [wide.select(*by, F.lit(c).alias("column"),
-                         F.lit(float(lo)).alias("min_v"), F.lit(float(hi)).alias("max_v"),
-                         F.col(f"{c}__valid").alias("n_valid"),
-                         F.col(f"{c}__low").alias("n_low"), F.col(f"{c}__high").alias("n_high"))
-             for c, lo, hi in ranges]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    per_col = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(float(lo)).alias("min_v"),
+                                 F.lit(float(hi)).alias("max_v"),
+                                 F.col(f"{c}__valid").alias("n_valid"),
+                                 F.col(f"{c}__low").alias("n_low"),
+                                 F.col(f"{c}__high").alias("n_high"))
+                        for c, lo, hi in ranges])
+    return wide.select(*by, F.inline(per_col))
 
 
 def freshness_counts(daily: DataFrame, by: str = "dt") -> DataFrame:
@@ -182,10 +180,17 @@ def gate_report(daily: DataFrame, locations: DataFrame, cfg: QualityConfig = Qua
                                               F.sum("_n").alias("dup_rows")))
     comp = completeness(daily, expected_locations if expected_locations is not None else locations)
 
-    rep = dstats.join(lstats, "dt", "full").join(dup, "dt", "left").join(
-        comp.select("dt", "present", "expected", "ratio"), "dt", "left")
+    # one row per dt: the per-day parts are stacked and folded by one groupBy
+    # (each column is non-NULL in exactly one part) instead of outer joins
+    parts = [dstats, lstats, dup, comp.select("dt", "present", "expected", "ratio")]
     if expected_dts is not None:
-        rep = expected_dts.select(F.col("dt").cast("date").alias("dt")).join(rep, "dt", "full")
+        parts.append(expected_dts.select(F.col("dt").cast("date").alias("dt")))
+    stacked = parts[0].withColumn("dt", F.col("dt").cast("date"))
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p.withColumn("dt", F.col("dt").cast("date")),
+                                      allowMissingColumns=True)
+    value_cols = [c for c in stacked.columns if c != "dt"]
+    rep = stacked.groupBy("dt").agg(*[F.max(c).alias(c) for c in value_cols])
     zero = ["daily_rows", "location_rows", "dup_groups", "dup_rows", "present", "expected"]
     rep = rep.fillna(0, zero)
 

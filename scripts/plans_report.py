@@ -23,8 +23,11 @@ WRITES = {"src_bronze_json", "sink_bronze_roundtrip", "src_silver_parquet", "sin
 
 def summarize(plan: str) -> dict:
     final = plan.split("== Initial Plan ==")[0]
+    lines = final.splitlines()
+    shuffle = re.compile(r"Exchange (?:hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)")
     return {
-        "shuffles": len(re.findall(r"Exchange (?:hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", final)),
+        "shuffles": sum(1 for ln in lines if shuffle.search(ln) and "ReusedExchange" not in ln),
+        "reused": sum(1 for ln in lines if "ReusedExchange" in ln),
         "broadcast_joins": final.count("BroadcastHashJoin"),
         "sort_merge_joins": final.count("SortMergeJoin"),
         "windows": final.count("Window ["),
@@ -42,14 +45,14 @@ def main():
     print(f"# Final physical plans ({os.path.basename(sf_dir)}, AQE on, local[8])\n")
     print("Generated by `scripts/plans_report.py`. Write/round-trip queries are listed after the")
     print("read-side ones; their returned DataFrame is a scan of what they wrote.\n")
-    print("| query | shuffles | broadcast joins | sort-merge joins | windows | hash aggs | sort aggs | codegen stages |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
+    print("| query | shuffles | reused exchanges | broadcast joins | sort-merge joins | windows | hash aggs | sort aggs | codegen stages |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     pushed = {}
     for name in sorted(REGISTRY, key=lambda n: (n in WRITES, n)):
         df = REGISTRY[name](spark, sf_dir)
         df.collect()
         s = summarize(df._jdf.queryExecution().executedPlan().toString())
-        print(f"| {name} | {s['shuffles']} | {s['broadcast_joins']} | {s['sort_merge_joins']} | "
+        print(f"| {name} | {s['shuffles']} | {s['reused']} | {s['broadcast_joins']} | {s['sort_merge_joins']} | "
               f"{s['windows']} | {s['hash_aggs']} | {s['sort_aggs']} | {s['codegen_stages']} |")
         if s["pushed"]:
             pushed[name] = s["pushed"]
