@@ -22,19 +22,24 @@ def _snap(df):
     return sorted(tuple(str(v) for v in r) for r in df.collect())
 
 
-def test_append_and_backfill_equal_full_rebuild(spark, tmp_root):
+import pytest
+
+
+# 10 days: too few rows in the window; 1 day: no row at all in it -> full-history fallback
+@pytest.mark.parametrize("window_days", [400, 10, 1])
+def test_append_and_backfill_equal_full_rebuild(spark, tmp_root, window_days):
     days = [D(2024, 1, 1) + dt.timedelta(days=i) for i in range(0, 90, 2)]  # gaps, 3 months
     base = fact_df(spark, _rows(days))
     for name, (build, _) in INC.TRAILING_MARTS.items():
-        root = os.path.join(tmp_root, name)
+        root = os.path.join(tmp_root, f"{name}-{window_days}")
         INC.write_full(build(base), root)
         # append one day, then backfill a day in the middle of February
         new_day, old_day = D(2024, 4, 1), D(2024, 2, 11)
         grown = fact_df(spark, _rows(days + [new_day]))
-        INC.refresh_into(spark, grown, root, name, new_day)
+        INC.refresh_into(spark, grown, root, name, new_day, window_days)
         assert _snap(INC.read_mart(spark, root)) == _snap(build(grown))
         filled = fact_df(spark, _rows(sorted(days + [new_day, old_day])))
-        INC.refresh_into(spark, filled, root, name, old_day)
+        INC.refresh_into(spark, filled, root, name, old_day, window_days)
         assert _snap(INC.read_mart(spark, root)) == _snap(build(filled))
 
 
