@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailylake.llm import bpe
+from dailylake.llm import bpe, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": simhash.simhash,
     "op5_byte_bpe": bpe.byte_bpe,
+    "op10_pii": pii.personal_data,
 }
 
 ORACLE: dict[str, str] = {}
