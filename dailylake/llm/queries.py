@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailylake.llm import bpe, pii, simhash
+from dailylake.llm import bpe, pii, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": topk.vector_search,
     "op2_simhash": simhash.simhash,
     "op5_byte_bpe": bpe.byte_bpe,
     "op10_pii": pii.personal_data,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_topk": topk.VECTOR_SEARCH_SQL,
+}
