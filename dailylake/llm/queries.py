@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailylake.llm import bpe, pii, simhash, topk
+from dailylake.llm import bpe, langid, pii, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": topk.vector_search,
     "op2_simhash": simhash.simhash,
     "op5_byte_bpe": bpe.byte_bpe,
+    "op9_langid": langid.language_id,
     "op10_pii": pii.personal_data,
 }
 
