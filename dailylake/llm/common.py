@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dailylake.session import scratch_path
 
 #: Text bytes that one step of a Python task holds at a time.
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 12 << 20
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
