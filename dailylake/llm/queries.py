@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailylake.llm import bpe, langid, pii, quality, simhash, topk
+from dailylake.llm import bpe, langid, lm, pii, quality, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": topk.vector_search,
     "op2_simhash": simhash.simhash,
+    "op4_lm_score": lm.lm_score,
     "op5_byte_bpe": bpe.byte_bpe,
     "op8_quality": quality.quality,
     "op9_langid": langid.language_id,
