@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailylake.llm import bpe, langid, lm, pii, quality, simhash, topk
+from dailylake.llm import bpe, decontaminate, langid, lm, pii, quality, sharding, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": topk.vector_search,
     "op2_simhash": simhash.simhash,
+    "op3_sharding": sharding.shards,
     "op4_lm_score": lm.lm_score,
     "op5_byte_bpe": bpe.byte_bpe,
+    "op6_decontamination": decontaminate.contamination,
     "op8_quality": quality.quality,
     "op9_langid": langid.language_id,
     "op10_pii": pii.personal_data,
@@ -20,4 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_topk": topk.VECTOR_SEARCH_SQL,
+    "op3_sharding": sharding.SHARDS_SQL,
+    "op6_decontamination": decontaminate.CONTAMINATION_SQL,
 }
