@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from dailylake.llm.common import chunks
 
@@ -242,6 +243,31 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
     return _run(docs, ranks_path, pattern, True, id_col, text_col)
 
 
+def with_tokens(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` and ``token_ids``, ``n_tokens`` and ``decodes``: whether decoding the
+    ids gave the text again. Columns of these names are replaced."""
+    tokens = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    names = ("token_ids", "n_tokens", "decodes")
+    own = docs.select([c for c in docs.columns if c.lower() not in names])
+    at = own.columns.index(text_col)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = None
+        for part in chunks(batches, at):
+            vocab = vocab or Vocabulary(tokens.value, pattern)
+            texts = part.column(at).to_pylist()
+            rows, pieces = encode_texts(vocab, texts)
+            flat = [np.array(p, np.int32) for p in pieces]
+            ids = [np.concatenate([flat[i] for i in r.tolist()]) if len(r) else np.empty(0, np.int32) for r in rows]
+            right = [b"".join([vocab.tokens[t] for t in i.tolist()]) == (t or "").encode() for i, t in zip(ids, texts)]
+            offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+            listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids)))
+            yield pa.RecordBatch.from_arrays([*(c.combine_chunks() for c in part.columns), listed, pa.array(np.diff(offsets)), pa.array(right)], [*part.column_names, *names])
+
+    schema = StructType([*own.schema.fields, *StructType.fromDDL("token_ids array<int>, n_tokens long, decodes boolean").fields])
+    return own.mapInArrow(task, schema)
+
+
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``doc_id`` and the bytes (``data``) that the ids of ``token_ids`` stand for; null ids give none."""
     tokens = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))

@@ -72,15 +72,15 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed long, of every row."""
+    """``doc_id``, ``fp`` (the fingerprint as a signed long) and ``text_hash`` of every row."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
             fps = np.array([fingerprint(t.as_py(), words) for t in part.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column(0).combine_chunks(), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column(0).combine_chunks(), pa.array(fps.view(np.int64)), part.column(2).combine_chunks()], ["doc_id", "fp", "text_hash"])
 
-    own = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
-    return own.mapInArrow(task, "doc_id long, fp long")
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    return own.mapInArrow(task, "doc_id long, fp long, text_hash long")
 
 
 def _forest(members: np.ndarray, positions: tuple[int, ...], max_bits: int) -> Iterator[tuple[int, int]]:
@@ -137,17 +137,38 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return pairs.union(members.select("choice", "fps").mapInArrow(task, "a long, b long")).distinct()
 
 
+def _rooted(own: DataFrame, max_bits: int) -> DataFrame:
+    """``fp``, its smallest id ``first``, and the ``root`` of its group, for the fingerprints of ``own``."""
+    distinct = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    roots = components(links(distinct, max_bits))
+    return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row."""
     own = materialize(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    distinct = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(links(distinct, max_bits))
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(own, max_bits)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = rooted.join(smallest, "root").select("fp", "component_id")
     return own.join(by_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def keep_first(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each near-duplicate group, with its columns as they are.
+
+    The row with the smallest id stays (null ids come last, the smaller hash of the text
+    decides between rows of one id); of rows with equal id and text, any one.
+    """
+    own = materialize(fingerprints(docs, words, id_col, text_col), "fingerprints")
+    rows = own.groupBy("fp", "doc_id", "text_hash").agg(F.count("*").alias("n")).join(_rooted(own, max_bits).select("fp", "root"), "fp")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n")
+    kept = materialize(rows.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("llm_id"), F.col("k.text_hash").alias("llm_text"), (F.col("k.n") > 1).alias("llm_again")), "kept")
+    key = docs[id_col].cast("long").eqNullSafe(F.col("llm_id")) & (F.xxhash64(docs[text_col]) == F.col("llm_text"))
+    single = docs.join(kept.where("not llm_again"), key, "left_semi")
+    again = docs.join(kept.where("llm_again"), key).dropDuplicates(["llm_id", "llm_text"])
+    return single.select(*docs.columns).union(again.select(*docs.columns))
+
+
 def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: near-duplicate groups of all documents (3-word shingles, 2 bits)."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -1,0 +1,75 @@
+"""The pipeline's stages against brute-force versions of their decisions."""
+
+import json
+
+import public_tokenizers as P
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from dailylake.llm import bpe, pii, quality, simhash
+
+from .test_decontaminate import plain as contained
+from .test_simhash import plain_fingerprint, plain_groups
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_run(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    judged = quality.judge(docs, spark.read.parquet(f"{SF}/labels.parquet")).where("kept")
+    good = {r.doc_id for r in judged.collect()}
+    rows = [r for r in rows if r[0] in good]
+    groups = plain_groups([(i, plain_fingerprint(t)) for i, t in rows])
+    rows = [(i, t) for i, t in rows if groups[i, plain_fingerprint(t)] == i]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    bad = {d for d, _, _ in contained(rows, items)}
+    assert bad and len(good) > 500 and len(rows) < len(good)
+    cues = pii.automaton()
+    want = {i: pii.redact_text(t, pii.find_spans(t, cues)) for i, t in rows if i not in bad}
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns == [*docs.columns, "token_ids", "n_tokens", "decodes"]
+    out = {r.doc_id: r for r in got.collect()}
+    assert {i: r.text for i, r in out.items()} == want
+    vocab = bpe.read_ranks(P.path("byte_bpe_50k.tiktoken"))
+    known = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks={t: i for i, t in enumerate(vocab)}, special_tokens={})
+    for r in out.values():
+        assert r.n_chars == len(r.text) and r.decodes and r.n_tokens == len(r.token_ids)
+    assert all(list(r.token_ids) == known.encode_ordinary(r.text) for r in list(out.values())[:100])
+
+
+@pytest.fixture
+def odd(spark, tmp_path):
+    rows = [(1, None, None, "s", None), (2, "", "en", "s", 0), (3, "a b c d e", "en", None, 9), (3, "a b c d e", "en", None, 9), (None, "x@y.zz q", "fr", "t", 8), (5, "a b c d e", None, "t", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("token_ids", F.lit("clash")).withColumn("llm", F.lit(1)).withColumn("fp", F.lit(2))
+    path = str(tmp_path)
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return path
+
+
+def test_odd_rows_and_columns(spark, odd):
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs2 = stage(spark, docs, odd)
+        assert docs2.columns == docs.columns, name
+        assert stage(spark, docs.limit(0), odd).count() == 0, name
+        docs = docs2
+    got = corpus_pipeline.run(spark, odd).collect()
+    assert sorted((r.doc_id, r.text) for r in got if r.doc_id is not None) == [(1, None), (3, "a b c d e")]
+    assert [r.text for r in got if r.doc_id is None] == ["[EMAIL] q"]
+    assert [r.n_chars for r in got if r.doc_id is None] == [9]
+    assert {json.dumps(list(r.token_ids)) for r in got if r.text is None} == {"[]"}
+
+
+def test_one_row_of_each_group(spark):
+    rows = [(9, "a b c d"), (4, "a b c d"), (4, "a b c d"), (4, "A b c d"), (None, "a b c d"), (None, "z"), (None, "z"), (7, "other words here")]
+    got = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text.lower()) for r in got), key=str) == [(4, "a b c d"), (7, "other words here"), (None, "z")]
+
+
+def test_stage_list():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "simhash", "decontamination", "pii", "byte_bpe"]
