@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailylake.llm import bpe, decontaminate, langid, lm, pii, quality, sharding, simhash, topk
+from dailylake.llm import bpe, decontaminate, langid, lm, pii, quality, sharding, simhash, suffixdedup, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": topk.vector_search,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lm_score": lm.lm_score,
     "op5_byte_bpe": bpe.byte_bpe,
     "op6_decontamination": decontaminate.contamination,
+    "op7_suffix_dedup": suffixdedup.suffix_dedup,
     "op8_quality": quality.quality,
     "op9_langid": langid.language_id,
     "op10_pii": pii.personal_data,
