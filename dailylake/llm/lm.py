@@ -129,9 +129,29 @@ class Lattice:
         return alpha
 
     def log_probability(self, word: bytes) -> float:
-        """Natural log of the sum over all segmentations."""
+        """Natural log of the sum over all segmentations (arcs and forward recursion in one)."""
         text = START + word
-        return self.forward(self.arcs(text), len(text))[-1] + math.log(self.stop)
+        n = len(text)
+        exp, log1p, nowhere = math.exp, math.log1p, -math.inf
+        alpha = [nowhere] * (n + 1)
+        alpha[0] = 0.0
+        get, extra = self.tables[0].get, 0.0
+        for i in range(n):
+            here = alpha[i]
+            if here > nowhere:
+                here += extra
+                for j in range(i + 1, n + 1):
+                    p = get(text[i:j], 0.0)
+                    if p is None:
+                        continue
+                    if p == 0.0:
+                        break
+                    p += here
+                    old = alpha[j]
+                    alpha[j] = old + log1p(exp(p - old)) if old >= p else p + log1p(exp(old - p))
+            if not i:
+                get, extra = self.tables[1].get, log1p(-self.stop)
+        return alpha[n] + math.log(self.stop)
 
     def expect(self, word: bytes, into: dict[bytes, float]) -> None:
         """Add the expected count of each piece in the word's segmentations."""
