@@ -23,7 +23,6 @@ def money(c) -> Column:
     return _c(c).cast(MONEY)
 
 
-def avg_money(c, window=None) -> Column:
-    """avg(x)::numeric(10,2), optionally over a window."""
-    a = F.avg(_c(c))
-    return money(a.over(window) if window is not None else a)
+def avg_money(c) -> Column:
+    """avg(x)::numeric(10,2)."""
+    return money(F.avg(_c(c)))

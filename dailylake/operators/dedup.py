@@ -9,6 +9,9 @@ deterministic.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +44,7 @@ def keep_last(df: DataFrame, keys: list[str], position: list[Column | str]) -> D
     """``drop_duplicates(subset=keys, keep="last")`` where ``position`` gives input order.
 
     DataFrame row order is not a guarantee in Spark, so the position must be
-    explicit (bronze: the source file path, then the line in it).
+    explicit (bronze: ``flatten.delivery_order``).
     """
     return latest_by_key(df, keys, position, nulls_first=False)
 
@@ -50,10 +53,12 @@ def duplicate_members(df: DataFrame, keys: list[str]) -> DataFrame:
     """All rows whose key occurs more than once (pandas ``duplicated(keep=False)``).
 
     Counts per key are pre-aggregated, then joined back; AQE splits a hot key's
-    join partition if needed.
+    join partition if needed. NULL keys count as equal.
     """
-    dup_keys = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return df.join(dup_keys, keys, "left_semi")
+    dup_keys = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+                .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]))
+    same = reduce(and_, [df[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return df.join(dup_keys, same, "left_semi")
 
 
 def duplicate_groups(df: DataFrame, keys: list[str], n: int | None = 5) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Bronze -> silver flattening (P1, P2) with coercion and keep-last dedup."""
+"""Bronze -> silver flattening (P1, P2) with coercion; the delivery order for keep-last."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from dailylake.functions.coerce import (to_date_strict, to_double, to_int, to_timestamp_local,
                                         to_timestamp_utc)
-from dailylake.operators.dedup import keep_last
-from dailylake.schemas import SILVER_DAILY, SILVER_LOCATIONS
 
 
 def _dt(bronze: DataFrame) -> Column:
@@ -54,21 +52,21 @@ def silver_daily(bronze: DataFrame) -> DataFrame:
                     *_position(bronze)))
 
 
-def _position(bronze: DataFrame) -> list[Column]:
-    return [F.col("source_file")] if "source_file" in bronze.columns else []
+#: Columns that order the deliveries of a key, in both silver outputs alike.
+DELIVERY = ["_arrived", "_record"]
+
 
+def delivery_order(bronze: DataFrame) -> DataFrame:
+    """Bronze with ``_arrived`` and ``_record``: which of two records of a key is the later.
 
-def dedup_daily(daily: DataFrame, position: list[str] | None = None) -> DataFrame:
-    """Keep the last record per (location_id, date) in listing order."""
-    pos = position or (["source_file"] if "source_file" in daily.columns else [])
-    out = keep_last(daily, ["location_id", "date"], pos) if pos else \
-        keep_last(daily, ["location_id", "date"], ["ingested_at"])
-    return out.select(*[f.name for f in SILVER_DAILY.fields])
+    Landed files come in listing order, one record each; in Spark-written bronze the
+    file names mean nothing, so the time of ingestion decides. Equal times are
+    decided by the record's text, the same for both outputs.
+    """
+    arrived = (F.col("source_file") if "source_file" in bronze.columns
+               else F.date_format(to_timestamp_utc("metadata.ingested_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    return bronze.withColumns({"_arrived": arrived, "_record": F.to_json(F.struct("metadata", "payload"))})
 
 
-def dedup_locations(locs: DataFrame, position: list[str] | None = None) -> DataFrame:
-    """Keep the last record per location_id in listing order."""
-    pos = position or (["source_file"] if "source_file" in locs.columns else [])
-    out = keep_last(locs, ["location_id"], pos) if pos else \
-        keep_last(locs, ["location_id"], ["ingested_at"])
-    return out.select(*[f.name for f in SILVER_LOCATIONS.fields])
+def _position(bronze: DataFrame) -> list[Column]:
+    return [F.col(c) for c in DELIVERY if c in bronze.columns]

@@ -13,14 +13,16 @@ none (a (location_id, date) pair may collide across two dts).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from dailylake.functions.coerce import nan_to_null, to_double, to_timestamp_local, to_timestamp_utc
 from dailylake.operators.dedup import keep_last
 from dailylake.schemas import (NUMERIC, STG_DAILY_COLUMNS, STG_LOCATIONS_COLUMNS,
                                STG_LOCATIONS_OPTIONAL)
+from dailylake.session import delete_path, path_exists, scratch_path, swap_path
 
 
 class LoadError(ValueError):
@@ -88,10 +90,11 @@ def staging_location_rows(silver_locations: DataFrame, position: list[str] | Non
 
 
 def read_table(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(root)
-    except AnalysisException:
-        return None
+    """The Parquet table at ``root``; None if the folder is not there.
+
+    A folder without readable files (a crashed write) is an error, not an empty table.
+    """
+    return spark.read.parquet(root) if path_exists(spark, root) else None
 
 
 def check_unique(df: DataFrame, keys: list[str], what: str) -> None:
@@ -102,37 +105,51 @@ def check_unique(df: DataFrame, keys: list[str], what: str) -> None:
         raise LoadError(f"{what}: duplicate key {keys}: {[tuple(r) for r in dup]}")
 
 
-# A daily load or a backfill touches a bounded set of dates; up to this many
-# are pushed to the Parquet scan as an IN filter.
-MAX_PUSHED_DATES = 10_000
+def check_not_null(df: DataFrame, keys: list[str], what: str) -> None:
+    """NOT NULL part of a primary key."""
+    n = df.agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in keys]).first()
+    if any(n):
+        raise LoadError(f"{what}: null key values: { {k: n[k] for k in keys if n[k]} }")
 
 
 def load_daily_replace_dt(spark: SparkSession, rows: DataFrame, root: str,
-                          check_keys: bool = True) -> None:
+                          check_keys: bool = True, date_is_dt: bool = False) -> None:
     """Replace the dt partitions present in ``rows``; other days survive.
 
-    The key check reads only existing rows that can collide: those whose
-    ``date`` is one of the loaded dates (pushed down as an ``IN`` filter, so
-    row groups of other dates are skipped), outside the replaced dts.
+    ``date_is_dt``: the rows' date must be their dt (the gate's rule). Then a key
+    can only collide with rows of its own, replaced day, and nothing stored is
+    read. Otherwise the stored keys of other days are joined with the new ones.
     """
     if check_keys:
-        existing = read_table(spark, root)
+        what = "stg_weather_daily"
         keys = rows.select("dt", "location_id", "date")
-        if existing is not None:
-            old = existing.select(F.col("dt").cast("date").alias("dt"), "location_id", "date")
-            dates = [r[0] for r in rows.select("date").distinct().limit(MAX_PUSHED_DATES + 1).collect()]
-            if len(dates) <= MAX_PUSHED_DATES:
-                old = old.where(F.col("date").isin(dates))
-            old = old.join(keys.select("dt").distinct(), "dt", "left_anti")
+        check_not_null(keys, ["dt", "location_id", "date"], what)
+        if date_is_dt:
+            wrong = keys.where(F.col("date") != F.col("dt")).limit(5).collect()
+            if wrong:
+                raise LoadError(f"{what}: date differs from dt: {[tuple(r) for r in wrong]}")
+        elif (existing := read_table(spark, root)) is not None:
+            old = (existing.select(F.col("dt").cast("date").alias("dt"), "location_id", "date")
+                   .join(keys.select("location_id", "date").distinct(), ["location_id", "date"], "left_semi")
+                   .join(keys.select("dt").distinct(), "dt", "left_anti"))
             keys = keys.unionByName(old)
-        check_unique(keys, ["location_id", "date"], "stg_weather_daily")
+        check_unique(keys, ["location_id", "date"], what)
     (rows.hint("rebalance", "dt").sortWithinPartitions("dt", "location_id", "date")
-         .write.mode("overwrite").partitionBy("dt").parquet(root))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("dt").parquet(root))
 
 
 def load_locations_full(rows: DataFrame, root: str) -> None:
     """DELETE all + INSERT: the table becomes exactly ``rows``."""
-    rows.write.mode("overwrite").parquet(root)
+    _write_whole(rows, root)
+
+
+def _write_whole(rows: DataFrame, root: str) -> None:
+    """Write beside the table, then swap: readers see the old table or the new one."""
+    spark = rows.sparkSession
+    beside = f"{root}.new-{uuid.uuid4().hex[:8]}"
+    rows.write.parquet(beside)
+    swap_path(spark, beside, root)
 
 
 def upsert_by_key(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
@@ -143,45 +160,41 @@ def upsert_by_key(target: DataFrame, updates: DataFrame, keys: list[str]) -> Dat
 
 def upsert_into(spark: SparkSession, updates: DataFrame, root: str, keys: list[str],
                 partition_by: str | None = None) -> None:
-    """Upsert into the Parquet table at ``root``.
-
-    Unpartitioned: the merged table is rewritten. Partitioned by
-    ``partition_by``: only the affected partitions are rewritten (the
-    partitions of the updates and those their keys move out of), with dynamic
-    overwrite; if one of them would end up empty (every row moved elsewhere),
-    the whole table is rewritten, since a dynamic overwrite cannot drop a
-    partition.
-
-    A job cannot overwrite files it reads, so the merged rows are first
-    checkpointed (reliable checkpoint under ``spark.checkpoint.dir``), which
-    cuts the lineage to the old files.
+    """Upsert into the Parquet table at ``root``; a key may occur once in ``updates``.
+
+    Unpartitioned: the merged table is written beside the old one and swapped
+    in. Partitioned by ``partition_by``: only the affected partitions are
+    rewritten (those of the updates and those their keys move out of). Their
+    merged rows are first written to the shared scratch folder, since a job
+    cannot overwrite files that it reads; a partition that all rows left is
+    deleted.
     """
-    from dailylake.session import checkpoint_root
-    checkpoint_root(spark)
+    check_not_null(updates, keys, root)
+    check_unique(updates, keys, root)
     target = read_table(spark, root)
     if target is None:
-        w = updates.write.mode("overwrite")
-        (w.partitionBy(partition_by) if partition_by else w).parquet(root)
+        if partition_by:
+            updates.write.partitionBy(partition_by).parquet(root)
+        else:
+            _write_whole(updates, root)
+        return
+    if not partition_by:
+        _write_whole(upsert_by_key(target.select(*updates.columns), updates, keys), root)
         return
-    target = target.select(*updates.columns)
-    if partition_by:
-        p = partition_by
-        moved = target.join(updates.select(*keys).distinct(), keys, "left_semi").select(p)
-        affected = updates.select(p).union(moved).distinct()
-        scope = target.join(affected, p, "left_semi")
-        merged = upsert_by_key(scope, updates, keys).checkpoint(eager=True)
-        emptied = affected.join(merged.select(p).distinct(), p, "left_anti")
-        if emptied.limit(1).count() == 0:
-            (merged.hint("rebalance", p).write.mode("overwrite").partitionBy(p).parquet(root))
-            return
-    merged = upsert_by_key(target, updates, keys).checkpoint(eager=True)
-    w = merged.write.mode("overwrite")
-    if partition_by:
-        # every partition is rewritten, including the ones that became empty
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
-        try:
-            w.partitionBy(partition_by).parquet(root)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    else:
-        w.parquet(root)
+    p = partition_by
+    # partition values come back as text: keep the table's own type for them
+    kind = updates.schema[p].dataType
+    target = target.withColumn(p, F.col(p).cast(kind)).select(*updates.columns)
+    moved = target.join(updates.select(*keys).distinct(), keys, "left_semi").select(p)
+    affected = updates.select(p).union(moved).distinct()
+    scratch = scratch_path(spark, "upsert")
+    upsert_by_key(target.join(affected, p, "left_semi"), updates, keys).write.parquet(f"{scratch}/rows")
+    affected.write.parquet(f"{scratch}/affected")
+    merged = spark.read.parquet(f"{scratch}/rows")
+    emptied = (spark.read.parquet(f"{scratch}/affected").join(merged.select(p).distinct(), p, "left_anti")
+               .select(F.col(p).cast("string")))
+    (merged.hint("rebalance", p).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy(p).parquet(root))
+    for r in emptied.toLocalIterator():
+        delete_path(spark, f"{root}/{p}={r[0]}")
+    delete_path(spark, scratch)

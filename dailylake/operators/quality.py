@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dailylake.functions.coerce import to_double
+from dailylake.operators.dedup import duplicate_groups
 
 DAILY_REQUIRED = ["location_id", "date", "ingested_at"]
 LOCATIONS_REQUIRED = ["location_id", "name", "country", "lat", "lon", "tz_id", "ingested_at"]
@@ -124,20 +125,30 @@ def completeness(daily: DataFrame, expected: DataFrame, by: str = "dt") -> DataF
                       F.col("expected").cast("bigint").alias("expected"), ratio.alias("ratio"))
 
 
-def missing_locations(daily: DataFrame, registry: DataFrame, n: int = 10,
+def missing_locations(daily: DataFrame, expected: DataFrame, n: int = 10,
                       by: str = "dt") -> DataFrame:
-    """Per dt: the first ``n`` configured locations (sorted) without a daily row.
+    """Per dt: the first ``n`` expected locations (sorted) without a daily row.
 
-    The configured ids are one sorted array (a scalar subquery over the
-    registry, bounded by the registry); per dt, the present ids are a set of
-    at most that many values. No grid of days x locations is built.
+    ``expected`` is per-dt (has a ``dt`` column) or a registry without ``dt``. The
+    registry is expanded only for days that don't have all of it, dealt by a hash
+    of the location so that no task needs it whole; the rest is an anti join.
     """
-    ids = registry.agg(F.sort_array(F.collect_set(F.col("location_id").cast("string")))).scalar()
-    per_day = daily.groupBy(by).agg(
-        F.collect_set(F.col("location_id").cast("string")).alias("_present"))
-    miss = F.slice(F.array_except(ids, F.col("_present")), 1, n)
-    return (per_day.select(by, F.posexplode(miss).alias("rank", "location_id"))
-            .withColumn("rank", F.col("rank") + 1))
+    present = daily.select(by, F.col("location_id").cast("string").alias("location_id")).distinct()
+    ids = F.col("location_id").cast("string").alias("location_id")
+    if by in expected.columns:
+        wanted = expected.select(by, ids).distinct()
+    else:
+        parts = 32
+        ids = expected.select(ids).distinct()
+        have = present.join(ids, "location_id", "left_semi").groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+        short = (daily.select(by).distinct().join(have, by, "left")
+                 .where(F.coalesce(F.col("_n"), F.lit(0)) < ids.agg(F.count(F.lit(1))).scalar()))
+        dealt = short.select(by, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
+        wanted = dealt.join(ids.withColumn("_part", F.pmod(F.hash("location_id"), F.lit(parts))), "_part").drop("_part")
+    w = Window.partitionBy(by).orderBy("location_id")
+    return (wanted.join(present, [by, "location_id"], "left_anti")
+            .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+            .select(by, "rank", "location_id"))
 
 
 # ---- gate report ---------------------------------------------------------------------
@@ -216,7 +227,6 @@ def offenders(daily: DataFrame, cfg: QualityConfig = QualityConfig(), n: int = 5
     (rule, dt, location_id, date, value), the first ``n`` per rule in
     (dt, location_id, date) order: a bounded, deterministic sample.
     """
-    from pyspark.sql import Window
     d = F.col("date").try_cast("date")
     parts = [daily.where(d.isNull() | (d != F.col("dt").cast("date")))
              .select(F.lit("date_ne_dt").alias("rule"), "dt", "location_id", "date",
@@ -235,22 +245,35 @@ def offenders(daily: DataFrame, cfg: QualityConfig = QualityConfig(), n: int = 5
 
 
 def raise_on_failure(report: DataFrame, sample: int = 5, daily: DataFrame | None = None,
-                     cfg: QualityConfig = QualityConfig()) -> DataFrame:
-    """Raise with the first failing days (bounded sample), plus offending rows
-    when ``daily`` is given; return the report otherwise."""
-    bad = (report.where(~F.col("passed")).select("dt", "failed_rule")
-           .orderBy("dt").limit(sample).collect())
-    if bad:
-        n = report.where(~F.col("passed")).count()
-        shown = ", ".join(f"dt={r['dt']}: {r['failed_rule']}" for r in bad)
-        msg = f"{n} day(s) failed. First: {shown}"
-        if daily is not None:
-            rows = offenders(daily, cfg, sample).orderBy("rule", "dt", "location_id").collect()
+                     cfg: QualityConfig = QualityConfig(),
+                     expected: DataFrame | None = None) -> DataFrame:
+    """Raise with the first failing days (bounded sample); return the report otherwise.
+
+    With ``daily`` the message shows rows of the failing days that break the
+    freshness and range rules and duplicated keys with their counts; with
+    ``expected`` also locations that are missing.
+    """
+    failing = report.where(~F.col("passed"))
+    bad = failing.select("dt", "failed_rule").orderBy("dt").limit(sample).collect()
+    if not bad:
+        return report
+    shown = ", ".join(f"dt={r['dt']}: {r['failed_rule']}" for r in bad)
+    msg = f"{failing.count()} day(s) failed. First: {shown}"
+    if daily is not None:
+        own = daily.join(failing.select("dt"), "dt", "left_semi")
+        rows = offenders(own, cfg, sample).orderBy("dt", "location_id", "rule").limit(sample).collect()
+        if rows:
+            msg += ". Sample: " + ", ".join(f"{r['rule']} {r['location_id']}/{r['date']}={r['value']}" for r in rows)
+        rows = duplicate_groups(own, ["dt", "location_id", "date"], sample).collect()
+        if rows:
+            msg += ". Duplicates: " + ", ".join(f"{r['location_id']}/{r['date']} x{r['count']}" for r in rows)
+        if expected is not None:
+            if "dt" in expected.columns:
+                expected = expected.join(failing.select("dt"), "dt", "left_semi")
+            rows = missing_locations(own, expected, sample).orderBy("dt", "rank").limit(sample).collect()
             if rows:
-                msg += ". Sample: " + ", ".join(
-                    f"{r['rule']} {r['location_id']}/{r['date']}={r['value']}" for r in rows[:sample])
-        raise QualityGateError(msg)
-    return report
+                msg += ". Missing: " + ", ".join(f"{r['dt']} {r['location_id']}" for r in rows)
+    raise QualityGateError(msg)
 
 
 # ---- model tests (C11-C14) ----------------------------------------------------------

@@ -5,11 +5,10 @@ the new rows; a backfilled day changes the rows after it. So only the months
 from the first changed date on are recomputed and rewritten. The stored mart
 is partitioned by ``month`` (dynamic overwrite); every other month stays as it
 is. The window frames of the recomputed rows are seeded with the last
-``lookback`` rows of each location before that month, looked up in a bounded
-date range first (prunable scan), with a full-history fallback only for
-locations that have too few rows in it. Spark plans ``row_number() <= k`` as
-a per-task group limit before the shuffle. The result is exactly equal to a
-full rebuild (property-tested, including the fallback).
+``lookback`` rows of each location before that month. The seed reads the
+mart's columns of all earlier months; Spark plans ``row_number() <= k`` as a
+per-task group limit, so ``lookback`` rows of a location and task are shuffled.
+The result is exactly equal to a full rebuild (property-tested).
 """
 
 from __future__ import annotations
@@ -40,45 +39,23 @@ def write_full(mart: DataFrame, root: str) -> None:
 
 
 def refresh(fact: DataFrame, build: Callable[[DataFrame], DataFrame], lookback: int,
-            since: _dt.date | str, window_days: int = 400) -> DataFrame:
+            since: _dt.date | str) -> DataFrame:
     """Mart rows for every date in the months from ``since`` on, computed with
-    ``lookback`` rows of seed per location.
-
-    The seed is taken from the last ``window_days`` before the first refreshed
-    month (a date range the Parquet scan can prune to). Only locations with
-    fewer than ``lookback`` rows in that range (long gaps, or a short history)
-    are seeded from their full history, so the result stays exact.
-    """
+    the last ``lookback`` earlier rows of each location as seed."""
     start = F.trunc(F.lit(str(since)).cast("date"), "month")
-    cols = fact.columns
-    w = Window.partitionBy("location_id").orderBy(F.col("date").desc())
-
-    def top(df: DataFrame) -> DataFrame:
-        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= lookback)
-
-    recent = top(fact.where((F.col("date") < start)
-                            & (F.col("date") >= F.date_sub(start, window_days))))
-    seed = recent.select(*cols)
     tail = fact.where(F.col("date") >= start)
-    # only locations in the refreshed tail need a seed; a location with no row
-    # in the window counts 0
-    counts = recent.groupBy("location_id").agg(F.count(F.lit(1)).alias("_n"))
-    short = (tail.select("location_id").distinct().join(counts, "location_id", "left")
-             .where(F.coalesce(F.col("_n"), F.lit(0)) < lookback).select("location_id"))
-    if short.limit(1).count() > 0:
-        older = top(fact.where(F.col("date") < start).join(short, "location_id", "left_semi"))
-        seed = (recent.join(short, "location_id", "left_anti").select(*cols)
-                .unionByName(older.select(*cols)))
+    w = Window.partitionBy("location_id").orderBy(F.col("date").desc())
+    seed = (fact.where(F.col("date") < start).withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") <= lookback).select(*fact.columns))
     return build(seed.unionByName(tail)).where(F.col("date") >= start)
 
 
-def refresh_into(spark: SparkSession, fact: DataFrame, root: str, name: str, since,
-                 window_days: int = 400) -> None:
+def refresh_into(spark: SparkSession, fact: DataFrame, root: str, name: str, since) -> None:
     """Recompute and overwrite the affected months of a stored trailing mart."""
     build, lookback = TRAILING_MARTS[name]
-    rows = refresh(fact, build, lookback, since, window_days).withColumn("month", _month())
-    (rows.hint("rebalance", "month")
-         .write.mode("overwrite").partitionBy("month").parquet(root))
+    rows = refresh(fact, build, lookback, since).withColumn("month", _month())
+    (rows.hint("rebalance", "month").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(root))
 
 
 def read_mart(spark: SparkSession, root: str) -> DataFrame:

@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 from dailylake.operators import flatten as FL
 from dailylake.operators import load as LD
 from dailylake.operators import quality as Q
+from dailylake.operators.dedup import keep_last
 from dailylake.operators.runlog import log_days, utc_now
 from dailylake.plans import gold as G
+from dailylake.plans import incremental as INC
+from dailylake.schemas import SILVER_DAILY, SILVER_LOCATIONS
+from dailylake.session import delete_path, path_exists, scratch_path
 from dailylake.sources import bronze as B
 from dailylake.sources import silver as S
 
@@ -56,6 +60,11 @@ class LakePaths:
     def runs(self) -> str:
         return self._p("monitoring", "pipeline_runs")
 
+    @property
+    def pending(self) -> str:
+        """Days loaded into staging that the marts have not seen."""
+        return self._p("monitoring", "pending_days")
+
     def gold(self, name: str) -> str:
         return self._p("gold", name)
 
@@ -71,26 +80,30 @@ def _dt_filter(df: DataFrame, dt_from, dt_to, col: str = "dt") -> DataFrame:
 
 def silver_from_bronze(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Flatten and keep the last record per key *within each dt* (as a per-day run does)."""
-    daily = FL.silver_daily(bronze)
-    locs = FL.silver_locations(bronze)
-    pos = ["source_file"] if "source_file" in bronze.columns else ["ingested_at"]
-    from dailylake.operators.dedup import keep_last
-    from dailylake.schemas import SILVER_DAILY, SILVER_LOCATIONS
-    daily = keep_last(daily, ["dt", "location_id", "date"], pos).select(
-        *[f.name for f in SILVER_DAILY.fields])
-    locs = keep_last(locs, ["dt", "location_id"], pos).select(
-        *[f.name for f in SILVER_LOCATIONS.fields])
-    return daily, locs
+    ordered = FL.delivery_order(bronze)
+    daily = keep_last(FL.silver_daily(ordered), ["dt", "location_id", "date"], FL.DELIVERY)
+    locs = keep_last(FL.silver_locations(ordered), ["dt", "location_id"], FL.DELIVERY)
+    return (daily.select(*[f.name for f in SILVER_DAILY.fields]),
+            locs.select(*[f.name for f in SILVER_LOCATIONS.fields]))
 
 
 def bronze_to_silver(spark: SparkSession, paths: LakePaths, dt_from, dt_to=None,
-                     landed: bool = False) -> None:
-    """Read bronze for the day(s), flatten, dedup, overwrite those silver days."""
+                     landed: bool = False, days: DataFrame | None = None) -> None:
+    """Read bronze for the day(s), flatten, dedup, overwrite those silver days.
+
+    ``days``: only these days of the range. A single day lists its own folder only.
+    """
     dt_to = dt_to or dt_from
-    bronze = _dt_filter(B.read_bronze(spark, paths.bronze, landed=landed), dt_from, dt_to)
+    one = str(dt_from) if str(dt_from) == str(dt_to) else None
+    if one is not None and not path_exists(spark, f"{paths.bronze}/dt={one}"):
+        raise ValueError(f"no location rows for dt {one} found")
+    bronze = _dt_filter(B.read_bronze(spark, paths.bronze, dt=one, landed=landed), dt_from, dt_to)
+    if days is not None:
+        bronze = bronze.join(days.select(F.col("dt").cast("string").alias("dt")), "dt", "left_semi")
+    B.require_rows(bronze, f"location rows for dt {dt_from}..{dt_to}")
+    # before the keep-last aggregate: a scan that stops at the first row
+    B.require_rows(FL.silver_daily(bronze), f"daily rows for dt {dt_from}..{dt_to}")
     daily, locs = silver_from_bronze(bronze)
-    B.require_rows(locs, f"location rows for dt {dt_from}..{dt_to}")
-    B.require_rows(daily, f"daily rows for dt {dt_from}..{dt_to}")
     S.write_silver(daily, paths.silver_daily)
     S.write_silver(locs, paths.silver_locations)
 
@@ -102,111 +115,164 @@ def expected_days(spark: SparkSession, dt_from, dt_to) -> DataFrame:
 
 def gate(spark: SparkSession, paths: LakePaths, dt_from, dt_to=None,
          cfg: Q.QualityConfig = Q.QualityConfig(), registry: DataFrame | None = None,
-         strict: bool = True) -> DataFrame:
-    """Gate report for the day(s), one row per day (cached: it is small).
+         strict: bool = True, days: DataFrame | None = None) -> DataFrame:
+    """Gate report for the day(s), one row per day, written to the shared scratch folder.
 
     ``strict``: raise QualityGateError when any day fails (a daily run).
     Otherwise the report is returned and only passing days are loaded, as
-    independent scheduled runs per day would do in a backfill.
+    independent scheduled runs per day would do in a backfill. ``days``: only
+    these days of the range.
     """
     dt_to = dt_to or dt_from
-    daily = S.read_silver(spark, paths.silver_daily, dt_from=dt_from, dt_to=dt_to)
-    locs = S.read_silver(spark, paths.silver_locations, dt_from=dt_from, dt_to=dt_to)
-    rep = Q.gate_report(daily, locs, cfg, expected_dts=expected_days(spark, dt_from, dt_to),
-                        expected_locations=registry).cache()
-    return Q.raise_on_failure(rep, daily=daily, cfg=cfg) if strict else rep
+    expected = expected_days(spark, dt_from, dt_to) if days is None else days
+    parts = [S.read_silver(spark, root, dt_from=dt_from, dt_to=dt_to)
+             for root in (paths.silver_daily, paths.silver_locations)]
+    if days is not None:
+        parts = [p.join(days, "dt", "left_semi") for p in parts]
+    daily, locs = parts
+    out = scratch_path(spark, "gate")
+    Q.gate_report(daily, locs, cfg, expected_dts=expected, expected_locations=registry).write.parquet(out)
+    rep = spark.read.parquet(out)
+    if strict:
+        Q.raise_on_failure(rep, daily=daily, cfg=cfg, expected=locs if registry is None else registry)
+    return rep
 
 
 def load_staging(spark: SparkSession, paths: LakePaths, days: DataFrame,
                  locations_mode: str = "replace") -> None:
-    """Load the given silver days (a DataFrame of ``dt``) into staging."""
-    daily = S.read_silver(spark, paths.silver_daily).join(days, "dt", "left_semi")
-    locs = S.read_silver(spark, paths.silver_locations).join(days, "dt", "left_semi")
-    loc_rows = LD.staging_location_rows(locs)
+    """Load the given silver days (a DataFrame of ``dt``) into staging.
+
+    Both tables are computed and checked before the first write. In replace
+    mode the locations are those of the last day, as after a run per day.
+    """
+    lo, hi = days.agg(F.min("dt"), F.max("dt")).first()
+    if lo is None:
+        return
+    scratch = scratch_path(spark, "load")
+    daily = S.read_silver(spark, paths.silver_daily, dt_from=lo, dt_to=hi).join(days, "dt", "left_semi")
+    first = hi if locations_mode == "replace" else lo
+    locs = S.read_silver(spark, paths.silver_locations, dt_from=first, dt_to=hi).join(days, "dt", "left_semi")
+    LD.staging_daily_rows(daily).write.parquet(f"{scratch}/daily")
+    LD.staging_location_rows(locs).write.parquet(f"{scratch}/locations")
+    daily_rows, loc_rows = (spark.read.parquet(f"{scratch}/{n}") for n in ("daily", "locations"))
+    LD.check_not_null(loc_rows, ["location_id"], "stg_locations")
+    # the days that the marts have not seen yet; cleared by build_gold
+    days.select(F.col("dt").cast("date").alias("dt")).write.mode("append").parquet(paths.pending)
+    LD.load_daily_replace_dt(spark, daily_rows, paths.stg_daily, date_is_dt=True)
     if locations_mode == "upsert":
         LD.upsert_into(spark, loc_rows, paths.stg_locations, ["location_id"])
     else:
         LD.load_locations_full(loc_rows, paths.stg_locations)
-    LD.load_daily_replace_dt(spark, LD.staging_daily_rows(daily), paths.stg_daily)
+    delete_path(spark, scratch)
 
 
-def build_gold(spark: SparkSession, paths: LakePaths, since=None) -> dict[str, DataFrame]:
+def _since(spark: SparkSession, paths: LakePaths):
+    """The earliest day loaded since the marts were last written; None if there is none."""
+    pending = LD.read_table(spark, paths.pending)
+    return None if pending is None else pending.agg(F.min("dt")).first()[0]
+
+
+def build_gold(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
     """Materialize dims, fact and marts as Parquet tables; BI views stay views.
 
-    ``since``: first changed day. The trailing-window marts are then refreshed
-    from that day's month on instead of being rebuilt (see ``incremental``).
+    The fact and the trailing-window marts are refreshed from the month of the
+    earliest day loaded since they were last written (``paths.pending``), or
+    built whole if they are not there. The record of pending days is cleared
+    only after all tables are written, so a failed build is made up for.
     """
-    from dailylake.plans import incremental as INC
-    g = G.Gold(spark.read.parquet(paths.stg_daily), spark.read.parquet(paths.stg_locations))
-    tables = {
-        "dim_location": g.dim_location(),
-        "dim_date": g.dim_date(),
-        "fact_weather_daily": g.fact(),
-    }
-    for name, df in tables.items():
-        out = df
-        if name == "fact_weather_daily":
-            # cluster by location, sort by date: min/max statistics then prune
-            # the analyst queries' location/date filters like an index would
-            out = df.repartitionByRange("location_id", "date").sortWithinPartitions("location_id", "date")
-        out.write.mode("overwrite").parquet(paths.gold(name))
-    fact = spark.read.parquet(paths.gold("fact_weather_daily"))
+    since = _since(spark, paths)
+    stg = spark.read.parquet(paths.stg_daily)
+    g = G.Gold(stg, spark.read.parquet(paths.stg_locations))
+    for name, df in (("dim_location", g.dim_location()), ("dim_date", g.dim_date())):
+        df.write.mode("overwrite").parquet(paths.gold(name))
+    # by month, in it by location and date: a refresh rewrites its months, and min/max
+    # statistics prune the analyst queries' filters
+    root = paths.gold("fact_weather_daily")
+    fact = g.fact()
+    if since is not None and path_exists(spark, root):
+        start = F.trunc(F.lit(str(since)).cast("date"), "month")
+        fact = G.Gold(stg.where(F.col("dt").cast("date") >= start), spark.read.parquet(paths.stg_locations)).fact()
+    (fact.withColumn("month", F.trunc("date", "month")).hint("rebalance", "month")
+         .sortWithinPartitions("month", "location_id", "date").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(root))
+    fact = INC.read_mart(spark, root)
     dim_d = spark.read.parquet(paths.gold("dim_date"))
     dim_l = spark.read.parquet(paths.gold("dim_location"))
     for name, (build, _) in INC.TRAILING_MARTS.items():
-        if since is not None and LD.read_table(spark, paths.gold(name)) is not None:
+        if since is not None and path_exists(spark, paths.gold(name)):
             INC.refresh_into(spark, fact, paths.gold(name), name, since)
         else:
             INC.write_full(build(fact), paths.gold(name))
     # z-scores use whole-location statistics: any new row changes them all
     G.mart_anomalies(fact).write.mode("overwrite").parquet(paths.gold("mart_anomalies"))
+    delete_path(spark, paths.pending)
     marts = {name: INC.read_mart(spark, paths.gold(name)) for name in INC.TRAILING_MARTS}
     marts["mart_anomalies"] = spark.read.parquet(paths.gold("mart_anomalies"))
     views = {
-        "weather_daily_bi": G.weather_daily_bi(fact, dim_d, dim_l),
-        "weather_weekly_bi": G.weather_weekly_bi(fact, dim_l),
-        "weather_anomalies_bi": G.weather_anomalies_bi(fact, dim_d, dim_l),
+        "weather_daily_bi": G.present(G.weather_daily_bi(fact, dim_d, dim_l), "date", "location_id"),
+        "weather_weekly_bi": G.present(G.weather_weekly_bi(fact, dim_l), "week_start", "location_id"),
+        "weather_anomalies_bi": G.present(G.weather_anomalies_bi(fact, dim_d, dim_l), "date", "location_id"),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    return {**{k: spark.read.parquet(paths.gold(k)) for k in tables}, **marts, **views}
+    tables = {"dim_location": dim_l, "dim_date": dim_d, "fact_weather_daily": fact}
+    return {**tables, **marts, **views}
+
+
+def model_tests(out: dict[str, DataFrame], stg: DataFrame) -> DataFrame:
+    """The failing model tests of a build (model, column, failures); empty if all pass."""
+    models = {**out, "stg_weather_daily": stg}
+    nulls = Q.test_not_null(models, [("stg_weather_daily", "location_id"), ("stg_weather_daily", "date"),
+                                     ("stg_weather_daily", "dt"), ("fact_weather_daily", "location_id"),
+                                     ("fact_weather_daily", "date"), ("dim_location", "location_id"),
+                                     ("dim_date", "date")])
+    unique = Q.test_unique(models, [("dim_location", ["location_id"]), ("dim_date", ["date"]),
+                                    ("stg_weather_daily", ["location_id", "date"])])
+    return nulls.unionByName(unique).where("failures > 0")
 
 
 def run(spark: SparkSession, paths: LakePaths, dt_from, dt_to=None,
         cfg: Q.QualityConfig = Q.QualityConfig(), landed: bool = False,
         locations_mode: str = "replace", registry: DataFrame | None = None,
-        with_gold: bool = True, strict: bool | None = None) -> dict[str, DataFrame]:
-    """bronze -> silver -> gate -> staging -> gold for one day or a range.
-
-    A single day is strict: a gate failure raises and nothing reaches staging.
-    A range loads the days that pass and logs every day (status, failed rule,
-    rows loaded) in the run log; it raises only if no day passes.
+        with_gold: bool = True, strict: bool = True,
+        days: DataFrame | None = None) -> dict[str, DataFrame]:
+    """bronze -> silver -> gate -> staging -> gold -> model tests for one day or a range.
+
+    ``strict``: a gate failure of any day raises and nothing reaches staging.
+    Otherwise the days that pass are loaded, and it raises only if no day passes.
+    ``days``: only these days of the range. Every day's outcome goes to the run
+    log at the end, failures of the load, gold or model tests included.
     """
     dt_to = dt_to or dt_from
-    strict = (str(dt_from) == str(dt_to)) if strict is None else strict
     started = utc_now()
+    wanted = expected_days(spark, dt_from, dt_to) if days is None else days
+    rep = None
     try:
-        bronze_to_silver(spark, paths, dt_from, dt_to, landed=landed)
-        rep = gate(spark, paths, dt_from, dt_to, cfg, registry, strict=strict)
+        bronze_to_silver(spark, paths, dt_from, dt_to, landed=landed, days=days)
+        rep = gate(spark, paths, dt_from, dt_to, cfg, registry, strict=strict, days=days)
+        passed = rep.where("passed").select("dt")
+        if passed.limit(1).count() == 0:
+            raise Q.QualityGateError(f"no day of {dt_from}..{dt_to} passed the gate")
+        load_staging(spark, paths, passed, locations_mode)
+        out = {"gate_report": rep}
+        if with_gold:
+            out.update(build_gold(spark, paths))
+            failing = model_tests(out, spark.read.parquet(paths.stg_daily)).collect()  # a row for each test
+            if failing:
+                raise Q.QualityGateError("model tests: " + ", ".join(f"{r['model']}.{r['column']}: {r['failures']}" for r in failing))
     except Exception as e:
-        log_days(expected_days(spark, dt_from, dt_to)
-                 .select("dt", F.lit(f"{type(e).__name__}: {e}"[:2000]).alias("failed_rule")),
-                 paths.runs, started)
+        text = f"{type(e).__name__}: {e}"
+        outcome = wanted.select("dt", F.lit(text).alias("failed_rule"))
+        if rep is not None:  # a day's own failing rule says more than the run's error
+            outcome = rep.select("dt", F.coalesce("failed_rule", F.lit(text)).alias("failed_rule"))
+        log_days(outcome, paths.runs, started)
         raise
-    days = rep.where("passed").select("dt")
-    if days.limit(1).count() == 0:
-        log_days(rep.select("dt", "failed_rule"), paths.runs, started)
-        raise Q.QualityGateError(f"no day of {dt_from}..{dt_to} passed the gate")
-    load_staging(spark, paths, days, locations_mode)
-    loaded = (S.read_silver(spark, paths.stg_daily).join(days, "dt", "left_semi")
+    loaded = (S.read_silver(spark, paths.stg_daily, dt_from=dt_from, dt_to=dt_to).join(passed, "dt", "left_semi")
               .groupBy("dt").agg(F.count(F.lit(1)).cast("int").alias("records_loaded")))
     log_days(rep.select("dt", "failed_rule"), paths.runs, started, loaded)
-    out = {"gate_report": rep}
-    if with_gold:
-        out.update(build_gold(spark, paths, since=dt_from))
     return out
 
 
-def backfill(spark: SparkSession, paths: LakePaths, dt_from, dt_to, **kw) -> dict[str, DataFrame]:
-    """All days of [dt_from, dt_to] in one run (each day gated on its own)."""
-    return run(spark, paths, dt_from, dt_to, **kw)
+def backfill(spark: SparkSession, paths: LakePaths, dt_from, dt_to, strict: bool = False, **kw) -> dict[str, DataFrame]:
+    """All days of [dt_from, dt_to] in one run, each day gated on its own."""
+    return run(spark, paths, dt_from, dt_to, strict=strict, **kw)

@@ -94,29 +94,6 @@ STG_LOCATIONS_COLUMNS = ["dt", "location_id", "name", "region", "country", "lat"
 # Loader optional columns: a missing one becomes a NULL column (the other six are required).
 STG_LOCATIONS_OPTIONAL = ["ingested_at", "lat", "lon", "local_time"]
 
-STG_DAILY = T.StructType([
-    T.StructField("dt", T.DateType(), False),
-    T.StructField("location_id", S, False),
-    T.StructField("date", T.DateType(), False),
-    *[T.StructField(c, NUMERIC) for c in ["temp_min_c", "temp_max_c", "temp_avg_c",
-                                           "precip_mm", "humidity_avg", "wind_max_kph"]],
-    T.StructField("condition_code", T.IntegerType()),
-    T.StructField("condition_text", S),
-    T.StructField("ingested_at", T.TimestampType()),
-    T.StructField("loaded_at", T.TimestampType(), False),
-])
-
-STG_LOCATIONS = T.StructType([
-    T.StructField("dt", T.DateType()),
-    T.StructField("location_id", S, False),
-    T.StructField("name", S), T.StructField("region", S), T.StructField("country", S),
-    T.StructField("lat", NUMERIC), T.StructField("lon", NUMERIC),
-    T.StructField("tz_id", S),
-    T.StructField("local_time", T.TimestampNTZType()),
-    T.StructField("ingested_at", T.TimestampType()),
-    T.StructField("loaded_at", T.TimestampType(), False),
-])
-
 # ---- run log --------------------------------------------------------------------
 PIPELINE_RUNS = T.StructType([
     T.StructField("run_id", S, False),

@@ -81,3 +81,32 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     return os.path.join(checkpoint_root(spark), "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the library (scratch output, an emptied partition)."""
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
+def swap_path(spark: SparkSession, new: str, root: str) -> None:
+    """Put the finished folder ``new`` in the place of ``root`` by renames."""
+    fs, target = _path(spark, root)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{root}.old-{uuid.uuid4().hex[:8]}")
+    fresh = spark._jvm.org.apache.hadoop.fs.Path(new)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot move {root} away")
+    if not fs.rename(fresh, target):
+        raise OSError(f"cannot move {new} to {root}")
+    fs.delete(old, True)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dailylake.schemas import BRONZE
+from dailylake.session import delete_path, path_exists, scratch_path
 
 
 def _s(c) -> Column:
@@ -69,46 +70,71 @@ DAY_FIELDS = [("mintemp_c", "temp_min_c"), ("maxtemp_c", "temp_max_c"),
               ("maxwind_kph", "wind_max_kph")]
 
 
-def write_bronze(envelopes: DataFrame, root: str, partition_by: tuple[str, ...] = ("dt",),
-                 mode: str = "overwrite") -> None:
-    """Write envelopes as JSON Lines, partitioned by ``dt`` (dynamic overwrite:
-    a rerun replaces exactly the partitions it writes, so it is idempotent).
+def _one_per_key(envelopes: DataFrame) -> DataFrame:
+    """The last record of each (dt, location_id): by ingestion time, then by content."""
+    rows = envelopes.select("dt", "metadata", "payload", F.col("metadata.location_id").alias("_id"),
+                            F.to_json(F.struct("metadata", "payload")).alias("_text"))
+    order = F.struct(F.col("metadata.ingested_at").try_cast("timestamp"), "_text")
+    last = rows.groupBy("dt", "_id").agg(F.max_by(F.struct("metadata", "payload"), order).alias("r"))
+    return last.select("dt", "r.metadata", "r.payload")
 
-    ``partition_by=("dt", "location_id")`` reproduces one folder per key; the
-    default keeps one folder per day so that many locations do not turn into
-    many tiny files. The records carry ``metadata.location_id`` either way.
+
+def write_bronze(envelopes: DataFrame, root: str, partition_by: tuple[str, ...] = ("dt",)) -> None:
+    """Write envelopes as JSON Lines; a record replaces the stored one of its (dt, location_id).
+
+    One folder per day by default, so that many locations do not turn into many
+    tiny files: the day's other stored records are merged in and the day is
+    rewritten (dynamic overwrite; the merged days pass through the shared scratch
+    folder, since a job cannot overwrite files that it reads).
+    ``partition_by=("dt", "location_id")`` has a folder per key and rewrites only
+    those written. Of several records of a key the one ingested last is kept.
     """
-    out = envelopes
-    if "location_id" in partition_by and "location_id" not in out.columns:
+    spark = envelopes.sparkSession
+    out = _one_per_key(envelopes)
+    if "location_id" in partition_by:
         out = out.withColumn("location_id", F.col("metadata.location_id"))
-    (out.hint("rebalance", *partition_by)
-        .write.mode(mode).partitionBy(*partition_by).json(root))
+    scratch = None
+    if tuple(partition_by) == ("dt",) and path_exists(spark, root):
+        scratch = scratch_path(spark, "bronze-merge")
+        out.write.parquet(f"{scratch}/new")
+        new = spark.read.parquet(f"{scratch}/new")
+        keys = new.select("dt", F.col("metadata.location_id").alias("_id"))
+        old = read_bronze(spark, root).select("dt", "metadata", "payload")
+        kept = old.join(new.select("dt").distinct(), "dt", "left_semi").alias("o")
+        kept = kept.join(keys.alias("k"), (F.col("o.dt") == F.col("k.dt"))
+                         & F.col("o.metadata.location_id").eqNullSafe(F.col("k._id")), "left_anti")
+        new.unionByName(kept).write.parquet(f"{scratch}/days")
+        out = spark.read.parquet(f"{scratch}/days")
+    (out.hint("rebalance", *partition_by).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).json(root))
+    if scratch:
+        delete_path(spark, scratch)
 
 
 def read_bronze(spark: SparkSession, root: str, dt: str | None = None,
                 landed: bool = False) -> DataFrame:
     """Scan bronze with the explicit envelope schema; a malformed file fails the job.
 
-    Adds ``dt`` (from the partition folder, as text) and ``source_file``
-    (listing order, used by keep-last). ``location_id`` is *not* taken from
-    the path: identity is ``metadata.location_id``.
+    Adds ``dt`` (from the partition folder, as text) and, for landed files,
+    ``source_file`` (listing order, used by keep-last; the part files of a Spark
+    write have no meaningful order). ``location_id`` is *not* taken from the
+    path: identity is ``metadata.location_id``. With ``dt`` only that day's
+    folder is listed.
     """
     r = (spark.read.schema(BRONZE)
          .option("mode", "FAILFAST")
          .option("multiLine", landed))
     if landed:
         r = r.option("pathGlobFilter", "*raw.json")
-    df = r.json(root)
+    df = r.option("basePath", root).json(root if dt is None else f"{root}/dt={dt}")
     if "dt" not in df.columns:
         raise ValueError(f"bronze root {root} is not partitioned by dt")
-    df = df.withColumn("source_file", F.col("_metadata.file_path"))
-    if dt is not None:
-        df = df.where(F.col("dt") == F.lit(str(dt)))
-    return df.select("dt", "metadata", "payload", "source_file")
+    file = [F.col("_metadata.file_path").alias("source_file")] if landed else []
+    return df.select("dt", "metadata", "payload", *file)
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:
-    """Raise when ``df`` is empty (reads at most one row)."""
+    """Raise when ``df`` is empty; cheap on a scan, a whole run below an aggregate."""
     if df.limit(1).count() == 0:
         raise ValueError(f"no {what} found")
     return df

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from dailylake.session import path_exists
 
 
 def write_silver(df: DataFrame, root: str) -> None:
@@ -35,8 +36,7 @@ def read_silver(spark: SparkSession, root: str, dt=None, dt_from=None, dt_to=Non
 
 def present_dts(spark: SparkSession, root: str) -> DataFrame:
     """Distinct ``dt`` partitions that hold data (empty when the root is absent)."""
-    try:
-        df = spark.read.parquet(root)
-    except AnalysisException:
+    if not path_exists(spark, root):
         return spark.createDataFrame([], "dt date")
+    df = spark.read.parquet(root)
     return df.select(F.col("dt").cast("date").alias("dt")).distinct()

@@ -7,8 +7,9 @@ onto the weather contract as:
 * date / dt = order date;
 * measures  = order prices of that nation and day, as exact decimals:
   ``temp_min_c``/``temp_max_c`` = min/max price, ``temp_avg_c`` = price of the
-  day's first order (lowest order key), ``precip_mm`` = sum of prices, NULL when
-  the day has a single order (exercises NULL handling), ``humidity_avg`` = share
+  day's first order (lowest order key), ``precip_mm`` = spread of the day's prices
+  (bounded whatever the number of orders), NULL when the day has a single order
+  (exercises NULL handling), ``humidity_avg`` = share
   of urgent orders in percent (integer division, 0..100), ``wind_max_kph`` =
   largest price among finished orders (NULL when none), ``snow_cm`` = number
   of low-priority orders, ``condition_code`` / ``condition_text`` = lowest /
@@ -54,7 +55,7 @@ def observations(orders: DataFrame, customer: DataFrame) -> DataFrame:
                     .agg(F.min(price).alias("mn"), F.max(price).alias("mx"),
                          F.min("o_orderkey").alias("k0"),
                          F.min_by(price, F.col("o_orderkey")).alias("p0"),
-                         F.sum(price).alias("s"), F.count(F.lit(1)).alias("n"),
+                         F.count(F.lit(1)).alias("n"),
                          F.max(F.when(F.col("o_orderstatus") == "F", price)).alias("wf")))
     n = F.sum("n")
     prio = F.col("o_orderpriority")
@@ -62,7 +63,7 @@ def observations(orders: DataFrame, customer: DataFrame) -> DataFrame:
            .agg(F.min("mn").alias("temp_min_c"),
                 F.max("mx").alias("temp_max_c"),
                 F.min_by("p0", "k0").alias("temp_avg_c"),
-                F.when(n > 1, F.sum("s")).alias("precip_mm"),
+                F.when(n > 1, (F.max("mx") - F.min("mn")).cast(PRICE)).alias("precip_mm"),
                 F.sum(F.when(prio == "5-LOW", F.col("n")).otherwise(0)).cast(PRICE).alias("snow_cm"),
                 (F.sum(F.when(prio == "1-URGENT", F.col("n")).otherwise(0)) * 100 / n)
                 .cast("bigint").cast(PRICE).alias("humidity_avg"),
@@ -114,14 +115,19 @@ def locations(nation: DataFrame, region: DataFrame) -> DataFrame:
                     F.lit("UTC").alias("tz")))
 
 
-def location_snapshot(obs: DataFrame, locs: DataFrame) -> DataFrame:
-    """Staging-shaped locations: each location as seen on its last observed day.
+def location_snapshots(obs: DataFrame, locs: DataFrame) -> DataFrame:
+    """Staging-shaped locations: several snapshots of each location.
 
-    ``dt``/``ingested_at``/``local_time`` come from the observations; a location
-    without any observation keeps NULLs there (a NULL ``ingested_at``).
+    One per calendar year, as of the location's last observed day in it
+    (``dt``/``ingested_at``/``local_time``), and for every fifth location one more
+    under a new name whose ``ingested_at`` is NULL. A location without any
+    observation has one snapshot with NULLs.
     """
-    last = obs.groupBy("location_id").agg(F.max("date").alias("dt"))
-    return (locs.join(last, "location_id", "left")
+    yearly = obs.groupBy("location_id", F.year("date").alias("_year")).agg(F.max("date").alias("dt"))
+    renamed = (locs.where(F.col("location_id").cast("int") % 5 == 0)
+               .join(obs.select("location_id").distinct(), "location_id", "left_semi")
+               .withColumns({"name": F.concat("name", F.lit(" (renamed)")), "dt": F.lit(None).cast("date")}))
+    return (locs.join(yearly.drop("_year"), "location_id", "left").unionByName(renamed)
             .select("dt", "location_id", "name", "region", "country", "lat", "lon",
                     F.col("tz").alias("tz_id"),
                     F.col("dt").cast("timestamp_ntz").alias("local_time"),
@@ -167,5 +173,5 @@ class Tables:
         return rows.withColumn("loaded_at", F.col("ingested_at") + F.expr("INTERVAL 1 HOUR"))
 
     def staging_locations(self) -> DataFrame:
-        snap = location_snapshot(self.obs(), self.registry())
+        snap = location_snapshots(self.obs(), self.registry())
         return snap.withColumn("loaded_at", F.col("ingested_at") + F.expr("INTERVAL 1 HOUR"))

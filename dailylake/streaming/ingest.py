@@ -7,12 +7,14 @@ under ``spark.checkpoint.dir``), then stops. Each micro-batch only yields the
 days (``dt``) it touched; those days are rebuilt from *all* their bronze files
 through the regular day-grouped pipeline (silver, gate, staging), so a day
 whose files arrive over several invocations ends up exactly as a single run
-over the complete day would leave it. A failed batch is retried from the
-checkpoint on the next invocation.
+over the complete day would leave it; days between them that the batch did not
+touch stay as they are. A batch that fails is recorded in the run log, day by
+day, and does not hold up later ones.
 """
 
 from __future__ import annotations
 
+import logging
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +24,7 @@ from pyspark.sql import types as T
 from dailylake.operators.quality import QualityConfig
 from dailylake.plans import pipeline as PL
 from dailylake.schemas import BRONZE
-from dailylake.session import checkpoint_root
+from dailylake.session import checkpoint_root, scratch_path
 
 STREAM_SCHEMA = T.StructType(BRONZE.fields + [T.StructField("dt", T.StringType())])
 
@@ -43,17 +45,22 @@ def process_new_files(spark: SparkSession, paths: PL.LakePaths, landed: bool = T
                       registry: DataFrame | None = None, name: str = "bronze_pickup",
                       max_files_per_trigger: int | None = None) -> list[tuple[str, str]]:
     """Run the pipeline for every day touched by newly landed files; returns the
-    (first, last) day ranges processed, one per micro-batch."""
+    first and last day of each micro-batch that was loaded."""
     done: list[tuple[str, str]] = []
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        # one row: the touched day range of this batch (bounded by the batch)
-        b = df.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")).first()
-        if b["lo"] is None:
+        scratch = scratch_path(spark, "touched")
+        df.select(F.col("dt").cast("date").alias("dt")).distinct().write.parquet(scratch)
+        days = spark.read.parquet(scratch)
+        lo, hi = days.agg(F.min("dt").cast("string"), F.max("dt").cast("string")).first()
+        if lo is None:
             return
-        PL.run(spark, paths, b["lo"], b["hi"], cfg=cfg, landed=landed,
-               locations_mode=locations_mode, registry=registry, with_gold=False, strict=False)
-        done.append((b["lo"], b["hi"]))
+        try:
+            PL.run(spark, paths, lo, hi, cfg=cfg, landed=landed, locations_mode=locations_mode,
+                   registry=registry, with_gold=False, strict=False, days=days)
+            done.append((lo, hi))
+        except Exception as e:  # logged by the run; the days can be run again by hand
+            logging.getLogger(__name__).warning("pickup of %s..%s failed: %s", lo, hi, e)
 
     ckpt = os.path.join(checkpoint_root(spark), "streams", name)
     q = (bronze_stream(spark, paths.bronze, landed, max_files_per_trigger)

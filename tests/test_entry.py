@@ -2,6 +2,9 @@
 
 import decimal
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -9,12 +12,24 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 TABLES = ["region", "nation", "customer", "orders", "events"]
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 40
+    from dailylake.catalog import REGISTRY
+    from oracle_sql import ORACLE
+    assert set(REGISTRY) == set(ORACLE) and len(REGISTRY) >= 48
+    assert set(REGISTRY) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_entry_without_the_llm_subpackage(tmp_path):
+    """A copy without those folders still registers all other queries."""
+    shutil.copytree(ROOT, tmp_path / "repo", ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
+    code = "import __spark_entry__ as E; print(len(E.queries()), len(E.oracle_sql()))"
+    got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True, env={**os.environ, "PYTHONPATH": "."})
+    from dailylake.catalog import REGISTRY
+    assert got.stdout.split()[-2:] == [str(len(REGISTRY))] * 2, got.stderr[-500:]
 
 
 def test_entry_runs(spark):

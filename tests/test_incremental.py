@@ -4,7 +4,11 @@ import datetime as dt
 import os
 from decimal import Decimal
 
+import pytest
+
+from conftest import envelope, land
 from dailylake.plans import incremental as INC
+from dailylake.plans import pipeline as PL
 from test_gold import fact_df
 
 D = dt.date
@@ -22,24 +26,19 @@ def _snap(df):
     return sorted(tuple(str(v) for v in r) for r in df.collect())
 
 
-import pytest
-
-
-# 10 days: too few rows in the window; 1 day: no row at all in it -> full-history fallback
-@pytest.mark.parametrize("window_days", [400, 10, 1])
-def test_append_and_backfill_equal_full_rebuild(spark, tmp_root, window_days):
+def test_append_and_backfill_equal_full_rebuild(spark, tmp_root):
     days = [D(2024, 1, 1) + dt.timedelta(days=i) for i in range(0, 90, 2)]  # gaps, 3 months
     base = fact_df(spark, _rows(days))
     for name, (build, _) in INC.TRAILING_MARTS.items():
-        root = os.path.join(tmp_root, f"{name}-{window_days}")
+        root = os.path.join(tmp_root, name)
         INC.write_full(build(base), root)
         # append one day, then backfill a day in the middle of February
         new_day, old_day = D(2024, 4, 1), D(2024, 2, 11)
         grown = fact_df(spark, _rows(days + [new_day]))
-        INC.refresh_into(spark, grown, root, name, new_day, window_days)
+        INC.refresh_into(spark, grown, root, name, new_day)
         assert _snap(INC.read_mart(spark, root)) == _snap(build(grown))
         filled = fact_df(spark, _rows(sorted(days + [new_day, old_day])))
-        INC.refresh_into(spark, filled, root, name, old_day, window_days)
+        INC.refresh_into(spark, filled, root, name, old_day)
         assert _snap(INC.read_mart(spark, root)) == _snap(build(filled))
 
 
@@ -49,3 +48,37 @@ def test_seed_uses_group_limit(spark):
     q = INC.refresh(fact_df(spark, _rows(days)), build, lookback, D(2024, 2, 15))
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_refresh_starts_at_the_earliest_day_the_marts_have_not_seen(spark, tmp_root):
+    """A day loaded without gold, before later runs with gold, reaches the marts."""
+    paths = PL.LakePaths(os.path.join(tmp_root, "lake"))
+    for d in ("2024-02-28", "2024-01-15", "2024-03-01"):
+        land(paths.bronze, d, "a", envelope(d, "a", ingested_at=f"{d}T06:00:00+00:00"))
+    PL.run(spark, paths, "2024-02-28", landed=True)
+    PL.run(spark, paths, "2024-01-15", landed=True, with_gold=False)
+    out = PL.run(spark, paths, "2024-03-01", landed=True)
+    fact = out["fact_weather_daily"]
+    assert fact.count() == 3
+    for name, (build, _) in INC.TRAILING_MARTS.items():
+        assert _snap(out[name]) == _snap(build(fact))
+    assert not os.path.exists(paths.pending)
+
+
+def test_failed_gold_build_is_made_up_for(spark, tmp_root, monkeypatch):
+    paths = PL.LakePaths(os.path.join(tmp_root, "lake"))
+    for d in ("2024-02-01", "2024-01-10", "2024-02-02"):
+        land(paths.bronze, d, "a", envelope(d, "a", ingested_at=f"{d}T06:00:00+00:00"))
+    PL.run(spark, paths, "2024-02-01", landed=True)
+
+    def fails(*a, **k):
+        raise RuntimeError("no space")
+
+    with monkeypatch.context() as m:
+        m.setattr(PL.G, "mart_anomalies", fails)
+        with pytest.raises(RuntimeError):
+            PL.run(spark, paths, "2024-01-10", landed=True)
+    out = PL.run(spark, paths, "2024-02-02", landed=True)
+    assert out["mart_weather_rolling"].count() == out["mart_weekly_change"].count() == 3
+    logged = {(str(r["dt"]), r["status"]) for r in spark.read.parquet(paths.runs).collect()}
+    assert logged == {("2024-02-01", "success"), ("2024-01-10", "failed"), ("2024-02-02", "success")}

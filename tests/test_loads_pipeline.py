@@ -105,6 +105,86 @@ def _snapshot(spark, paths):
     return sorted((str(r["dt"]), r["location_id"], str(r["date"]), str(r["temp_avg_c"])) for r in rows)
 
 
+def _locations(spark, paths):
+    return sorted((r["location_id"], str(r["dt"])) for r in spark.read.parquet(paths.stg_locations).collect())
+
+
+def test_backfill_leaves_the_last_days_locations(spark, tmp_root):
+    """Day 1 {a, b}, day 2 {a}: in replace mode both ways leave {a}."""
+    got = []
+    for name in ("one", "many"):
+        paths = PL.LakePaths(os.path.join(tmp_root, name))
+        _land_days(paths.bronze, ["2024-03-01"], ["a", "b"])
+        _land_days(paths.bronze, ["2024-03-02"], ["a"])
+        if name == "many":
+            PL.backfill(spark, paths, "2024-03-01", "2024-03-02", landed=True)
+        else:
+            for d in ("2024-03-01", "2024-03-02"):
+                PL.run(spark, paths, d, landed=True)
+        marts = spark.read.parquet(paths.gold("mart_weather_rolling")).collect()
+        logged = sorted((str(r["dt"]), r["status"], r["records_loaded"]) for r in spark.read.parquet(paths.runs).collect())
+        got.append((_snapshot(spark, paths), _locations(spark, paths), sorted(map(str, marts)), logged))
+    assert got[0] == got[1] and [loc for loc, _ in got[0][1]] == ["a"]
+
+
+def test_strict_range_stops_at_a_failing_day(spark, tmp_root):
+    paths = PL.LakePaths(os.path.join(tmp_root, "lake"))
+    _land_days(paths.bronze, ["2024-03-01", "2024-03-02"], ["a", "b"], temp=lambda d, l: "75" if d[-1] == "2" else "10")
+    with pytest.raises(QualityGateError, match="range:temp_avg_c a/2024-03-02"):
+        PL.run(spark, paths, "2024-03-01", "2024-03-02", landed=True)
+    assert not os.path.exists(paths.stg_daily)
+
+
+def test_load_is_checked_before_the_first_write(spark, tmp_root):
+    """A value that staging can't hold leaves locations and daily rows as they were, and a log row."""
+    paths = PL.LakePaths(os.path.join(tmp_root, "lake"))
+    _land_days(paths.bronze, ["2024-03-01"], ["a", "b"])
+    PL.run(spark, paths, "2024-03-01", landed=True, with_gold=False)
+    before = _snapshot(spark, paths), _locations(spark, paths)
+    land(paths.bronze, "2024-03-02", "c", envelope("2024-03-02", "c", precip="1e13", ingested_at="2024-03-02T06:00:00+00:00"))
+    with pytest.raises(Exception, match="1.0E13|NUMERIC_VALUE_OUT_OF_RANGE"):
+        PL.run(spark, paths, "2024-03-02", landed=True, with_gold=False)
+    assert (_snapshot(spark, paths), _locations(spark, paths)) == before
+    assert [r["status"] for r in spark.read.parquet(paths.runs).orderBy("started_at").collect()] == ["success", "failed"]
+
+
+def test_upsert_rejects_duplicate_and_null_update_keys(spark, tmp_root):
+    root = os.path.join(tmp_root, "up")
+    mk = lambda rows: spark.createDataFrame(rows, "k string, v int")
+    for rows, what in (([("a", 2), ("a", 3)], "duplicate key"), ([(None, 1)], "null key")):
+        with pytest.raises(LD.LoadError, match=what):
+            LD.upsert_into(spark, mk(rows), root, ["k"])
+    assert LD.read_table(spark, root) is None
+
+
+def test_folder_without_files_is_not_an_absent_table(spark, tmp_root):
+    os.makedirs(os.path.join(tmp_root, "broken"))
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA"):
+        LD.read_table(spark, os.path.join(tmp_root, "broken"))
+
+
+def test_date_must_be_dt_where_asked_and_keys_not_null(spark, tmp_root):
+    root = os.path.join(tmp_root, "stg")
+    late = LD.staging_daily_rows(silver_rows(spark, [(D(2024, 1, 2), "a", D(2024, 1, 1), 1.0)]))
+    with pytest.raises(LD.LoadError, match="date differs"):
+        LD.load_daily_replace_dt(spark, late, root, date_is_dt=True)
+    none = LD.staging_daily_rows(silver_rows(spark, [(D(2024, 1, 2), None, D(2024, 1, 2), 1.0)]))
+    with pytest.raises(LD.LoadError, match="null key"):
+        LD.load_daily_replace_dt(spark, none, root)
+
+
+def test_model_test_failures_are_reported(spark, tmp_root):
+    paths = PL.LakePaths(os.path.join(tmp_root, "lake"))
+    _land_days(paths.bronze, ["2024-03-01"], ["a", "b"])
+    out = PL.run(spark, paths, "2024-03-01", landed=True)
+    stg = spark.read.parquet(paths.stg_daily)
+    assert PL.model_tests(out, stg).count() == 0
+    bad = {**out, "dim_location": out["dim_location"].unionByName(out["dim_location"].limit(1))}
+    nulls = stg.withColumn("location_id", PL.F.when(PL.F.col("location_id") == "a", None).otherwise("b"))
+    got = {(r["model"], r["column"]): r["failures"] for r in PL.model_tests(bad, nulls).collect()}
+    assert got == {("dim_location", "location_id"): 1, ("stg_weather_daily", "location_id"): 1}
+
+
 def test_daily_run_end_to_end_and_rerun(spark, tmp_root):
     paths = PL.LakePaths(os.path.join(tmp_root, "lake"))
     _land_days(paths.bronze, ["2024-03-01"], ["a", "b"])
@@ -137,8 +217,9 @@ def test_backfill_equals_single_days_and_skips_failing_days(spark, tmp_root):
         PL.run(spark, one, d, landed=True, with_gold=False)
     many = PL.LakePaths(os.path.join(tmp_root, "many"))
     _land_days(many.bronze, days, ["a", "bb"], t)
-    out = PL.run(spark, many, "2024-03-01", "2024-03-04", landed=True, with_gold=False)
+    out = PL.backfill(spark, many, "2024-03-01", "2024-03-04", landed=True, with_gold=False)
     assert _snapshot(spark, one) == _snapshot(spark, many)
+    assert _locations(spark, one) == _locations(spark, many)
     rep = {str(r["dt"]): r["failed_rule"] for r in out["gate_report"].collect()}
     assert rep["2024-03-03"] == "missing_daily_partition"
     logged = {str(r["dt"]): r["status"] for r in spark.read.parquet(many.runs).collect()}

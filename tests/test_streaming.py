@@ -21,3 +21,29 @@ def test_new_files_only(spark, tmp_root):
     land(paths.bronze, "2024-03-03", "a", envelope("2024-03-03", "a", ingested_at="2024-03-03T06:00:00+00:00"))
     assert process_new_files(spark, paths, name=name) == [("2024-03-03", "2024-03-03")]
     assert spark.read.parquet(paths.stg_daily).count() == 5
+
+
+def test_only_touched_days_and_no_poison(spark, tmp_root):
+    """Days between the touched ones stay as they are; a failing batch holds nothing up."""
+    paths = PL.LakePaths(os.path.join(tmp_root, "lake"))
+
+    def put(d, **kw):
+        land(paths.bronze, d, "a", envelope(d, "a", ingested_at=f"{d}T06:00:00+00:00", **kw))
+
+    name = f"pickup-{uuid.uuid4().hex[:8]}"
+    put("2024-03-02")
+    process_new_files(spark, paths, name=name)
+    between = sorted(os.listdir(os.path.join(paths.stg_daily, "dt=2024-03-02")))
+    put("2024-03-01")
+    put("2024-03-10")
+    assert process_new_files(spark, paths, name=name) == [("2024-03-01", "2024-03-10")]
+    assert sorted(os.listdir(os.path.join(paths.stg_daily, "dt=2024-03-02"))) == between
+    logged = sorted(str(r["dt"]) for r in spark.read.parquet(paths.runs).collect())
+    assert logged == ["2024-03-01", "2024-03-02", "2024-03-10"]
+    put("2024-03-11", temp_avg="75")
+    assert process_new_files(spark, paths, name=name) == []
+    put("2024-03-12")
+    assert process_new_files(spark, paths, name=name) == [("2024-03-12", "2024-03-12")]
+    assert {str(r["dt"]) for r in spark.read.parquet(paths.stg_daily).select("dt").collect()} == {"2024-03-01", "2024-03-02", "2024-03-10", "2024-03-12"}
+    failed = spark.read.parquet(paths.runs).where("status = 'failed'").collect()
+    assert [str(r["dt"]) for r in failed] == ["2024-03-11"] and "range" in failed[0]["error_summary"]
