@@ -80,3 +80,45 @@ def test_more_probable_in_its_own_corpus(spark):
     rows = docs.where("crc32(cast(doc_id as string)) % 7 <> 2").unionByName(held).unionByName(turned)
     got = lm.score(rows, PATH).where("held_out").groupBy("doc_id").agg(F.max("score").alias("best"), F.min("score").alias("worst"), F.max_by("n_known", "score").alias("known"), F.max("n_known").alias("most")).collect()
     assert sum(r.known == r.most for r in got) / len(got) > 0.95
+
+
+def test_score_against_plain_mixture(spark, monkeypatch):
+    """Classes, discounting and the lattice in plain Python, with the vocabulary's own weights."""
+    monkeypatch.setattr(lm, "ROUNDS", 0)
+    monkeypatch.setattr(lm, "CLASSES", 3)
+    rows = [(i, f"The cat{i % 3} w{i % 11} " + ("le chat " if i % 2 else "new ") * (i % 4), ("en", "fr", "de", None, "it")[i % 5] if i % 7 else "en") for i in range(60)]
+    rows += [(101, None, "en"), (None, "the le", "fr")]
+    held = lambda i: binascii.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    toks = [[*(t or "").encode().lower().split(), b""] for _, t, _ in rows]
+    n_by = Counter(la for i, _, la in rows if not held(i))
+    top = [la for la, _ in sorted(((la, n) for la, n in n_by.items() if la), key=lambda x: (-x[1], x[0]))[:2]]
+    kinds = [*top, None]
+    docs_of = {k: sum(n for la, n in n_by.items() if (la if la in top else None) == k) for k in kinds}
+    c = {k: Counter() for k in kinds}
+    for (i, _, la), ws in zip(rows, toks):
+        if not held(i):
+            c[la if la in top else None].update(ws)
+    whole = sum(c.values(), Counter())
+    cells = [n for k in kinds for n in c[k].values()]
+    once, twice = cells.count(1), cells.count(2)
+    discount = min(0.95, max(0.05, once / (once + 2 * twice)))
+    share = (len(cells) - len(whole)) / len(cells)
+    lattice = lm.Lattice(lm.first_weights(lm.read_pieces(PATH)), 0.3)
+    want = []
+    for (i, _, _), ws in zip(rows, toks):
+        total = 0.0
+        for k in kinds:
+            p = (docs_of[k] + 1) / (sum(docs_of.values()) + len(kinds))
+            for w in ws:
+                q = share * whole[w] / whole.total() + (1 - share) * (math.exp(lattice.log_probability(w)) if w else 1e-9)
+                p *= max(c[k][w] - discount, 0) / c[k].total() + discount * len(c[k]) / c[k].total() * q
+            total += p
+        want.append((str(i), math.log10(total)))
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PATH).collect()
+    for (i, x), (j, y) in zip(sorted((str(r.doc_id), r.score) for r in got), sorted(want), strict=True):
+        assert i == j and x == pytest.approx(y, rel=1e-9)
+
+
+def test_held_out_texts_beat_the_base(spark):
+    got = lm.lm_score(spark, "/root/testdata/sf0.1").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1]
