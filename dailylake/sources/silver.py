@@ -22,11 +22,18 @@ def write_silver(df: DataFrame, root: str) -> None:
 
 
 def read_silver(spark: SparkSession, root: str, dt=None, dt_from=None, dt_to=None) -> DataFrame:
-    """Scan silver; ``dt`` / range filters prune partitions before any file is opened."""
-    df = spark.read.parquet(root)
+    """Scan silver; ``dt`` / range filters prune partitions before any file is opened.
+
+    A single day lists its own folder only, if it is there.
+    """
+    if dt is None and dt_from is not None and str(dt_from) == str(dt_to):
+        dt = dt_from
+    day = f"{root}/dt={dt}"
+    df = (spark.read.option("basePath", root).parquet(day) if dt is not None and path_exists(spark, day)
+          else spark.read.parquet(root))
     df = df.withColumn("dt", F.col("dt").cast("date"))
     if dt is not None:
-        df = df.where(F.col("dt") == F.lit(dt).cast("date"))
+        return df.where(F.col("dt") == F.lit(str(dt)).cast("date"))
     if dt_from is not None:
         df = df.where(F.col("dt") >= F.lit(dt_from).cast("date"))
     if dt_to is not None:

@@ -130,6 +130,8 @@ def test_silver_overwrite_is_per_partition_and_pruned(spark, tmp_root):
     one = S.read_silver(spark, root, dt="2024-01-02")
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*2024-01-02", plan)
+    assert {os.path.basename(os.path.dirname(f)) for f in one.inputFiles()} == {"dt=2024-01-02"}
+    assert S.read_silver(spark, root, dt="2024-01-09").count() == 0
     span = S.read_silver(spark, root, dt_from="2024-01-02", dt_to="2024-01-03")
     plan = span._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*>= 2024-01-02[^\]]*<= 2024-01-03", plan)
