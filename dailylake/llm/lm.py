@@ -30,6 +30,7 @@ one class; without a class column there is one class; other columns of the input
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,7 +53,7 @@ PRIOR = 200.0
 #: Scores from here down mark pieces without a rank.
 UNSCORED = -1e8
 START = "▁".encode()
-BUNDLE_BYTES = 16 << 20
+BUNDLE_BYTES = 20 << 20
 LN10 = math.log(10)
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -175,6 +176,14 @@ class Lattice:
                 into[piece] = into.get(piece, 0.0) + math.exp(share)
 
 
+def pack(numbers: np.ndarray) -> bytes:
+    return zlib.compress(numbers.astype(np.int32).tobytes(), 1)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), np.int32)
+
+
 def class_names(docs: DataFrame, id_col: str, class_col: str | None) -> list[tuple[str | None, int]]:
     """The most frequent classes of training rows with their row counts; None stands for all others."""
     rows = docs.where(~held_out(id_col, MOD, REST))
@@ -202,8 +211,10 @@ def bundles(docs: DataFrame, classes: list[str | None], id_col: str = "doc_id",
                 for w in (text.as_py() or "").encode("utf-8", "replace").lower().split():
                     own[w] = own.get(w, 0) + 1
                 own[b""] = 1
-                ids.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in own), np.int32, len(own)))
-                counts.append(np.fromiter(own.values(), np.int32, len(own)))
+                at = np.fromiter((numbers.setdefault(w, len(numbers)) for w in own), np.int32, len(own))
+                order = np.argsort(at)
+                ids.append(at[order])
+                counts.append(np.fromiter(own.values(), np.int32, len(own))[order])
                 sizes.append(len(own))
             at, tf = np.concatenate(ids), np.concatenate(counts)
             of = np.repeat(np.where(held, -1, kind), sizes)
@@ -211,7 +222,7 @@ def bundles(docs: DataFrame, classes: list[str | None], id_col: str = "doc_id",
             words = pa.array(list(numbers), pa.binary()).cast(pa.string())
             one = lambda a, kind: pa.array([a], pa.list_(kind))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part + n]), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), *(one(x, pa.int64()) for x in sums), pa.array([rows.column(0).to_pylist()], pa.list_(pa.int64())), one(held, pa.bool_()), one(np.array(sizes, np.int32), pa.int32()), pa.array([at.tobytes()], pa.binary()), pa.array([tf.tobytes()], pa.binary())],
+                [pa.array([part + n]), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), *(one(x, pa.int64()) for x in sums), pa.array([rows.column(0).to_pylist()], pa.list_(pa.int64())), one(held, pa.bool_()), one(np.array(sizes, np.int32), pa.int32()), pa.array([pack(np.concatenate([np.diff(x, prepend=0) for x in ids]))], pa.binary()), pa.array([pack(tf)], pa.binary())],
                 ["bundle", "words", *learned, "doc_ids", "held", "sizes", "numbers", "counts"])
 
     kind = F.lit(len(classes) - 1)
@@ -287,8 +298,11 @@ def score(docs: DataFrame, pieces_path: str, id_col: str = "doc_id", text_col: s
         by = [right[c].to_numpy()[order].astype(float) for c in learned]
         c = sum(by)
         lattice = right["p"].to_numpy()[order]
-        at, tf = np.frombuffer(row["numbers"], np.int32), np.frombuffer(row["counts"], np.int32)
-        starts = np.concatenate([[0], np.cumsum(np.asarray(row["sizes"], np.int64))[:-1]])
+        steps, tf = unpack(row["numbers"]), unpack(row["counts"])
+        length = np.asarray(row["sizes"], np.int64)
+        starts = np.concatenate([[0], np.cumsum(length)[:-1]])
+        at = np.cumsum(steps.astype(np.int64))
+        at -= np.repeat(at[starts] - steps[starts], length)  # a document's steps start from 0
         add = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every document has the end token
         # natural logs: long words have probabilities below the smallest double
         with np.errstate(divide="ignore"):
