@@ -16,6 +16,7 @@ import base64
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,9 @@ from pyspark.sql.types import StructType
 
 from dailylake.llm.common import chunks
 
+#: Text bytes whose pre-tokens are replayed together.
+REPLAYED = 6 << 20
+
 ENCODED = "doc_id long, token_ids array<int>, n_tokens long"
 DIGESTED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -48,14 +52,16 @@ class Vocabulary:
         self.texts = [str(i) for i in range(len(tokens))]
         self.byte_ids = np.array([self.ids[bytes([b])] for b in range(256)])
         self.find = regex.compile(pattern).findall
-        self.pairs = {}
+        keys, merged = array("q"), array("i")
         for i, t in enumerate(tokens):
             for k in range(1, len(t)):
                 a, b = self.ids.get(t[:k]), self.ids.get(t[k:])
                 if a is not None and b is not None:
-                    self.pairs[a << self.SHIFT | b] = i
-        self.pair_keys = np.sort(np.fromiter(self.pairs, np.int64, len(self.pairs)))
-        self.pair_ids = np.array([self.pairs[k] for k in self.pair_keys.tolist()])
+                    keys.append(a << self.SHIFT | b)
+                    merged.append(i)
+        order = np.argsort(np.frombuffer(keys, np.int64))
+        self.pair_keys = np.frombuffer(keys, np.int64)[order]
+        self.pair_ids = np.frombuffer(merged, np.int32)[order]
 
     def lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merged ids of token pairs; -1 where the pair makes no token."""
@@ -136,7 +142,11 @@ class Vocabulary:
         token = [int(self.byte_ids[b]) for b in word]
         after = [*range(1, len(token)), -1]
         before = [*range(-1, len(token) - 1)]
-        rank_of = lambda i, j: self.pairs.get(token[i] << self.SHIFT | token[j])
+
+        def rank_of(i: int, j: int) -> int | None:
+            rank = int(self.lookup(np.array([token[i]]), np.array([token[j]]))[0])
+            return None if rank < 0 else rank
+
         heap = [(r, i, i + 1) for i in range(len(token) - 1) if (r := rank_of(i, i + 1)) is not None]
         heapq.heapify(heap)
         while heap:
@@ -207,7 +217,7 @@ def _run(docs: DataFrame, ranks_path: str, pattern: str, digest: bool, id_col: s
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = None
-        for part in chunks(batches):
+        for part in chunks(batches, limit=REPLAYED):
             vocab = vocab or Vocabulary(tokens.value, pattern)
             texts = part.column(1).to_pylist()
             rows, pieces = encode_texts(vocab, texts)
@@ -253,7 +263,7 @@ def with_tokens(docs: DataFrame, ranks_path: str, pattern: str, text_col: str =
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = None
-        for part in chunks(batches, at):
+        for part in chunks(batches, at, REPLAYED):
             vocab = vocab or Vocabulary(tokens.value, pattern)
             texts = part.column(at).to_pylist()
             rows, pieces = encode_texts(vocab, texts)
