@@ -12,9 +12,10 @@ shuffled (numbers, no text):
    are sorted, adjacent ones give the longest common prefixes, and previous and next smaller
    positions in suffix order give each window's longest previous factor (and, with positions
    reversed, the longest next factor).
-3. Grams with more than ``BUCKET`` kinds of runs go on by window: windows of equal bytes are
-   one class of the suffix order, counted by partial aggregation, and the class's smallest
-   position is the first copy. So a passage in a third of all documents is no task's burden.
+3. Grams with more than ``BUCKET`` kinds of runs go on by blocks of windows and, where a block
+   is left open, by window: windows of equal bytes are one class of the suffix order, counted
+   by partial aggregation, and the class's smallest position is the first copy. So a passage
+   in a third of all documents is no task's burden.
 
 ``keep="none"`` removes every copy, ``keep="first"`` all but the first in the order of id and
 place. Passages never cross documents. Equality in steps 1 and 3 is that of 128-bit hashes.
@@ -40,6 +41,9 @@ LENGTH = 400
 GRAM = 50
 #: Kinds of runs of one gram that a task sorts together at most.
 BUCKET = 512
+#: Windows of a block, for grams with more kinds: about the root of a run's windows, so that
+#: blocks and the windows of those left open are as many.
+BLOCK = 10
 #: Windows that are sorted at a time; whole grams, so BUCKET runs more at most.
 SORTED = 20_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -180,24 +184,66 @@ def _sort_buckets(cut: DataFrame, length: int, first: bool) -> DataFrame:
 
 
 def _by_window(cut: DataFrame, length: int, first: bool) -> DataFrame:
-    """The same for grams with very many kinds of runs: classes of equal windows, counted."""
+    """The same for grams with very many kinds of runs, without a task for the gram.
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A run is split into blocks of ``BLOCK`` neighbouring windows by their distance to the
+    anchor. Equal windows lie in blocks of equal number and equal core (the bytes that all
+    windows of the block share). Blocks alike in all their bytes are copies as a whole;
+    of the others only those whose core occurs elsewhere go on window by window, and equal
+    windows are counted.
+    """
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_128_digest
         for batch in batches:
-            for i in range(batch.num_rows):
-                data = batch.column("data")[i].as_py()
-                n = len(data) - length + 1
-                s = np.frombuffer(b"".join([xxhash.xxh3_128_digest(data[k:k + length]) for k in range(n)]), np.int64).reshape(-1, 2)
-                of, th, at = (batch.column(c)[i].as_py() for c in ("doc_id", "th", "at"))
-                yield pa.RecordBatch.from_arrays([pa.array([of] * n, pa.int64()), pa.array([th] * n, pa.int64()), pa.array(np.arange(at, at + n), pa.int32()), pa.array(s[:, 0]), pa.array(s[:, 1])], ["of", "of_th", "start", "w1", "w2"])
-
-    windows = materialize(cut.mapInArrow(task, "of long, of_th long, start int, w1 long, w2 long").distinct(), "windows")
+            rows, sums = [], []
+            columns = [batch.column(c).to_pylist() for c in ("gram", "doc_id", "th", "at", "lead", "data")]
+            for gram, of, th, at, lead, data in zip(*columns):
+                last = len(data) - length  # windows 0 to last, at distances lead - i
+                start = 0
+                while start <= last:
+                    number = (lead - start) // BLOCK
+                    end = min(last, lead - number * BLOCK)
+                    core = lead - number * BLOCK  # the block's last window, had the run all of them
+                    rows.append((gram, number, of, th, at, at + start, end - start))
+                    sums.append(digest(data[core:core - BLOCK + 1 + length]) + digest(data[start:end + length]))
+                    start = end + 1
+            if rows:
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+                s = np.frombuffer(b"".join(sums), np.int64).reshape(-1, 4)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*rows), kinds)), *(pa.array(s[:, k]) for k in range(4))], ["gram", "number", "of", "of_th", "run", "start", "wide", "c1", "c2", "s1", "s2"])
+
+    own = materialize(cut.mapInArrow(blocks, "gram long, number int, of long, of_th long, run int, start int, wide int, c1 long, c2 long, s1 long, s2 long").distinct(), "blocks")
+    core = ["gram", "number", "c1", "c2"]
+    alike = [*core, "wide", "s1", "s2"]
     place = F.struct("of", "of_th", "start")
-    classes = windows.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min(place).alias("earliest")).where("n > 1")
-    found = windows.join(classes, ["w1", "w2"])
+    kinds = materialize(own.groupBy(*alike).agg(F.count("*").alias("n"), F.min(F.struct("of", "of_th", "start", "run")).alias("earliest")), "block-kinds")
+    copies = own.join(kinds.where("n > 1").select(*alike, "earliest"), alike)
+    if first:
+        copies = copies.where(place != F.struct("earliest.of", "earliest.of_th", "earliest.start"))
+    copies = copies.select("of", "of_th", "start", (F.col("start") + F.col("wide") + length).alias("end"))
+    shared = kinds.groupBy(*core).agg(F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("open")).where("kinds > 1" if first else "kinds > 1 and open > 0")
+    wanted = kinds.join(shared, core).groupBy(F.col("gram").alias("of_gram"), "earliest.of", "earliest.of_th", "earliest.run").agg(F.collect_list(F.struct("earliest.start", "wide")).alias("blocks"))
+    texts = cut.join(wanted, cut["doc_id"].eqNullSafe(wanted["of"]) & (cut["gram"] == wanted["of_gram"]) & (cut["th"] == wanted["of_th"]) & (cut["at"] == wanted["run"]))
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, sums = [], []
+            for of, th, run, data, parts in zip(*(batch.column(c).to_pylist() for c in range(5))):
+                for part in parts:
+                    for k in range(part["start"], part["start"] + part["wide"] + 1):
+                        rows.append((of, th, k))
+                        sums.append(xxhash.xxh3_128_digest(data[k - run:k - run + length]))
+            if rows:
+                s = np.frombuffer(b"".join(sums), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32()))), pa.array(s[:, 0]), pa.array(s[:, 1])], ["of", "of_th", "start", "w1", "w2"])
+
+    single = materialize(texts.select("of", "of_th", "run", "data", "blocks").mapInArrow(windows, "of long, of_th long, start int, w1 long, w2 long").distinct(), "windows")
+    classes = single.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min(place).alias("earliest")).where("n > 1")
+    found = single.join(classes, ["w1", "w2"])
     if first:
         found = found.where(place != F.col("earliest"))
-    return found.select("of", "of_th", "start", (F.col("start") + length).alias("end"))
+    return copies.unionByName(found.select("of", "of_th", "start", (F.col("start") + length).alias("end")))
 
 
 def passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str = "none") -> DataFrame:

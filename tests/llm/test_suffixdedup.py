@@ -48,6 +48,7 @@ def corpus(seed, length):
 def test_remove(spark, monkeypatch, seed, bucket, keep):
     monkeypatch.setattr(S, "BUCKET", bucket)
     monkeypatch.setattr(S, "SORTED", 50)
+    monkeypatch.setattr(S, "BLOCK", 5)
     length = 40
     rows = corpus(seed, length)
     if keep == "none":
