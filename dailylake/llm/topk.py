@@ -1,12 +1,13 @@
 """Exact top-k search by columnar branch-and-bound.
 
-Candidates and queries are dealt into blocks of bounded size by a hash of the id, and every
+Candidates and queries, without repetitions of an id with its vector, are dealt into blocks of
+bounded size by a hash of both (so an id with many vectors has rows in many blocks), and every
 candidate block meets every query block in a task of its own (a query set against all rows,
 in blocks). In a task the candidates lie in vertical layout, one array for each dimension.
 Scores are accumulated one block of dimensions at a time. After each block the mass that
 remains, the product of the norms of the rest of the query and of the candidate, bounds every
 final score from both sides: candidates whose upper bound is below the k-th highest lower
-bound are compacted away, and the next block is read for the survivors only. Scores are sums
+bound, that of an id being the highest of its rows, are compacted away, and the next block is read for the survivors only. Scores are sums
 of 64-bit integers, and bounds carry a margin for rounding, so the result is exact.
 
 Edge cases: a vector that is null, or holds null or a component that is not finite, takes no
@@ -47,11 +48,13 @@ def _norms(m: np.ndarray, starts: range) -> np.ndarray:
 
 
 def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, width: int = DIMENSIONS) -> list[tuple[int, int, int]]:
-    """(query id, row id, score) of the k best rows of a block for every query."""
+    """(query id, row id, score) of the k best ids of a block for every query."""
     dims = rows.shape[1]
     starts = range(0, dims + width, width) if dims else range(1)
     columns = np.ascontiguousarray(rows.T)  # vertical layout: a dimension's values lie together
     rest, query_rest = _norms(rows, starts), _norms(queries, starts)
+    distinct, own_id = np.unique(ids, return_inverse=True)
+    repeated = len(distinct) < len(ids)
     out = []
     for qn, (query_id, q) in enumerate(zip(query_ids.tolist(), queries)):
         alive = np.flatnonzero(ids != query_id)
@@ -62,7 +65,13 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ro
             if len(alive) <= k:
                 continue
             mass = rest[bn + 1, alive] * query_rest[bn + 1, qn] + 1e-6
-            floor = np.partition(score - mass, len(alive) - k)[len(alive) - k]
+            least = score - mass
+            if repeated:  # k places for k ids: an id's rows have one place
+                least = np.full(len(distinct), -np.inf)
+                np.maximum.at(least, own_id[alive], score - mass)
+                if len(least) <= k:
+                    continue
+            floor = np.partition(least, len(least) - k)[len(least) - k]
             keep = score + mass >= floor
             if not keep.all():
                 alive, score = alive[keep], score[keep]
@@ -80,16 +89,16 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ro
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` of the k best rows for each query.
 
-    Equal ids within a block are kept apart from the k only by distinct ids, so the best
-    rows of a block always hold k ids if it has that many.
+    A block gives its k best ids, if it has that many, each with its best score in the block.
+    An id among the k best of all is among those of the block that holds its best row.
     """
     shape = lambda df: (df.select(F.col(id_col).cast("long").alias("id"), quantized(F.col(vector_col), scale).alias("v"))
-                        .where("id is not null and v is not null").withColumn("dims", F.size("v")))
+                        .where("id is not null and v is not null").distinct().withColumn("dims", F.size("v")))
     blocks = max(1, -(-vectors.count() // CANDIDATE_BLOCK))
     query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    rows = shape(vectors).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("query_block", numbers(query_blocks))
-    wanted = shape(queries).withColumn("query_block", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int")).withColumn("block", numbers(blocks))
+    rows = shape(vectors).withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")).withColumn("query_block", numbers(query_blocks))
+    wanted = shape(queries).withColumn("query_block", F.pmod(F.xxhash64("id", "v"), F.lit(query_blocks)).cast("int")).withColumn("block", numbers(blocks))
     keys = ["dims", "block", "query_block"]
 
     def task(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

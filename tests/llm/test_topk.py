@@ -50,3 +50,36 @@ def test_bounds_drop_candidates():
     found = topk.search_block(np.array([-1]), rows[:1] + 1, np.arange(3000), rows, 5)
     scores = rows @ (rows[0] + 1)
     assert [s for _, _, s in found] == sorted(scores.tolist(), reverse=True)[:5]
+
+
+def test_repeated_ids_take_one_place():
+    rows = np.zeros((10, 16), int)
+    rows[:, 0] = [100] * 5 + [99, 98, 97, 96, 95]
+    ids = np.array([1] * 5 + [2, 3, 4, 5, 6])
+    query = np.eye(1, 16, dtype=int)
+    assert topk.search_block(np.array([0]), query, ids, rows, 5) == [(0, 1, 100), (0, 2, 99), (0, 3, 98), (0, 4, 97), (0, 5, 96)]
+    assert topk.search_block(np.array([0]), query, ids, rows, 7) == [(0, i, s) for i, s in zip(range(1, 7), range(100, 94, -1))]
+
+
+def test_repeated_ids_with_distinct_scores(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 40)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=20)]) for i in range(120)]
+    rows += [rows[i] for i in range(0, 120, 3) for _ in range(6)]  # rows that repeat as a whole
+    rows += [(i, [float(np.float32(x)) for x in rng.normal(size=20) * 3]) for i in [50] * 9 + [7] * 60 + [8] * 60]  # ids with several vectors
+    assert set(run(spark, rows)) == plain(rows)
+
+
+def test_an_id_with_many_vectors_has_many_blocks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 50)
+    whole, path = topk.search_block, str(tmp_path / "sizes")
+
+    def noted(*a, **b):
+        with open(path, "a") as f:
+            f.write(f"{len(a[2])}\n")
+        return whole(*a, **b)
+
+    monkeypatch.setattr(topk, "search_block", noted)
+    rows = [(50, [1.0, 1.0])] + [(7, [float(i), 1.0]) for i in range(400)] + [(i, [1.0, float(i)]) for i in range(100, 150)]
+    assert set(run(spark, rows)) == plain(rows)
+    assert max(int(x) for x in open(path)) < 150
