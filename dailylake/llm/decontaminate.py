@@ -14,8 +14,9 @@ and else joined by a shuffle; so are the candidates.
 
 Edge cases: a text is lower-cased and cut into runs of letters and digits; a text with fewer
 words than a shingle has one shingle, all its words; a text without words (or null) has none
-and is never in a pair; repeated items or rows give one pair; a null id is an id of its own;
-other columns of the inputs are ignored.
+and is never in a pair; repeated items or rows give one pair; every text of an item id, null ids
+included, is an item by itself, and a document has the id if it contains one of its texts;
+a null id is an id of its own; other columns of the inputs are ignored.
 """
 
 from __future__ import annotations
@@ -59,18 +60,18 @@ def shingle_hashes(text: Column, n: int = WORDS) -> Column:
 
 
 def sketches(items: DataFrame, threshold: float = THRESHOLD, n: int = WORDS) -> DataFrame:
-    """``item_id``, ``hash`` of each item's sketch, and ``least``, the hits that a candidate needs.
+    """``item_id``, ``item_hash`` (of the text), ``hash`` of each item's sketch, and ``least``, the hits that a candidate needs.
 
     An item of ``size`` shingles may miss ``size - ceil(threshold * size)`` of them. The
     sketch size of a partition is that of its largest possible member, and one more.
     """
-    own = items.select("item_id", F.explode(shingle_hashes(F.col("text"), n)).alias("hash")).distinct()
-    item = Window.partitionBy("item_id")
+    own = items.select("item_id", F.xxhash64("text").alias("item_hash"), F.explode(shingle_hashes(F.col("text"), n)).alias("hash")).distinct()
+    item = Window.partitionBy("item_id", "item_hash")
     own = own.withColumn("size", F.count("*").over(item)).withColumn("place", F.row_number().over(item.orderBy("hash")))
     missed = lambda size: size - F.ceil(size * threshold - 1e-9)
     top = F.pow(F.lit(2.0), F.floor(F.log2("size")) + 1) - 1
     own = own.withColumn("length", F.least(F.col("size"), missed(top) + 1))
-    return own.where("place <= length").select("item_id", "hash", (F.col("length") - F.least(missed(F.col("size")), F.col("length") - 1)).cast("int").alias("least"))
+    return own.where("place <= length").select("item_id", "item_hash", "hash", (F.col("length") - F.least(missed(F.col("size")), F.col("length") - 1)).cast("int").alias("least"))
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -80,17 +81,18 @@ def _few(df: DataFrame) -> DataFrame:
 def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = WORDS) -> DataFrame:
     """Pairs of a document (``doc_id`` and ``text_hash``) and an item with at least the threshold.
 
-    ``docs``: doc_id, text; ``items``: item_id, text.
+    ``docs``: doc_id, text; ``items``: item_id, text. An id with several texts may have
+    several pairs with a document, of different ``n_shingles``.
     """
     docs = docs.select(F.col("doc_id"), F.col("text"), F.xxhash64("text").alias("text_hash"))
-    items = items.select(F.col("item_id"), F.col("text")).distinct()
+    items = items.select(F.col("item_id"), F.col("text")).distinct().withColumn("item_hash", F.xxhash64("text"))
     sketch = materialize(sketches(items, threshold, n), "sketches")
     found = docs.select("doc_id", "text_hash", F.explode(shingle_hashes(F.col("text"), n)).alias("hash")).join(_few(sketch), "hash")
-    hits = found.groupBy("doc_id", "text_hash", "item_id").agg(F.countDistinct("hash").alias("hits"), F.first("least").alias("least"))
-    candidates = materialize(hits.where("hits >= least").select(F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"), "item_id"), "candidates")
-    whole = items.groupBy("item_id").agg(F.array_distinct(F.flatten(F.collect_list(shingles(F.col("text"), n)))).alias("wanted"))
-    pairs = docs.join(_few(candidates), F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text"))).select("doc_id", "text_hash", F.col("item_id").alias("of_item"), shingles(F.col("text"), n).alias("own"))
-    pairs = pairs.join(whole, F.col("of_item").eqNullSafe(F.col("item_id")))
+    hits = found.groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(F.countDistinct("hash").alias("hits"), F.first("least").alias("least"))
+    candidates = materialize(hits.where("hits >= least").select(F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"), F.col("item_id").alias("of_item"), F.col("item_hash").alias("of_item_text")), "candidates")
+    whole = items.select("item_id", "item_hash", shingles(F.col("text"), n).alias("wanted"))
+    pairs = docs.join(_few(candidates), F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_text"))).select("doc_id", "text_hash", "of_item", "of_item_text", shingles(F.col("text"), n).alias("own"))
+    pairs = pairs.join(whole, F.col("of_item").eqNullSafe(F.col("item_id")) & (F.col("of_item_text") == F.col("item_hash")))
     verified = pairs.select("doc_id", "text_hash", "item_id", F.size("wanted").cast("long").alias("n_shingles"), F.size(F.array_intersect("wanted", "own")).cast("long").alias("n_shared"))
     return verified.where(F.col("n_shared") >= F.col("n_shingles") * threshold - 1e-9).distinct()
 
@@ -103,10 +105,14 @@ def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
 
 
 def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered query: every document with every benchmark item that it contains."""
+    """Registered query: every document with every benchmark item that it contains.
+
+    Of several texts of an item id the one counts that the document holds most of, then the longest.
+    """
     pairs = contained(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    best = pairs.groupBy("doc_id", "item_id").agg(F.max("n_shingles").alias("n_shingles"), F.max("n_shared").alias("n_shared"))
-    return best.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    pairs = pairs.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    best = pairs.groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_shingles", "n_shared")).alias("best"))
+    return best.select("doc_id", "item_id", "best.n_shingles", "best.n_shared", "best.containment")
 
 
 CONTAMINATION_SQL = r"""

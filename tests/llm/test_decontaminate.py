@@ -71,3 +71,28 @@ def test_native(spark):
     df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     plan = D.contained(df, it)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def plain_texts(docs, items, t=0.8):
+    """Like ``plain``, every text of an id being an item by itself."""
+    return set().union(*(plain(docs, [item], t) for item in items))
+
+
+@pytest.mark.parametrize("broadcast", [0, 10**6])
+def test_texts_of_one_id_are_items_by_themselves(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(D, "BROADCAST_ROWS", broadcast)
+    text = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    items = [(None, text("a", 20)), (None, text("b", 30)), (None, text("b", 30)), (7, text("c", 12)), (7, text("d", 40)), (7, None), (8, text("c", 12))]
+    docs = [(1, "x " + text("a", 20) + " y"), (2, text("b", 30)), (3, text("c", 12) + " z"), (4, "z " + text("d", 40)), (None, text("c", 12) + " " + text("d", 40)), (6, text("e", 50))]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = plain_texts(docs, items)
+    assert len(want) == 8
+    assert {(r.doc_id, r.item_id, r.n_shingles) for r in D.contained(df, it).collect()} == want
+    assert [r.doc_id for r in D.keep_clean(df, it).collect()] == [6]
+
+
+def test_best_text_of_an_id_counts(spark, tmp_path):
+    text = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    spark.createDataFrame([(1, text("a", 24) + " x " + text("b", 12))], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, text("a", 26)), (7, text("b", 12))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [tuple(r) for r in D.contamination(spark, str(tmp_path)).collect()] == [(1, 7, 8, 8, 1.0)]
