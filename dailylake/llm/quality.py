@@ -1,8 +1,8 @@
 """Quality and toxicity by hierarchical empirical Bayes.
 
 Evidence of a document: two logistic regressions (good, toxic) over the presence of words,
-symbol runs and shape bins, fitted on at most ``SAMPLE`` labelled rows, those of the smallest
-hash of the id. Evidence of its place: the expected number of good documents by host and by
+symbol runs and shape bins, fitted on at most ``SAMPLE`` labelled documents (one row for each
+id), those of the smallest hash of the id. Evidence of its place: the expected number of good documents by host and by
 path below it, aggregated over all rows. A site's rate is shrunk toward its parent's (path
 toward host, host toward all) with a prior strength that the method of moments takes from
 the spread between sites, so sparse sites stay near the global prior. A document's log odds
@@ -11,7 +11,8 @@ move by the difference of its path's posterior and the global rate.
 For ``documents`` the host is ``source`` and the path below it ``lang``.
 
 Edge cases: a null text counts as empty; null hosts or paths form a site of their own; label
-rows without id or label don't count, and an id with several label rows has their mean; with
+rows without id, label or document don't count, and an id with several label rows has their
+mean; of the rows of a labelled id the one of the smallest features is learned from; with
 no labels, or labels of one kind, the odds are those of the labels alone (even for none), and
 even odds reject nothing; repeated rows count and are answered as often as they occur; other
 columns pass unchanged through ``keep`` and are ignored by ``judge``.
@@ -119,17 +120,19 @@ def choose(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> dict[str, tuple[np.ndarray, np.ndarray, float]]:
     """For each head the chosen features, their weights and the intercept."""
     taught = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(*[F.avg(h).alias(h) for h in HEADS])
-    taught = taught.where(" and ".join(f"{h} is not null" for h in HEADS)).orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(taught), "id").select("quality", "text", "toxic")
+    known_ids = docs.select(F.col(id_col).alias("id")).distinct()
+    taught = taught.where(" and ".join(f"{h} is not null" for h in HEADS)).join(known_ids, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(sample)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(taught), "id").select("quality", "text", "toxic", "id")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for part in chunks(batches):
             found = [sorted(features(t.as_py())) for t in part.column(1)]
             y = [pa.array(np.asarray(part.column(c).to_numpy()) >= 0.5) for c in (0, 2)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), *y], ["found", *HEADS])
+            yield pa.RecordBatch.from_arrays([part.column(3).combine_chunks(), pa.array(found, pa.list_(pa.int32())), *y], ["id", "found", *HEADS])
 
-    rows = materialize(rows.mapInArrow(task, "found array<int>, quality boolean, toxic boolean"), "taught")
+    each = rows.withColumn("id", F.xxhash64("id")).mapInArrow(task, "id long, found array<int>, quality boolean, toxic boolean")
+    rows = materialize(each.groupBy("id").agg(F.min("found").alias("found"), *[F.first(h).alias(h) for h in HEADS]).drop("id"), "taught")
     cells = rows.select(F.explode("found").alias("feature"), *HEADS).groupBy("feature").agg(
         *[F.sum((F.col(h) == F.lit(bool(k))).cast("long")).alias(f"{h}{k}") for h in HEADS for k in (0, 1)]).toArrow()
     known = {}

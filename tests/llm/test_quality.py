@@ -69,3 +69,27 @@ def test_toxic_words_are_learned(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
     labels = docs.where("doc_id < 200").select("doc_id", F.lit(1).alias("quality"), F.expr("int(doc_id % 4 = 0)").alias("toxic"))
     assert {r.doc_id for r in quality.keep(docs, labels).collect()} == {i for i in range(400) if i % 4}
+
+
+def fitted(spark, monkeypatch, docs, labels, sample):
+    """How many rows the classifiers are fitted on."""
+    rows = []
+    whole = quality.fit_head
+    monkeypatch.setattr(quality, "fit_head", lambda found, *a, **b: rows.append(len(found)) or whole(found, *a, **b))
+    known = quality.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), sample)
+    return known, rows
+
+
+def test_labels_without_documents_take_no_place(spark, monkeypatch):
+    docs = [(i, f"word{i % 5}") for i in range(30)]
+    labels = [(i, 1, i % 2) for i in range(600)]
+    assert fitted(spark, monkeypatch, docs, labels, 30)[1] == [30, 30]
+
+
+def test_repeated_documents_count_once(spark, monkeypatch):
+    docs = [(i, f"word{i % 5}") for i in range(30)] + [(7, f"other words {i % 3}") for i in range(300)]
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(30)]
+    known, rows = fitted(spark, monkeypatch, docs, labels, 20)
+    assert rows == [20, 20]
+    again, _ = fitted(spark, monkeypatch, docs[::-1], labels, 20)
+    assert all((known[h][0] == again[h][0]).all() and np.isclose(known[h][2], again[h][2]) for h in quality.HEADS)
