@@ -13,7 +13,8 @@ Everything is DataFrame functions. The sketches are broadcast if their counted r
 and else joined by a shuffle; so are the candidates.
 
 Edge cases: a text is lower-cased and cut into runs of letters and digits; a text with fewer
-words than a shingle has one shingle, all its words; a text without words (or null) has none
+words than a shingle has one shingle, all its words, so an item of one to four words is only
+found in a document of exactly those words and not inside a longer one; a text without words (or null) has none
 and is never in a pair; repeated items or rows give one pair; every text of an item id, null ids
 included, is an item by itself, and a document has the id if it contains one of its texts;
 a null id is an id of its own; other columns of the inputs are ignored.
