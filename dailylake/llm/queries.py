@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailylake.llm import bpe, decontaminate, langid, lm, pii, quality, runs, sharding, simhash, suffixdedup, topk
+from dailylake.llm import bpe, decontaminate, langid, lm, pii, prefixtrie, quality, runs, sharding, simhash, suffixdedup, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": topk.vector_search,
@@ -20,10 +20,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_langid": langid.language_id,
     "op10_pii": pii.personal_data,
     "op12_periodic_runs": runs.periodic_runs,
+    "op13_prefix_trie": prefixtrie.prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
     "op1_topk": topk.VECTOR_SEARCH_SQL,
     "op3_sharding": sharding.SHARDS_SQL,
     "op6_decontamination": decontaminate.CONTAMINATION_SQL,
+    "op13_prefix_trie": prefixtrie.PREFIX_TRIE_SQL,
 }
