@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailylake.llm import bpe, decontaminate, langid, lm, pii, prefixtrie, quality, runs, sharding, simhash, suffixdedup, topk
+from dailylake.llm import bpe, decontaminate, htmltext, langid, lm, pii, prefixtrie, quality, runs, sharding, simhash, suffixdedup, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": topk.vector_search,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality.quality,
     "op9_langid": langid.language_id,
     "op10_pii": pii.personal_data,
+    "op11_html_text": htmltext.main_text,
     "op12_periodic_runs": runs.periodic_runs,
     "op13_prefix_trie": prefixtrie.prefix_trie,
 }
