@@ -405,12 +405,12 @@ def _calendar(df: DataFrame, col: str = "date") -> DataFrame:
 
 @query
 def q_missing_partitions(spark, sf_dir):
-    """Days of the observed range without a silver partition."""
+    """Days of the observed range without a silver partition, with their neighbours that have one."""
     t = _tables(spark, sf_dir)
     daily = _day_silver(t)[0]
     root = scratch_path(spark, "silver")
     S.write_silver(daily, root)
-    return _calendar(t.obs()).join(S.present_dts(spark, root), "dt", "left_anti")
+    return S.missing_dts(S.present_dts(spark, root))
 
 
 @query

@@ -59,6 +59,9 @@ BRONZE = T.StructType([
     T.StructField("payload", BRONZE_PAYLOAD),
 ])
 
+# The envelope where malformed records are kept apart: the last column holds their text.
+CORRUPT = T.StructType([*BRONZE.fields, T.StructField("_corrupt", S)])
+
 # ---- silver -------------------------------------------------------------------
 DAILY_MEASURES = ["temp_min_c", "temp_max_c", "temp_avg_c", "precip_mm", "snow_cm",
                   "humidity_avg", "wind_max_kph"]

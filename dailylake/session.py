@@ -93,6 +93,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` (one listing; none if the path is not there)."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of the library (scratch output, an emptied partition)."""
     fs, p = _path(spark, path)

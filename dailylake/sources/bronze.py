@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dailylake.schemas import BRONZE
-from dailylake.session import delete_path, path_exists, scratch_path
+from dailylake.schemas import BRONZE, CORRUPT
+from dailylake.session import delete_path, folder_names, scratch_path
 
 
 def _s(c) -> Column:
@@ -85,7 +85,8 @@ def write_bronze(envelopes: DataFrame, root: str, partition_by: tuple[str, ...]
     One folder per day by default, so that many locations do not turn into many
     tiny files: the day's other stored records are merged in and the day is
     rewritten (dynamic overwrite; the merged days pass through the shared scratch
-    folder, since a job cannot overwrite files that it reads).
+    folder, since a job cannot overwrite files that it reads). Only the folders of
+    the days written are opened; their names come to the driver, one for a day.
     ``partition_by=("dt", "location_id")`` has a folder per key and rewrites only
     those written. Of several records of a key the one ingested last is kept.
     """
@@ -94,17 +95,19 @@ def write_bronze(envelopes: DataFrame, root: str, partition_by: tuple[str, ...]
     if "location_id" in partition_by:
         out = out.withColumn("location_id", F.col("metadata.location_id"))
     scratch = None
-    if tuple(partition_by) == ("dt",) and path_exists(spark, root):
+    stored = set(folder_names(spark, root)) if tuple(partition_by) == ("dt",) else set()
+    if stored:
         scratch = scratch_path(spark, "bronze-merge")
         out.write.parquet(f"{scratch}/new")
-        new = spark.read.parquet(f"{scratch}/new")
-        keys = new.select("dt", F.col("metadata.location_id").alias("_id"))
-        old = read_bronze(spark, root).select("dt", "metadata", "payload")
-        kept = old.join(new.select("dt").distinct(), "dt", "left_semi").alias("o")
-        kept = kept.join(keys.alias("k"), (F.col("o.dt") == F.col("k.dt"))
-                         & F.col("o.metadata.location_id").eqNullSafe(F.col("k._id")), "left_anti")
-        new.unionByName(kept).write.parquet(f"{scratch}/days")
-        out = spark.read.parquet(f"{scratch}/days")
+        out = new = spark.read.parquet(f"{scratch}/new")
+        days = [r["dt"] for r in new.select("dt").distinct().collect() if f"dt={r['dt']}" in stored]
+        if days:
+            keys = new.select("dt", F.col("metadata.location_id").alias("_id")).alias("k")
+            old = read_bronze(spark, root, days=days).select("dt", "metadata", "payload").alias("o")
+            kept = old.join(keys, (F.col("o.dt") == F.col("k.dt"))
+                            & F.col("o.metadata.location_id").eqNullSafe(F.col("k._id")), "left_anti")
+            new.unionByName(kept).write.parquet(f"{scratch}/days")
+            out = spark.read.parquet(f"{scratch}/days")
     (out.hint("rebalance", *partition_by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).json(root))
     if scratch:
@@ -112,24 +115,34 @@ def write_bronze(envelopes: DataFrame, root: str, partition_by: tuple[str, ...]
 
 
 def read_bronze(spark: SparkSession, root: str, dt: str | None = None,
-                landed: bool = False) -> DataFrame:
+                landed: bool = False, days: list[str] | None = None,
+                keep_malformed: bool = False) -> DataFrame:
     """Scan bronze with the explicit envelope schema; a malformed file fails the job.
 
     Adds ``dt`` (from the partition folder, as text) and, for landed files,
     ``source_file`` (listing order, used by keep-last; the part files of a Spark
     write have no meaningful order). ``location_id`` is *not* taken from the
-    path: identity is ``metadata.location_id``. With ``dt`` only that day's
-    folder is listed.
+    path: identity is ``metadata.location_id``. With ``dt`` or ``days`` only those
+    days' folders are listed. ``keep_malformed``: records that are no envelope or
+    whose dates don't parse don't fail the scan; they have true in a further
+    column ``malformed``, and all rows have their ``source_file``.
     """
-    r = (spark.read.schema(BRONZE)
-         .option("mode", "FAILFAST")
+    r = (spark.read.schema(CORRUPT if keep_malformed else BRONZE)
+         .option("mode", "PERMISSIVE" if keep_malformed else "FAILFAST")
+         .option("columnNameOfCorruptRecord", "_corrupt")
          .option("multiLine", landed))
     if landed:
         r = r.option("pathGlobFilter", "*raw.json")
-    df = r.option("basePath", root).json(root if dt is None else f"{root}/dt={dt}")
+    folders = [f"{root}/dt={d}" for d in (days if days is not None else [] if dt is None else [dt])]
+    df = r.option("basePath", root).json(folders or root)
     if "dt" not in df.columns:
         raise ValueError(f"bronze root {root} is not partitioned by dt")
-    file = [F.col("_metadata.file_path").alias("source_file")] if landed else []
+    file = [F.col("_metadata.file_path").alias("source_file")] if landed or keep_malformed else []
+    if keep_malformed:
+        stated = F.get("payload.forecast.forecastday", 0)["date"]
+        bad = (F.col("_corrupt").isNotNull() | F.col("metadata").isNull() | F.col("dt").try_cast("date").isNull()
+               | (stated.isNotNull() & stated.try_cast("date").isNull()))
+        file.append(F.coalesce(bad, F.lit(False)).alias("malformed"))
     return df.select("dt", "metadata", "payload", *file)
 
 

@@ -347,7 +347,8 @@ cal AS (
 )"""
 
 ORACLE["q_missing_partitions"] = SILVER + CAL + """
-SELECT dt FROM cal WHERE dt NOT IN (SELECT DISTINCT date FROM obs)"""
+SELECT dt, (SELECT max(date) FROM obs WHERE date < dt) AS before, (SELECT min(date) FROM obs WHERE date > dt) AS after
+FROM cal WHERE dt NOT IN (SELECT DISTINCT date FROM obs)"""
 
 
 def _null_counts(src: str, cols: list[str], dataset: str) -> list[str]:

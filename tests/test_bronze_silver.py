@@ -127,6 +127,8 @@ def test_silver_overwrite_is_per_partition_and_pruned(spark, tmp_root):
     S.write_silver(mk([(dt.date(2024, 1, 2), "a", dt.date(2024, 1, 2), 2)]), root)
     got = {(r["dt"], r["v"]) for r in S.read_silver(spark, root).collect()}
     assert got == {(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 2)}
+    # plan strings are cut after a fixed length, expression ids grow with the session
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     one = S.read_silver(spark, root, dt="2024-01-02")
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*2024-01-02", plan)
@@ -134,6 +136,7 @@ def test_silver_overwrite_is_per_partition_and_pruned(spark, tmp_root):
     assert S.read_silver(spark, root, dt="2024-01-09").count() == 0
     span = S.read_silver(spark, root, dt_from="2024-01-02", dt_to="2024-01-03")
     plan = span._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert re.search(r"PartitionFilters: \[[^\]]*>= 2024-01-02[^\]]*<= 2024-01-03", plan)
     assert one.count() == 1
     assert {r["dt"] for r in S.present_dts(spark, root).collect()} == {dt.date(2024, 1, 1), dt.date(2024, 1, 2)}
@@ -183,3 +186,67 @@ def test_one_day_lists_its_own_folder(spark, tmp_root):
     recs = [envelope(f"2024-03-0{d}", "a", ingested_at=f"2024-03-0{d}T06:00:00+00:00") for d in (1, 2, 3)]
     B.write_bronze(_bronze(spark, recs), root)
     assert {os.path.basename(os.path.dirname(f)) for f in B.read_bronze(spark, root, dt="2024-03-02").inputFiles()} == {"dt=2024-03-02"}
+
+
+def test_one_day_write_opens_one_days_files(spark, tmp_root, monkeypatch):
+    """A daily landing in a long history reads the folder of its day and no other."""
+    root = os.path.join(tmp_root, "bronze")
+    days = [str(dt.date(2022, 1, 1) + dt.timedelta(days=i)) for i in range(1000)]
+    _bronze(spark, [envelope(d, "a", ingested_at=f"{d}T06:00:00+00:00") for d in days]).coalesce(1).write.partitionBy("dt").json(root)
+    before = {d: sorted(os.listdir(os.path.join(root, f"dt={d}"))) for d in days}
+    opened = []
+    read = B.read_bronze
+    monkeypatch.setattr(B, "read_bronze", lambda *a, **k: opened.append(read(*a, **k)) or opened[-1])
+    mk = lambda d, loc: envelope(d, loc, temp_avg="7", ingested_at=f"{d}T09:00:00+00:00")
+    B.write_bronze(_bronze(spark, [mk("2023-05-05", "b"), mk("2030-01-01", "b")]), root)
+    assert [{os.path.basename(os.path.dirname(f)) for f in df.inputFiles()} for df in opened] == [{"dt=2023-05-05"}]
+    assert {d for d in days if sorted(os.listdir(os.path.join(root, f"dt={d}"))) != before[d]} == {"2023-05-05"}
+    got = FL.silver_daily(read(spark, root, days=["2023-05-05", "2030-01-01"])).collect()
+    assert sorted((str(r["dt"]), r["location_id"]) for r in got) == [("2023-05-05", "a"), ("2023-05-05", "b"), ("2030-01-01", "b")]
+
+
+def test_partitions_are_listed_without_opening_files(spark, tmp_root):
+    root = os.path.join(tmp_root, "silver")
+    for d in ("2024-01-01", "2024-01-02", "2024-01-06"):
+        os.makedirs(os.path.join(root, f"dt={d}"))
+        with open(os.path.join(root, f"dt={d}", "part-0.parquet"), "wb") as f:
+            f.write(b"not parquet at all")  # opening it would fail
+    os.makedirs(os.path.join(root, "dt=2024-01-03"))  # a folder without files
+    open(os.path.join(root, "dt=2024-01-03", "_SUCCESS"), "w").close()
+    present = S.present_dts(spark, root)
+    day = lambda n: dt.date(2024, 1, n)
+    assert sorted(r["dt"] for r in present.collect()) == [day(1), day(2), day(6)]
+    gaps = [(day(n), day(2), day(6)) for n in (3, 4, 5)]
+    rows = lambda *a: sorted(tuple(r) for r in S.missing_dts(present, *a).collect())
+    assert rows() == gaps and rows(day(4), day(5)) == gaps[1:] and rows(day(1), day(2)) == []
+    assert rows(day(5), day(8)) == [gaps[2], (day(7), day(6), None), (day(8), day(6), None)]
+    assert sorted(tuple(r) for r in S.missing_dts(present.limit(0), day(1), day(2)).collect()) == [(day(1), None, None), (day(2), None, None)]
+    assert S.partition_hint(spark, root, "2024-01-04", 2).endswith("nearest days with data: 2024-01-02, 2024-01-06")
+
+
+def test_drifted_column_type_fails(spark, tmp_root):
+    from dailylake.schemas import SILVER_DAILY
+    root = os.path.join(tmp_root, "silver")
+    mk = lambda d, v: spark.createDataFrame([(dt.date(2024, 1, d), "a", v)], ["dt", "location_id", "temp_avg_c"])
+    S.write_silver(mk(1, 1.5), root)
+    kept = S.read_silver(spark, root, schema=SILVER_DAILY)
+    assert kept.columns == ["location_id", "temp_avg_c", "dt"] and kept.first()["temp_avg_c"] == 1.5
+    S.write_silver(mk(2, "warm"), os.path.join(tmp_root, "other"))
+    with pytest.raises(S.SchemaDriftError, match="temp_avg_c is string, not double"):
+        S.read_silver(spark, os.path.join(tmp_root, "other"), schema=SILVER_DAILY)
+    S.write_silver(mk(2, "warm"), root)  # one file of many: the scan finds it
+    with pytest.raises(Exception, match="temp_avg_c"):
+        S.read_silver(spark, root, schema=SILVER_DAILY).select("temp_avg_c").collect()
+
+
+def test_malformed_records_are_told_apart(spark, tmp_root):
+    root = os.path.join(tmp_root, "bronze")
+    land(root, "2024-03-01", "a", envelope("2024-03-01", "a"))
+    land(root, "2024-03-01", "b", '{"metadata": {"dt": "2024-03-01", "location_id": "b"')  # cut off
+    land(root, "2024-03-02", "c", envelope("2024-03-02", "c", date="soon"))
+    land(root, "2024-03-03", "d", "not json")
+    land(root, "2024-03-04", "e", envelope("2024-03-04", "e", forecast=False))
+    got = B.read_bronze(spark, root, landed=True, keep_malformed=True)
+    bad = {(r["dt"], r["malformed"]) for r in got.select("dt", "malformed").distinct().collect()}
+    assert {d for d, m in bad if m} == {"2024-03-01", "2024-03-02", "2024-03-03"}
+    assert ("2024-03-01", False) in bad and ("2024-03-04", False) in bad
