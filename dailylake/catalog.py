@@ -140,6 +140,7 @@ from dailylake.operators import flatten as FL  # noqa: E402
 from dailylake.operators import load as LD  # noqa: E402
 from dailylake.operators import quality as Q  # noqa: E402
 from dailylake.operators.dedup import duplicate_groups, duplicate_members, keep_last  # noqa: E402
+from dailylake.operators.snapshots import Snapshots  # noqa: E402
 from dailylake.plans import pipeline as PL  # noqa: E402
 from dailylake.schemas import SILVER_DAILY, SILVER_LOCATIONS, STG_DAILY_COLUMNS  # noqa: E402
 from dailylake.sources import bronze as B  # noqa: E402
@@ -309,7 +310,7 @@ def load_daily_replace_dt(spark, sf_dir):
     LD.load_daily_replace_dt(spark, LD.staging_daily_rows(first), root)
     again = _day_silver(t)[0].join(_days_with_open_orders(t), "dt", "left_semi")
     LD.load_daily_replace_dt(spark, LD.staging_daily_rows(again), root)
-    return _stg_out(S.read_silver(spark, root))
+    return _stg_out(LD.read_table(spark, root))
 
 
 @query
@@ -317,8 +318,7 @@ def load_locations_full(spark, sf_dir):
     t = _tables(spark, sf_dir)
     root = scratch_path(spark, "stg_locations")
     LD.load_locations_full(LD.staging_location_rows(_day_silver(t)[1]), root)
-    out = spark.read.parquet(root)
-    return _ntz(out.drop("loaded_at"), "ingested_at")
+    return _ntz(LD.read_table(spark, root).drop("loaded_at"), "ingested_at")
 
 
 def _open_keys(t: Tables) -> DataFrame:
@@ -339,7 +339,7 @@ def load_upsert_by_key(spark, sf_dir):
     LD.upsert_into(spark, base, root, ["location_id", "date"])
     upd = LD.staging_daily_rows(_day_silver(t)[0].join(_open_keys(t), ["location_id", "date"], "left_semi"))
     LD.upsert_into(spark, upd, root, ["location_id", "date"])
-    return _stg_out(S.read_silver(spark, root))
+    return _stg_out(LD.read_table(spark, root))
 
 
 @query
@@ -353,7 +353,7 @@ def load_upsert_partitioned(spark, sf_dir):
     LD.upsert_into(spark, base.withColumn("month", month), root, ["location_id", "date"], "month")
     upd = LD.staging_daily_rows(_day_silver(t)[0].join(_open_keys(t), ["location_id", "date"], "left_semi"))
     LD.upsert_into(spark, upd.withColumn("month", month), root, ["location_id", "date"], "month")
-    return _stg_out(S.read_silver(spark, root))
+    return _stg_out(LD.read_table(spark, root))
 
 
 def _backfilled(spark, sf_dir) -> PL.LakePaths:
@@ -368,13 +368,13 @@ def _backfilled(spark, sf_dir) -> PL.LakePaths:
 @query
 def backfill_range(spark, sf_dir):
     """Whole date range through bronze, silver, gate and staging in one run."""
-    return _stg_out(S.read_silver(spark, _backfilled(spark, sf_dir).stg_daily))
+    return _stg_out(PL.table(spark, _backfilled(spark, sf_dir), PL.STG_DAILY))
 
 
 @query
 def backfill_locations(spark, sf_dir):
     """The locations that the same run leaves: those of the last day, as day by day."""
-    out = spark.read.parquet(_backfilled(spark, sf_dir).stg_locations)
+    out = PL.table(spark, _backfilled(spark, sf_dir), PL.STG_LOCATIONS)
     return _ntz(out.drop("loaded_at"), "ingested_at")
 
 
@@ -385,12 +385,15 @@ def mart_incremental(spark, sf_dir):
     t = _tables(spark, sf_dir)
     paths = PL.LakePaths(scratch_path(spark, "lake"))
     rows = LD.staging_daily_rows(_day_silver(t)[0]).withColumn("dt", F.col("date"))
-    LD.load_locations_full(LD.staging_location_rows(_day_silver(t)[1]), paths.stg_locations)
-    middle = t.obs().agg(F.expr("date_add(min(date), cast(datediff(max(date), min(date)) / 2 as int))")).scalar()
-    for part, gold in ((F.col("date") >= middle, True), (F.col("date") < middle, False)):
-        own = rows.where(part)
-        own.select("dt").distinct().write.mode("append").parquet(paths.pending)
-        LD.load_daily_replace_dt(spark, own, paths.stg_daily, date_is_dt=True)
+    locations = LD.staging_location_rows(_day_silver(t)[1])
+    middle = t.obs().agg(F.expr("date_add(min(date), cast(datediff(max(date), min(date)) / 2 as int))")).first()[0]
+    lowest = t.obs().agg(F.min("date")).first()[0]
+    for part, since, gold in ((F.col("date") >= middle, middle, True), (F.col("date") < middle, lowest, False)):
+        change = Snapshots(spark, paths.staging).begin()
+        LD.load_locations_full(locations, paths.staging, change, PL.STG_LOCATIONS)
+        LD.load_daily_replace_dt(spark, rows.where(part), paths.staging, date_is_dt=True, change=change, table=PL.STG_DAILY)
+        change.note(since=str(since))
+        change.commit()
         if gold:
             PL.build_gold(spark, paths)
     return PL.build_gold(spark, paths)["mart_weather_rolling"]

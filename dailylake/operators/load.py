@@ -1,28 +1,31 @@
 """Staging loads (K3-K6, K9): contract column selection, NaN -> NULL, typed
 casts, ``loaded_at``, and idempotent writes.
 
-* daily:     replace the ``dt`` partitions being loaded (dynamic overwrite; the
-             reference's DELETE WHERE dt + INSERT);
-* locations: full replace (reference) or upsert by key (the contract's
-             ON CONFLICT, safe for backfills of older days);
+* daily:     replace the ``dt`` partitions being loaded (DELETE WHERE dt + INSERT);
+* locations: full replace or upsert by key (the contract's ON CONFLICT, safe for
+             backfills of older days);
 * upsert:    ``target`` anti-joined with the update keys, plus the updates.
 
 The staging primary keys are checked before writing, because Spark enforces
-none (a (location_id, date) pair may collide across two dts).
+none (a (location_id, date) pair may collide across two dts). All writes go
+through :mod:`dailylake.operators.snapshots`: alone as one commit, or into a
+``change`` that commits several tables together.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dailylake.functions.coerce import nan_to_null, to_double, to_timestamp_local, to_timestamp_utc
 from dailylake.operators.dedup import keep_last
+from dailylake.operators.snapshots import Change, Snapshots
 from dailylake.schemas import (NUMERIC, STG_DAILY_COLUMNS, STG_LOCATIONS_COLUMNS,
                                STG_LOCATIONS_OPTIONAL)
-from dailylake.session import delete_path, path_exists, scratch_path, swap_path
+from dailylake.session import path_exists
+
+#: Name of the only table of a root that holds one.
+TABLE = "rows"
 
 
 class LoadError(ValueError):
@@ -32,7 +35,7 @@ class LoadError(ValueError):
 def _require(df: DataFrame, cols: list[str], what: str) -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise LoadError(f"{what} schema mismatch. Missing columns: {missing}")
+        raise LoadError(f"{what} rows can't be loaded: the contract's columns {missing} are not there")
 
 
 def _ts_utc(df: DataFrame, c: str):
@@ -89,12 +92,16 @@ def staging_location_rows(silver_locations: DataFrame, position: list[str] | Non
     return out.withColumn("loaded_at", loaded_at if loaded_at is not None else F.current_timestamp())
 
 
-def read_table(spark: SparkSession, root: str) -> DataFrame | None:
-    """The Parquet table at ``root``; None if the folder is not there.
+def read_table(spark: SparkSession, root: str, table: str = TABLE) -> DataFrame | None:
+    """The committed table at ``root``; None if there is none.
 
-    A folder without readable files (a crashed write) is an error, not an empty table.
+    A folder of plain Parquet files is a table too. A folder without either (a
+    crashed write of another tool) is an error, not an empty table.
     """
-    return spark.read.parquet(root) if path_exists(spark, root) else None
+    rows = Snapshots(spark, root).read(table)
+    if rows is None and path_exists(spark, root) and not Snapshots(spark, root).versions():
+        return spark.read.parquet(root)
+    return rows
 
 
 def check_unique(df: DataFrame, keys: list[str], what: str) -> None:
@@ -112,44 +119,46 @@ def check_not_null(df: DataFrame, keys: list[str], what: str) -> None:
         raise LoadError(f"{what}: null key values: { {k: n[k] for k in keys if n[k]} }")
 
 
+def check_daily_keys(rows: DataFrame, date_is_dt: bool = False, existing: DataFrame | None = None) -> None:
+    """The primary key (location_id, date) of daily rows: not null, once, and in no other stored day."""
+    what = "stg_weather_daily"
+    keys = rows.select("dt", "location_id", "date")
+    check_not_null(keys, ["dt", "location_id", "date"], what)
+    if date_is_dt:
+        wrong = keys.where(F.col("date") != F.col("dt")).limit(5).collect()
+        if wrong:
+            raise LoadError(f"{what}: date differs from dt: {[tuple(r) for r in wrong]}")
+    elif existing is not None:
+        old = (existing.select("dt", "location_id", "date")
+               .join(keys.select("location_id", "date").distinct(), ["location_id", "date"], "left_semi")
+               .join(keys.select("dt").distinct(), "dt", "left_anti"))
+        keys = keys.unionByName(old)
+    check_unique(keys, ["location_id", "date"], what)
+
+
 def load_daily_replace_dt(spark: SparkSession, rows: DataFrame, root: str,
-                          check_keys: bool = True, date_is_dt: bool = False) -> None:
+                          check_keys: bool = True, date_is_dt: bool = False,
+                          change: Change | None = None, table: str = TABLE) -> None:
     """Replace the dt partitions present in ``rows``; other days survive.
 
     ``date_is_dt``: the rows' date must be their dt (the gate's rule). Then a key
     can only collide with rows of its own, replaced day, and nothing stored is
     read. Otherwise the stored keys of other days are joined with the new ones.
     """
+    own = change or Snapshots(spark, root).begin()
     if check_keys:
-        what = "stg_weather_daily"
-        keys = rows.select("dt", "location_id", "date")
-        check_not_null(keys, ["dt", "location_id", "date"], what)
-        if date_is_dt:
-            wrong = keys.where(F.col("date") != F.col("dt")).limit(5).collect()
-            if wrong:
-                raise LoadError(f"{what}: date differs from dt: {[tuple(r) for r in wrong]}")
-        elif (existing := read_table(spark, root)) is not None:
-            old = (existing.select(F.col("dt").cast("date").alias("dt"), "location_id", "date")
-                   .join(keys.select("location_id", "date").distinct(), ["location_id", "date"], "left_semi")
-                   .join(keys.select("dt").distinct(), "dt", "left_anti"))
-            keys = keys.unionByName(old)
-        check_unique(keys, ["location_id", "date"], what)
-    (rows.hint("rebalance", "dt").sortWithinPartitions("dt", "location_id", "date")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("dt").parquet(root))
-
-
-def load_locations_full(rows: DataFrame, root: str) -> None:
-    """DELETE all + INSERT: the table becomes exactly ``rows``."""
-    _write_whole(rows, root)
+        check_daily_keys(rows, date_is_dt, None if date_is_dt else own.read(table))
+    own.replace_partitions(table, rows.hint("rebalance", "dt").sortWithinPartitions("dt", "location_id", "date"), "dt")
+    if change is None:
+        own.commit()
 
 
-def _write_whole(rows: DataFrame, root: str) -> None:
-    """Write beside the table, then swap: readers see the old table or the new one."""
-    spark = rows.sparkSession
-    beside = f"{root}.new-{uuid.uuid4().hex[:8]}"
-    rows.write.parquet(beside)
-    swap_path(spark, beside, root)
+def load_locations_full(rows: DataFrame, root: str, change: Change | None = None, table: str = TABLE) -> None:
+    """DELETE all + INSERT: the table becomes exactly ``rows``."""
+    own = change or Snapshots(rows.sparkSession, root).begin()
+    own.replace(table, rows)
+    if change is None:
+        own.commit()
 
 
 def upsert_by_key(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
@@ -159,42 +168,32 @@ def upsert_by_key(target: DataFrame, updates: DataFrame, keys: list[str]) -> Dat
 
 
 def upsert_into(spark: SparkSession, updates: DataFrame, root: str, keys: list[str],
-                partition_by: str | None = None) -> None:
-    """Upsert into the Parquet table at ``root``; a key may occur once in ``updates``.
-
-    Unpartitioned: the merged table is written beside the old one and swapped
-    in. Partitioned by ``partition_by``: only the affected partitions are
-    rewritten (those of the updates and those their keys move out of). Their
-    merged rows are first written to the shared scratch folder, since a job
-    cannot overwrite files that it reads; a partition that all rows left is
-    deleted.
+                partition_by: str | None = None, change: Change | None = None, table: str = TABLE) -> None:
+    """Upsert into the table at ``root``; a key may occur once in ``updates``.
+
+    Unpartitioned: the merged table is written whole. Partitioned by
+    ``partition_by``: only the affected partitions are rewritten (those of the
+    updates and those their keys move out of); one that all rows left goes. The
+    names of the affected partitions come to the driver, which writes them into
+    the commit record.
     """
+    own = change or Snapshots(spark, root).begin()
     check_not_null(updates, keys, root)
     check_unique(updates, keys, root)
-    target = read_table(spark, root)
-    if target is None:
-        if partition_by:
-            updates.write.partitionBy(partition_by).parquet(root)
-        else:
-            _write_whole(updates, root)
-        return
-    if not partition_by:
-        _write_whole(upsert_by_key(target.select(*updates.columns), updates, keys), root)
-        return
+    target = own.read(table)
     p = partition_by
-    # partition values come back as text: keep the table's own type for them
-    kind = updates.schema[p].dataType
-    target = target.withColumn(p, F.col(p).cast(kind)).select(*updates.columns)
-    moved = target.join(updates.select(*keys).distinct(), keys, "left_semi").select(p)
-    affected = updates.select(p).union(moved).distinct()
-    scratch = scratch_path(spark, "upsert")
-    upsert_by_key(target.join(affected, p, "left_semi"), updates, keys).write.parquet(f"{scratch}/rows")
-    affected.write.parquet(f"{scratch}/affected")
-    merged = spark.read.parquet(f"{scratch}/rows")
-    emptied = (spark.read.parquet(f"{scratch}/affected").join(merged.select(p).distinct(), p, "left_anti")
-               .select(F.col(p).cast("string")))
-    (merged.hint("rebalance", p).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy(p).parquet(root))
-    for r in emptied.toLocalIterator():
-        delete_path(spark, f"{root}/{p}={r[0]}")
-    delete_path(spark, scratch)
+    if target is None:
+        own.replace(table, updates, p)
+    elif not p:
+        own.replace(table, upsert_by_key(target.select(*updates.columns), updates, keys))
+    else:
+        target = target.select(*updates.columns)
+        moved = target.join(updates.select(*keys).distinct(), keys, "left_semi").select(p)
+        affected = {r[0] for r in updates.select(p).union(moved).distinct().select(F.col(p).cast("string")).collect()}
+        # a null partition has a folder name of its own: it is always read
+        old = own.read(table, keep=lambda v: v in affected or v.startswith("__HIVE")).select(*updates.columns)
+        old = old.where(F.col(p).cast("string").isin(sorted(affected - {None})) | (F.col(p).isNull() if None in affected else F.lit(False)))
+        merged = upsert_by_key(old, updates, keys)
+        own.replace_partitions(table, merged.hint("rebalance", p), p, drop=affected - {None})
+    if change is None:
+        own.commit()

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from dailylake.functions.coerce import to_double
 from dailylake.operators.dedup import duplicate_groups
+from dailylake.sources.silver import partition_hint
 
 DAILY_REQUIRED = ["location_id", "date", "ingested_at"]
 LOCATIONS_REQUIRED = ["location_id", "name", "country", "lat", "lon", "tz_id", "ingested_at"]
@@ -49,7 +50,7 @@ class QualityConfig:
 def require_columns(df: DataFrame, cols: list[str], name: str) -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise QualityGateError(f"{name} missing required columns: {missing}")
+        raise QualityGateError(f"{name} rows come without the required columns {missing}")
 
 
 # ---- single-rule reports (A5, A6, A7, C5, C9) --------------------------------------
@@ -246,12 +247,13 @@ def offenders(daily: DataFrame, cfg: QualityConfig = QualityConfig(), n: int = 5
 
 def raise_on_failure(report: DataFrame, sample: int = 5, daily: DataFrame | None = None,
                      cfg: QualityConfig = QualityConfig(),
-                     expected: DataFrame | None = None) -> DataFrame:
+                     expected: DataFrame | None = None, roots: dict[str, str] | None = None) -> DataFrame:
     """Raise with the first failing days (bounded sample); return the report otherwise.
 
     With ``daily`` the message shows rows of the failing days that break the
     freshness and range rules and duplicated keys with their counts; with
-    ``expected`` also locations that are missing.
+    ``expected`` also locations that are missing, and with ``roots`` (the silver root
+    of each missing-partition rule) the nearest days that are there.
     """
     failing = report.where(~F.col("passed"))
     bad = failing.select("dt", "failed_rule").orderBy("dt").limit(sample).collect()
@@ -259,6 +261,9 @@ def raise_on_failure(report: DataFrame, sample: int = 5, daily: DataFrame | None
         return report
     shown = ", ".join(f"dt={r['dt']}: {r['failed_rule']}" for r in bad)
     msg = f"{failing.count()} day(s) failed. First: {shown}"
+    lost = next((r for r in bad if roots and r["failed_rule"] in roots), None)
+    if lost:
+        msg += f". {partition_hint(report.sparkSession, roots[lost['failed_rule']], lost['dt'])}"
     if daily is not None:
         own = daily.join(failing.select("dt"), "dt", "left_semi")
         rows = offenders(own, cfg, sample).orderBy("dt", "location_id", "rule").limit(sample).collect()
@@ -312,7 +317,8 @@ def source_freshness(sources: dict[str, DataFrame], now, warn_hours: float = 30,
     parts = []
     for name, df in sources.items():
         m = df.agg(F.max(field).alias("max_loaded_at"))
-        age = (F.unix_timestamp(F.lit(now).cast("timestamp"))
+        at = now if isinstance(now, Column) else F.lit(now)
+        age = (F.unix_timestamp(at.cast("timestamp"))
                - F.unix_timestamp("max_loaded_at")) / 3600.0
         parts.append(m.select(F.lit(name).alias("source"), "max_loaded_at",
                               age.alias("age_hours")))

@@ -15,11 +15,12 @@ def utc_now() -> _dt.datetime:
 
 
 def log_days(outcome: DataFrame, root: str, started: _dt.datetime,
-             loaded: DataFrame | None = None) -> None:
+             loaded: DataFrame | None = None, warning: str | None = None) -> None:
     """Append one row per day of ``outcome`` (dt, failed_rule) to the run log.
 
-    ``loaded``: (dt, records_loaded) for the days that reached staging. The
-    rows are built from DataFrames (one per day), not on the driver.
+    ``loaded``: (dt, records_loaded) for the days that reached staging;
+    ``warning`` stands in the summary of successful days. The rows are built from
+    DataFrames (one per day), not on the driver.
     """
     finished = utc_now()
     df = outcome if loaded is None else outcome.join(loaded, "dt", "left")
@@ -32,5 +33,5 @@ def log_days(outcome: DataFrame, root: str, started: _dt.datetime,
         F.lit(finished).cast("timestamp_ntz").alias("finished_at"),
         F.lit(round((finished - started).total_seconds(), 3)).cast("decimal(18,3)").alias("duration_sec"),
         F.col("records_loaded").cast("int").alias("records_loaded"),
-        F.col("failed_rule").alias("error_summary"))
+        F.coalesce("failed_rule", F.lit(warning)).alias("error_summary"))
     rows.select(*[f.name for f in PIPELINE_RUNS.fields]).write.mode("append").parquet(root)

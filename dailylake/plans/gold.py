@@ -11,7 +11,7 @@ separate size-check job would only recompute the dimension.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dailylake.functions import dates as D
@@ -40,6 +40,12 @@ def dim_date(stg_daily: DataFrame) -> DataFrame:
     return D.calendar(days)
 
 
+def dim_date_between(spark: SparkSession, lo: str, hi: str) -> DataFrame:
+    """The calendar between two known days."""
+    day = lambda v: F.lit(v).cast("date")
+    return D.calendar(spark.range(1).select(F.explode(F.sequence(day(lo), day(hi))).alias("date")))
+
+
 def fact_weather_daily(stg_daily: DataFrame) -> DataFrame:
     """Pure projection of the staging view."""
     return stg_daily.select(*FACT_COLUMNS)
@@ -73,6 +79,36 @@ def mart_anomalies(fact: DataFrame) -> DataFrame:
                     zscore(F.col("temp_avg_c"), F.col("_mean"), F.col("_sd")).alias("z_score")))
 
 
+def location_moments(fact: DataFrame) -> DataFrame:
+    """Count, mean and sum of squared deviations of ``temp_avg_c`` by location and month.
+
+    They merge: a load changes its months' rows only, and :func:`merged_moments`
+    gives the whole series' statistics without reading it.
+    """
+    x = F.col("temp_avg_c").cast("double")
+    return (fact.groupBy("location_id", F.trunc("date", "month").alias("month"))
+            .agg(F.count(x).alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("m2")))
+
+
+def merged_moments(moments: DataFrame) -> DataFrame:
+    """Mean and sample deviation by location: squared deviations within the months and between them."""
+    some = moments.where("n > 0")
+    whole = some.groupBy("location_id").agg(F.sum("n").alias("_n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_mean"))
+    whole = whole.withColumnRenamed("location_id", "_loc")
+    parts = some.join(whole, some["location_id"].eqNullSafe(whole["_loc"]))
+    spread = F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("_mean")) * (F.col("mean") - F.col("_mean")))
+    return (parts.groupBy("_loc", "_n", "_mean").agg(spread.alias("_m2"))
+            .select("_loc", "_mean", F.when(F.col("_n") > 1, F.sqrt(F.col("_m2") / (F.col("_n") - 1))).alias("_sd")))
+
+
+def mart_anomalies_from(fact: DataFrame, moments: DataFrame) -> DataFrame:
+    """:func:`mart_anomalies` from stored moments: the fact is read once and not aggregated."""
+    f = fact.select("location_id", "date", "temp_avg_c")
+    stats = merged_moments(moments)
+    return (f.join(stats, f["location_id"].eqNullSafe(stats["_loc"]), "left")
+            .select("location_id", "date", "temp_avg_c", zscore(F.col("temp_avg_c").cast("double"), F.col("_mean"), F.col("_sd")).alias("z_score")))
+
+
 def weather_daily_bi(fact: DataFrame, dim_dt: DataFrame, dim_loc: DataFrame) -> DataFrame:
     f = fact.select("location_id", "date", "temp_avg_c", "temp_min_c", "temp_max_c", "precip_mm")
     d = dim_dt.select("date", "year", "month")

@@ -93,28 +93,51 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def folder_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in ``path`` (one listing; none if the path is not there)."""
+def folder_names(spark: SparkSession, path: str, files: bool = False, older_than_ms: float | None = None) -> list[str]:
+    """Names of the folders (or files) in ``path``: one listing, none if the path is not there."""
     fs, p = _path(spark, path)
     if not fs.exists(p):
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() != files
+                  and (older_than_ms is None or s.getModificationTime() < older_than_ms))
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> bool:
+    """Rename a file to a name that must not exist yet; False if another one has it."""
+    jvm = spark._jvm
+    fs, source = _path(spark, old)
+    target = jvm.org.apache.hadoop.fs.Path(new)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(fs.makeQualified(source), fs.makeQualified(target), none)
+    except Exception as e:
+        if "FileAlreadyExists" in str(e):
+            return False
+        raise
+    return True
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small driver-side file (a commit record); fails if it is there."""
+    fs, p = _path(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _path(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+    finally:
+        source.close()
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of the library (scratch output, an emptied partition)."""
     fs, p = _path(spark, path)
     fs.delete(p, True)
-
-
-def swap_path(spark: SparkSession, new: str, root: str) -> None:
-    """Put the finished folder ``new`` in the place of ``root`` by renames."""
-    fs, target = _path(spark, root)
-    old = spark._jvm.org.apache.hadoop.fs.Path(f"{root}.old-{uuid.uuid4().hex[:8]}")
-    fresh = spark._jvm.org.apache.hadoop.fs.Path(new)
-    fs.mkdirs(target.getParent())
-    if fs.exists(target) and not fs.rename(target, old):
-        raise OSError(f"cannot move {root} away")
-    if not fs.rename(fresh, target):
-        raise OSError(f"cannot move {new} to {root}")
-    fs.delete(old, True)

@@ -8,8 +8,9 @@ days (``dt``) it touched; those days are rebuilt from *all* their bronze files
 through the regular day-grouped pipeline (silver, gate, staging), so a day
 whose files arrive over several invocations ends up exactly as a single run
 over the complete day would leave it; days between them that the batch did not
-touch stay as they are. A batch that fails is recorded in the run log, day by
-day, and does not hold up later ones.
+touch stay as they are. Days with malformed files or that fail the gate are
+recorded in the run log and hold nothing up; a fault of the cluster fails the
+batch, which comes again.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dailylake.operators.quality import QualityConfig
+from dailylake.operators.load import LoadError
+from dailylake.operators.quality import QualityConfig, QualityGateError
 from dailylake.plans import pipeline as PL
 from dailylake.schemas import BRONZE
 from dailylake.session import checkpoint_root, scratch_path
@@ -31,8 +33,7 @@ STREAM_SCHEMA = T.StructType(BRONZE.fields + [T.StructField("dt", T.StringType()
 
 def bronze_stream(spark: SparkSession, root: str, landed: bool = True,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    r = (spark.readStream.schema(STREAM_SCHEMA).option("mode", "FAILFAST")
-         .option("multiLine", landed))
+    r = spark.readStream.schema(STREAM_SCHEMA).option("multiLine", landed)
     if landed:
         r = r.option("pathGlobFilter", "*raw.json")
     if max_files_per_trigger:
@@ -59,7 +60,9 @@ def process_new_files(spark: SparkSession, paths: PL.LakePaths, landed: bool = T
             PL.run(spark, paths, lo, hi, cfg=cfg, landed=landed, locations_mode=locations_mode,
                    registry=registry, with_gold=False, strict=False, days=days)
             done.append((lo, hi))
-        except Exception as e:  # logged by the run; the days can be run again by hand
+        except (QualityGateError, LoadError) as e:
+            # the data's fault, logged by the run: the days can be run again by hand. Any other
+            # error fails the batch, which the next call replays.
             logging.getLogger(__name__).warning("pickup of %s..%s failed: %s", lo, hi, e)
 
     ckpt = os.path.join(checkpoint_root(spark), "streams", name)

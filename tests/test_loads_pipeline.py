@@ -8,6 +8,7 @@ import pytest
 from conftest import envelope, land
 from dailylake.operators import load as LD
 from dailylake.operators.quality import QualityGateError
+from dailylake.operators.snapshots import Snapshots
 from dailylake.plans import pipeline as PL
 
 D = dt.date
@@ -27,7 +28,7 @@ def test_staging_rows_types_nan_and_missing_columns(spark):
     r = rows.first()
     assert r["precip_mm"] is None  # K9: NaN -> NULL
     assert str(r["temp_avg_c"]) == "1.250000" and r["loaded_at"] is not None
-    with pytest.raises(LD.LoadError, match="Missing columns"):
+    with pytest.raises(LD.LoadError, match="are not there"):
         LD.staging_daily_rows(silver_rows(spark, [(D(2024, 1, 1), "a", D(2024, 1, 1), 1.0)]).drop("wind_max_kph"))
 
 
@@ -48,10 +49,10 @@ def test_replace_dt_is_idempotent_and_keeps_other_days(spark, tmp_root):
     LD.load_daily_replace_dt(spark, day1, root)
     LD.load_daily_replace_dt(spark, day2, root)
     LD.load_daily_replace_dt(spark, day2, root)
-    assert spark.read.parquet(root).count() == 2
+    assert LD.read_table(spark, root).count() == 2
     fix = LD.staging_daily_rows(silver_rows(spark, [(D(2024, 1, 1), "b", D(2024, 1, 1), 9.0)]))
     LD.load_daily_replace_dt(spark, fix, root)
-    got = {(r["location_id"], str(r["date"])) for r in spark.read.parquet(root).collect()}
+    got = {(r["location_id"], str(r["date"])) for r in LD.read_table(spark, root).collect()}
     assert got == {("b", "2024-01-01"), ("a", "2024-01-02")}
 
 
@@ -70,27 +71,26 @@ def test_upsert_by_key(spark, tmp_root):
     mk = lambda rows: spark.createDataFrame(rows, "k string, v int")
     LD.upsert_into(spark, mk([("a", 1), ("b", 1)]), root, ["k"])
     LD.upsert_into(spark, mk([("b", 2), ("c", 2)]), root, ["k"])
-    assert sorted(tuple(r) for r in spark.read.parquet(root).collect()) == [("a", 1), ("b", 2), ("c", 2)]
+    assert sorted(tuple(r) for r in LD.read_table(spark, root).collect()) == [("a", 1), ("b", 2), ("c", 2)]
 
 
 def test_partitioned_upsert_rewrites_only_affected_days(spark, tmp_root):
     root = os.path.join(tmp_root, "upd")
     mk = lambda rows: spark.createDataFrame(rows, "dt date, k string, v int")
+    rows = lambda: sorted(tuple(str(x) for x in (r["dt"], r["k"], r["v"])) for r in LD.read_table(spark, root).collect())
+    folders = lambda: Snapshots(spark, root).record()["tables"][LD.TABLE]["folders"]
     d1, d2, d3 = D(2024, 1, 1), D(2024, 1, 2), D(2024, 1, 3)
     LD.upsert_into(spark, mk([(d1, "a", 1), (d2, "b", 1), (d2, "c", 1)]), root, ["k"], "dt")
-    before = {f for f in os.listdir(root) if f.startswith("dt=")}
-    untouched = sorted(os.listdir(os.path.join(root, "dt=2024-01-01")))
+    before = folders()
     LD.upsert_into(spark, mk([(d2, "b", 2), (d3, "d", 2)]), root, ["k"], "dt")
-    assert sorted(os.listdir(os.path.join(root, "dt=2024-01-01"))) == untouched  # not rewritten
-    got = sorted((str(r["dt"]), r["k"], r["v"]) for r in spark.read.parquet(root).collect())
-    assert got == [("2024-01-01", "a", 1), ("2024-01-02", "b", 2), ("2024-01-02", "c", 1),
-                   ("2024-01-03", "d", 2)]
-    assert before <= {f for f in os.listdir(root) if f.startswith("dt=")}
-    # key 'a' moves to another day and its old day becomes empty: full rewrite drops it
-    LD.upsert_into(spark, mk([(d3, "a", 3)]), root, ["k"], "dt")
-    got = sorted((str(r["dt"]), r["k"], r["v"]) for r in spark.read.parquet(root).collect())
-    assert got == [("2024-01-02", "b", 2), ("2024-01-02", "c", 1), ("2024-01-03", "a", 3),
-                   ("2024-01-03", "d", 2)]
+    assert folders()["dt=2024-01-01"] == before["dt=2024-01-01"]  # not rewritten
+    assert folders()["dt=2024-01-02"] != before["dt=2024-01-02"]
+    assert rows() == [("2024-01-01", "a", "1"), ("2024-01-02", "b", "2"), ("2024-01-02", "c", "1"), ("2024-01-03", "d", "2")]
+    # key 'a' moves to another day and its old day becomes empty; a null day is a partition too
+    LD.upsert_into(spark, mk([(d3, "a", 3), (None, "n", 3)]), root, ["k"], "dt")
+    assert "dt=2024-01-01" not in folders()
+    LD.upsert_into(spark, mk([(None, "m", 4)]), root, ["k"], "dt")
+    assert rows() == [("2024-01-02", "b", "2"), ("2024-01-02", "c", "1"), ("2024-01-03", "a", "3"), ("2024-01-03", "d", "2"), ("None", "m", "4"), ("None", "n", "3")]
 
 
 def _land_days(root, days, locations, temp=lambda d, l: "10"):
@@ -101,12 +101,12 @@ def _land_days(root, days, locations, temp=lambda d, l: "10"):
 
 
 def _snapshot(spark, paths):
-    rows = spark.read.parquet(paths.stg_daily).drop("loaded_at").collect()
+    rows = PL.table(spark, paths, PL.STG_DAILY).drop("loaded_at").collect()
     return sorted((str(r["dt"]), r["location_id"], str(r["date"]), str(r["temp_avg_c"])) for r in rows)
 
 
 def _locations(spark, paths):
-    return sorted((r["location_id"], str(r["dt"])) for r in spark.read.parquet(paths.stg_locations).collect())
+    return sorted((r["location_id"], str(r["dt"])) for r in PL.table(spark, paths, PL.STG_LOCATIONS).collect())
 
 
 def test_backfill_leaves_the_last_days_locations(spark, tmp_root):
@@ -121,7 +121,7 @@ def test_backfill_leaves_the_last_days_locations(spark, tmp_root):
         else:
             for d in ("2024-03-01", "2024-03-02"):
                 PL.run(spark, paths, d, landed=True)
-        marts = spark.read.parquet(paths.gold("mart_weather_rolling")).collect()
+        marts = PL.table(spark, paths, "mart_weather_rolling").collect()
         logged = sorted((str(r["dt"]), r["status"], r["records_loaded"]) for r in spark.read.parquet(paths.runs).collect())
         got.append((_snapshot(spark, paths), _locations(spark, paths), sorted(map(str, marts)), logged))
     assert got[0] == got[1] and [loc for loc, _ in got[0][1]] == ["a"]
@@ -132,7 +132,7 @@ def test_strict_range_stops_at_a_failing_day(spark, tmp_root):
     _land_days(paths.bronze, ["2024-03-01", "2024-03-02"], ["a", "b"], temp=lambda d, l: "75" if d[-1] == "2" else "10")
     with pytest.raises(QualityGateError, match="range:temp_avg_c a/2024-03-02"):
         PL.run(spark, paths, "2024-03-01", "2024-03-02", landed=True)
-    assert not os.path.exists(paths.stg_daily)
+    assert PL.table(spark, paths, PL.STG_DAILY) is None
 
 
 def test_load_is_checked_before_the_first_write(spark, tmp_root):
@@ -177,7 +177,7 @@ def test_model_test_failures_are_reported(spark, tmp_root):
     paths = PL.LakePaths(os.path.join(tmp_root, "lake"))
     _land_days(paths.bronze, ["2024-03-01"], ["a", "b"])
     out = PL.run(spark, paths, "2024-03-01", landed=True)
-    stg = spark.read.parquet(paths.stg_daily)
+    stg = PL.table(spark, paths, PL.STG_DAILY)
     assert PL.model_tests(out, stg).count() == 0
     bad = {**out, "dim_location": out["dim_location"].unionByName(out["dim_location"].limit(1))}
     nulls = stg.withColumn("location_id", PL.F.when(PL.F.col("location_id") == "a", None).otherwise("b"))
@@ -203,7 +203,7 @@ def test_gate_failure_blocks_staging(spark, tmp_root):
     _land_days(paths.bronze, ["2024-03-01"], ["a"], temp=lambda d, l: "75")
     with pytest.raises(QualityGateError, match="range:temp_avg_c"):
         PL.run(spark, paths, "2024-03-01", landed=True)
-    assert not os.path.exists(paths.stg_daily)
+    assert PL.table(spark, paths, PL.STG_DAILY) is None
     runs = spark.read.parquet(paths.runs).collect()
     assert runs[0]["status"] == "failed" and "range:temp_avg_c" in runs[0]["error_summary"]
 
@@ -235,5 +235,5 @@ def test_locations_replace_vs_upsert_on_backfill(spark, tmp_root):
         _land_days(paths.bronze, ["2024-03-01"], ["a"])
         PL.run(spark, paths, "2024-03-02", landed=True, with_gold=False, locations_mode=mode)
         PL.run(spark, paths, "2024-03-01", landed=True, with_gold=False, locations_mode=mode)
-        got = {r["location_id"] for r in spark.read.parquet(paths.stg_locations).collect()}
+        got = {r["location_id"] for r in PL.table(spark, paths, PL.STG_LOCATIONS).collect()}
         assert got == expect

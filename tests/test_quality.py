@@ -97,7 +97,7 @@ def test_completeness_against_registry(spark):
 
 
 def test_required_columns_and_raise(spark):
-    with pytest.raises(Q.QualityGateError, match="missing required columns"):
+    with pytest.raises(Q.QualityGateError, match="without the required columns"):
         Q.gate_report(daily(spark).drop("ingested_at"), locs(spark))
     d = daily(spark, row0_temp_min_c=-99.0)
     rep = Q.gate_report(d, locs(spark))
