@@ -1,9 +1,9 @@
 """Quality gate (C1-C9) and model tests (C11-C14), reported as DataFrames.
 
 Every check is grouped by ``dt``, so a single-day run and a multi-year
-backfill use the same code: one aggregate pass over the daily rows, one over
-the location rows, one duplicate ``groupBy`` and one completeness
-aggregation, joined on ``dt`` (one row per day). ``raise_on_failure`` turns
+backfill use the same code: the daily rows are scanned and shuffled once, by
+their key, and all rules of a day follow from those counters and the day's
+location rows (one row per day). ``raise_on_failure`` turns
 the first failing rule of each day, in the reference's order, into a
 ``QualityGateError``; nothing is written before it passes.
 """
@@ -131,25 +131,29 @@ def missing_locations(daily: DataFrame, expected: DataFrame, n: int = 10,
     """Per dt: the first ``n`` expected locations (sorted) without a daily row.
 
     ``expected`` is per-dt (has a ``dt`` column) or a registry without ``dt``. The
-    registry is expanded only for days that don't have all of it, dealt by a hash
-    of the location so that no task needs it whole; the rest is an anti join.
+    registry isn't expanded by day: its ids are numbered in order (by one task, which
+    sorts one id a location), and the gaps between the numbers that a day has are its
+    missing ones, of which the first ``n`` are unrolled. The rest is an anti join.
     """
     present = daily.select(by, F.col("location_id").cast("string").alias("location_id")).distinct()
-    ids = F.col("location_id").cast("string").alias("location_id")
-    if by in expected.columns:
-        wanted = expected.select(by, ids).distinct()
-    else:
-        parts = 32
-        ids = expected.select(ids).distinct()
-        have = present.join(ids, "location_id", "left_semi").groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-        short = (daily.select(by).distinct().join(have, by, "left")
-                 .where(F.coalesce(F.col("_n"), F.lit(0)) < ids.agg(F.count(F.lit(1))).scalar()))
-        dealt = short.select(by, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
-        wanted = dealt.join(ids.withColumn("_part", F.pmod(F.hash("location_id"), F.lit(parts))), "_part").drop("_part")
+    ids = expected.select(*([by] if by in expected.columns else []), F.col("location_id").cast("string").alias("location_id")).distinct()
     w = Window.partitionBy(by).orderBy("location_id")
-    return (wanted.join(present, [by, "location_id"], "left_anti")
-            .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-            .select(by, "rank", "location_id"))
+    if by in expected.columns:
+        return (ids.join(present, [by, "location_id"], "left_anti")
+                .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+                .select(by, "rank", "location_id"))
+    ranked = ids.withColumn("_r", F.row_number().over(Window.orderBy("location_id")).cast("long"))
+    have = present.join(ranked, "location_id").select(by, "_r")
+    ends = daily.select(by).distinct().withColumn("_r", ids.agg(F.count(F.lit(1))).scalar() + 1)
+    at = Window.partitionBy(by).orderBy("_r")
+    before = F.coalesce(F.lag("_r").over(at), F.lit(0))
+    gaps = have.unionByName(ends).select(by, "_r", before.alias("_p"), (before - F.row_number().over(at) + 1).alias("_m"))
+    # _m numbers are missing before this gap
+    gaps = gaps.where((F.col("_r") - F.col("_p") > 1) & (F.col("_m") < n))
+    last = F.least(F.col("_r") - 1, F.col("_p") + n - F.col("_m"))
+    lost = gaps.select(by, "_m", "_p", F.explode(F.sequence(F.col("_p") + 1, last)).alias("_r"))
+    lost = lost.select(by, (F.col("_m") + F.col("_r") - F.col("_p")).cast("int").alias("rank"), "_r")
+    return lost.join(ranked, "_r").select(by, "rank", "location_id")
 
 
 # ---- gate report ---------------------------------------------------------------------
@@ -172,39 +176,46 @@ def gate_report(daily: DataFrame, locations: DataFrame, cfg: QualityConfig = Qua
     require_columns(locations, LOCATIONS_REQUIRED, "Locations")
     ranges = cfg.ranges(daily.columns)
 
-    d_aggs = [F.count(F.lit(1)).alias("daily_rows")]
-    d_aggs += [F.count_if(F.col(c).isNull()).alias(f"daily_null_{c}") for c in DAILY_REQUIRED]
-    dd = F.col("date").try_cast("date")
-    d_aggs += [F.count_if(dd.isNull()).alias("bad_date"),
-               F.count_if(dd.isNull() | (dd != F.col("dt").cast("date"))).alias("date_ne_dt")]
+    # one pass over the daily rows: their counters by key, which also shows duplicates
+    counts = [F.count_if(F.col("ingested_at").isNull()).alias("daily_null_ingested_at")]
     for c, lo, hi in ranges:
         v = to_double(c)
-        d_aggs += [F.count(v).alias(f"valid_{c}"),
-                   F.count_if((v < F.lit(lo)) | (v > F.lit(hi))).alias(f"out_{c}")]
-    dstats = daily.groupBy("dt").agg(*d_aggs)
-
-    l_aggs = [F.count(F.lit(1)).alias("location_rows")]
-    l_aggs += [F.count_if(F.col(c).isNull()).alias(f"loc_null_{c}") for c in LOCATIONS_REQUIRED]
-    lstats = locations.groupBy("dt").agg(*l_aggs)
-
-    dup = (daily.groupBy("dt", "location_id", "date").agg(F.count(F.lit(1)).alias("_n"))
-           .where("_n > 1").groupBy("dt").agg(F.count(F.lit(1)).alias("dup_groups"),
-                                              F.sum("_n").alias("dup_rows")))
-    comp = completeness(daily, expected_locations if expected_locations is not None else locations)
-
-    # one row per dt: the per-day parts are stacked and folded by one groupBy
-    # (each column is non-NULL in exactly one part) instead of outer joins
-    parts = [dstats, lstats, dup, comp.select("dt", "present", "expected", "ratio")]
+        counts += [F.count(v).alias(f"valid_{c}"), F.count_if((v < F.lit(lo)) | (v > F.lit(hi))).alias(f"out_{c}")]
+    summed = [f"{w}_{c}" for c, _, _ in ranges for w in ("valid", "out")]
+    keyed = daily.groupBy(F.col("dt").cast("date").alias("dt"), F.col("location_id").cast("string").alias("location_id"), "date")
+    day = F.col("date").try_cast("date")
+    rows_if = lambda cond: F.when(cond, F.col("daily_rows")).otherwise(0)
+    own = keyed.agg(F.count(F.lit(1)).alias("daily_rows"), *counts).select(
+        "dt", "location_id", "daily_rows", "daily_null_ingested_at", *summed,
+        rows_if(F.col("location_id").isNull()).alias("daily_null_location_id"), rows_if(F.col("date").isNull()).alias("daily_null_date"),
+        rows_if(day.isNull()).alias("bad_date"), rows_if(day.isNull() | (day != F.col("dt"))).alias("date_ne_dt"),
+        (F.col("daily_rows") > 1).cast("long").alias("dup_groups"), rows_if(F.col("daily_rows") > 1).alias("dup_rows"))
+    # location rows join the stack, so one aggregate by location holds both sides
+    there = locations.select(
+        F.col("dt").cast("date").alias("dt"), F.col("location_id").cast("string").alias("location_id"), F.lit(1).cast("long").alias("location_rows"),
+        *[F.col(c).isNull().cast("long").alias(f"loc_null_{c}") for c in LOCATIONS_REQUIRED])
+    stacked = own.unionByName(there, allowMissingColumns=True)
+    value_cols = [c for c in stacked.columns if c not in ("dt", "location_id")]
+    by_location = stacked.groupBy("dt", "location_id").agg(*[F.sum(c).alias(c) for c in value_cols])
+    seen = F.col("daily_rows").isNotNull()
+    if expected_locations is None or "dt" in expected_locations.columns:
+        if expected_locations is None:
+            wanted = F.col("location_rows").isNotNull()
+        else:
+            days = expected_locations.select(F.col("dt").cast("date").alias("dt"), F.col("location_id").cast("string").alias("location_id")).distinct()
+            by_location = by_location.join(days.withColumn("_wanted", F.lit(True)), ["dt", "location_id"], "full")
+            wanted = F.col("_wanted").isNotNull()
+        folded = [F.count_if(seen & wanted & F.col("location_id").isNotNull()).alias("present"), F.count_if(wanted).alias("expected")]
+    else:
+        ids = expected_locations.select(F.col("location_id").cast("string").alias("location_id")).distinct()
+        by_location = by_location.join(ids.withColumn("_wanted", F.lit(True)), "location_id", "left")
+        folded = [F.count_if(seen & F.col("_wanted")).alias("present"),
+                  F.when(F.sum("daily_rows") > 0, ids.agg(F.count(F.lit(1))).scalar()).otherwise(0).alias("expected")]
+    rep = by_location.groupBy("dt").agg(*[F.sum(c).alias(c) for c in value_cols], *folded)
     if expected_dts is not None:
-        parts.append(expected_dts.select(F.col("dt").cast("date").alias("dt")))
-    stacked = parts[0].withColumn("dt", F.col("dt").cast("date"))
-    for p in parts[1:]:
-        stacked = stacked.unionByName(p.withColumn("dt", F.col("dt").cast("date")),
-                                      allowMissingColumns=True)
-    value_cols = [c for c in stacked.columns if c != "dt"]
-    rep = stacked.groupBy("dt").agg(*[F.max(c).alias(c) for c in value_cols])
-    zero = ["daily_rows", "location_rows", "dup_groups", "dup_rows", "present", "expected"]
-    rep = rep.fillna(0, zero)
+        rep = rep.join(expected_dts.select(F.col("dt").cast("date").alias("dt")).distinct(), "dt", "full")
+    rep = rep.withColumn("ratio", F.when(F.col("expected") > 0, F.col("present") / F.col("expected")))
+    rep = rep.fillna(0, ["daily_rows", "location_rows", "dup_groups", "dup_rows", "present", "expected"])
 
     rules: list[tuple[Column, str | Column]] = [
         (F.col("daily_rows") == 0, "missing_daily_partition"),

@@ -133,3 +133,39 @@ def test_model_tests_and_freshness(spark):
     assert st["s"] == "error"
     st = {r["source"]: r["status"] for r in Q.source_freshness(src, "2024-03-02 05:00:00").collect()}
     assert st["s"] == "pass"
+
+
+@pytest.mark.parametrize("n", [1, 3, 100])
+def test_missing_locations_equal_the_product(spark, n):
+    """Gaps between registry numbers against days x registry, without that product in the plan."""
+    import random
+    rng = random.Random(n)
+    registry = [f"l{i:03d}" for i in range(40)]
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(12)]
+    rows = [(d, loc) for i, d in enumerate(days) for loc in rng.sample(registry, [0, 1, 5, 20, 39, 40][i % 6])] + [(d, "stranger") for d in days]
+    daily = spark.createDataFrame(rows * 2, "dt date, location_id string")
+    got = Q.missing_locations(daily, spark.createDataFrame([(loc,) for loc in registry * 2], "location_id string"), n)
+    want = []
+    for d in days:
+        lost = [loc for loc in registry if (d, loc) not in rows]
+        want += [(d, k + 1, loc) for k, loc in enumerate(lost[:n])]
+    assert sorted(tuple(r) for r in got.collect()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_report_scans_and_shuffles_the_daily_rows_once(spark, tmp_root):
+    import os
+    daily = spark.createDataFrame([(dt.date(2024, 1, 1), f"l{i}", dt.date(2024, 1, 1), dt.datetime(2024, 1, 2), 1.0, 1.0, 1.0, 50.0) for i in range(20)],
+                                  "dt date, location_id string, date date, ingested_at timestamp, temp_min_c double, temp_max_c double, temp_avg_c double, humidity_avg double")
+    locs = spark.createDataFrame([(dt.date(2024, 1, 1), f"l{i}", "n", "c", 1.0, 1.0, "UTC", dt.datetime(2024, 1, 2)) for i in range(20)],
+                                 "dt date, location_id string, name string, country string, lat double, lon double, tz_id string, ingested_at timestamp")
+    for name, df in (("daily", daily), ("locs", locs)):
+        df.write.parquet(os.path.join(tmp_root, name))
+    daily, locs = (spark.read.parquet(os.path.join(tmp_root, n)) for n in ("daily", "locs"))
+    rep = Q.gate_report(daily, locs)
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and plan.count("Exchange hashpartitioning") == 3  # by key, location and day
+    row = rep.first()
+    assert row["passed"] and (row["present"], row["expected"], row["daily_rows"], row["ratio"]) == (20, 20, 20, 1.0)
+
