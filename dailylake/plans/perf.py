@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dailylake.functions.numeric import avg_money
+from dailylake.operators.snapshots import Snapshots
 from dailylake.operators.windows import trailing_avg
 
 
@@ -24,44 +25,55 @@ def sanity(fact: DataFrame) -> DataFrame:
                     F.count(F.lit(1)).alias("rows_total"))
 
 
+def sanity_stored(gold: Snapshots) -> DataFrame:
+    """:func:`sanity` of the stored fact, from the footers of its files."""
+    found = gold.bounds("fact_weather_daily", "date")
+    return found.select(F.col("lo").alias("min_date"), F.col("hi").alias("max_date"), F.col("n").alias("rows_total"))
+
+
 def top_locations(dim_loc: DataFrame, k: int = 10) -> DataFrame:
     """First k locations by id (a top-k: TakeOrderedAndProject, no full sort)."""
     return dim_loc.select("location_id", "country", "region", "name").orderBy("location_id").limit(k)
 
 
-def params(fact: DataFrame, dim_loc: DataFrame, key: str, days: int):
+def params(fact: DataFrame, dim_loc: DataFrame, key: str, days: int, gold: Snapshots | None = None):
     """(first non-NULL ``key`` of the dimension, max(date) - days, max(date)).
 
+    With ``gold`` the last date comes from the stored fact's footers.
+
     Both values are scalar subqueries of one job; the single row is what a
     ``params`` CTE holds.
     """
     spark = fact.sparkSession
     first_key = dim_loc.where(F.col(key).isNotNull()).agg(F.min(key)).scalar()
+    if gold is not None:
+        hi = gold.bounds("fact_weather_daily", "date").first()["hi"]
+        return dim_loc.agg(F.min(key)).first()[0], hi - _dt.timedelta(days=days) if hi else None, hi
     last_day = fact.agg(F.max("date")).scalar()
     row = spark.range(1).select(first_key.alias("k"), last_day.alias("hi")).first()
     hi = row["hi"]
     return row["k"], (hi - _dt.timedelta(days=days) if hi else None), hi
 
 
-def location_range(fact: DataFrame, dim_loc: DataFrame, days: int = 30) -> DataFrame:
+def location_range(fact: DataFrame, dim_loc: DataFrame, days: int = 30, gold: Snapshots | None = None) -> DataFrame:
     """Daily metrics of the first location over the last ``days`` + 1 dates."""
-    loc, lo, hi = params(fact, dim_loc, "location_id", days)
+    loc, lo, hi = params(fact, dim_loc, "location_id", days, gold)
     return (fact.where((F.col("location_id") == F.lit(loc)) & F.col("date").between(lo, hi))
             .select("location_id", "date", "temp_avg_c", "precip_mm", "wind_max_kph")
             .orderBy("date"))
 
 
-def rolling_range(fact: DataFrame, dim_loc: DataFrame, days: int = 60) -> DataFrame:
+def rolling_range(fact: DataFrame, dim_loc: DataFrame, days: int = 60, gold: Snapshots | None = None) -> DataFrame:
     """7-row rolling average computed *after* the range filter (short first frames)."""
-    loc, lo, hi = params(fact, dim_loc, "location_id", days)
+    loc, lo, hi = params(fact, dim_loc, "location_id", days, gold)
     f = fact.where((F.col("location_id") == F.lit(loc)) & F.col("date").between(lo, hi))
     return f.select("location_id", "date", "temp_avg_c",
                     trailing_avg("temp_avg_c", 7).alias("temp_avg_7d")).orderBy("date")
 
 
-def country_daily(fact: DataFrame, dim_loc: DataFrame, days: int = 30) -> DataFrame:
+def country_daily(fact: DataFrame, dim_loc: DataFrame, days: int = 30, gold: Snapshots | None = None) -> DataFrame:
     """Average per day over the first country's locations, numeric(10,2)."""
-    country, lo, hi = params(fact, dim_loc, "country", days)
+    country, lo, hi = params(fact, dim_loc, "country", days, gold)
     locs = dim_loc.where(F.col("country") == F.lit(country)).select("location_id", "country")
     f = fact.where(F.col("date").between(lo, hi)).select("location_id", "date", "temp_avg_c")
     return (f.join(locs, "location_id")

@@ -12,6 +12,7 @@ from dailylake.operators.quality import QualityGateError
 from dailylake.operators.snapshots import CommitConflictError, Snapshots
 from dailylake.plans import gold as G
 from dailylake.plans import layers as LY
+from dailylake.plans import perf as P
 from dailylake.plans import pipeline as PL
 
 D = dt.date
@@ -223,3 +224,16 @@ def test_layers_last_beyond_the_session(spark, tmp_root):
         rows = lambda d: sorted(str(r) for r in d.collect())
         assert rows(got) == rows(df), name
     assert other.table(f"{LY.ANALYTICS}.fact_weather_daily").count() == 27
+
+
+def test_bounds_of_stored_tables_come_from_footers(spark, lake):
+    paths = lake("copy")
+    gold = Snapshots(spark, paths.gold)
+    fact, dim_l = PL.table(spark, paths, "fact_weather_daily"), PL.table(spark, paths, "dim_location")
+    found = P.sanity_stored(gold)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(date), MAX(date), COUNT(*)]" in plan
+    assert found.collect() == P.sanity(fact).collect()
+    for ask in (P.location_range, P.rolling_range, P.country_daily):
+        assert ask(fact, dim_l, gold=gold).collect() == ask(fact, dim_l).collect()
+    assert gold.bounds("nothing", "date") is None
