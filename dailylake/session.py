@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -78,6 +80,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once for a Spark application.
+
+    The modules go as one archive through the shared folder, so nothing need be
+    installed on the executors, and jobs can start from any folder.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_dailylake_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    path = f"{scratch_path(spark, 'package')}/dailylake.zip"
+    write_bytes(spark, path, held.getvalue())
+    sc.addPyFile(path)
+    sc._dailylake_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     return os.path.join(checkpoint_root(spark), "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
@@ -118,16 +143,20 @@ def rename_path(spark: SparkSession, old: str, new: str) -> bool:
     return True
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small driver-side file (a commit record); fails if it is there."""
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file of the driver; fails if it is there."""
     fs, p = _path(spark, path)
     out = fs.create(p, False)
     try:
-        out.write(bytearray(text.encode()))
+        out.write(bytearray(data))
     finally:
         out.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    write_bytes(spark, path, text.encode())
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _path(spark, path)
     source = fs.open(p)
