@@ -2,20 +2,15 @@
 
 A word's probability is the sum over all its segmentations into pieces of an existing
 vocabulary, by the forward recursion in log space. The vocabulary's scores (ranks) give the
-first weights of the pieces; expected counts over all distinct training words (forward and
-backward over the same lattice) then re-weight them. The pieces themselves stay as they are.
-Pieces that begin a word and pieces inside one are two distributions, and a word ends after
-each piece with a learned probability, so the probabilities of all words sum to at most one.
-
-A token's probability adds an arc over the whole word, as seen in training, to the lattice. A
-text is of one of some classes (the training rows' languages), each with its own word counts:
-``P_k(w) = max(c_k - D, 0) / N_k + D V_k / N_k * Q(w)`` with ``Q(w) = B c / N + (1 - B) lattice(w)``
-(absolute discounting; D from the counts of words seen once and twice in a class, B the share
-of a class's words that other classes have too). The document's probability is the sum over
-the classes, weighted by their training rows; the class of a scored row is never used. The end
-of a text is a token of its own without pieces.
-
-Words reach their counts without a row for each word of each document: a task turns some
+first weights of the pieces; their expected counts in the training words, each as often as it
+occurs (forward and backward over the same lattice), then re-weight them. The pieces
+themselves stay as they are. Pieces that begin a word and pieces inside one are two
+distributions, and a word ends after each piece with a learned probability, so the
+probabilities of all words sum to at most one. A text is its words, each after a decision to go
+on, and then its end: ``P = e * prod((1 - e) * lattice(w))`` with ``e = (texts + 1) / (tokens + 2)``
+of the training rows. Nothing but the lattice tells one word from another.
+
+Words reach their values without a row for each word of each document: a task turns some
 megabytes of text into a bundle (its distinct words, and the documents as numbers into
 them). Only the words of bundles are shuffled, to be counted and scored, and come back to
 their bundle, whose size bounds the group.
@@ -23,8 +18,8 @@ their bundle, whose size bounds the group.
 Edge cases: a null text counts as empty and has the end token only; a null id is not held
 out; repeated rows count and are answered as often as they occur; with no training rows N
 and V are 0, the base follows its formula and the score is the lattice's with the
-vocabulary's own weights; null classes, and those beyond the ``CLASSES`` most frequent, are
-one class; without a class column there is one class; other columns of the input are ignored.
+vocabulary's own weights; a very long text is one row of a bundle, held whole by a task; an
+empty table gives an empty result; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -46,8 +41,6 @@ from dailylake.llm.langid import held_out
 MOD, REST = 7, 2
 #: Passes over all distinct training words that re-weight the pieces.
 ROUNDS = 1
-#: Classes of texts that have word counts of their own, at most.
-CLASSES = 16
 #: Weight, in words, of the vocabulary's own scores beside the expected counts.
 PRIOR = 200.0
 #: Scores from here down mark pieces without a rank.
@@ -161,8 +154,10 @@ class Lattice:
                 get, extra = self.tables[1].get, log1p(-self.stop)
         return alpha[n] + math.log(self.stop)
 
-    def expect(self, word: bytes, into: dict[bytes, float]) -> None:
-        """Add the expected count of each piece in the word's segmentations."""
+    def expect(self, word: bytes, into: dict[bytes, float], times: float = 1.0) -> None:
+        """Add the expected count of each piece in the word's segmentations, for a word that occurs ``times``.
+
+        Shares below e^-30 of a word are left out: they can't change a sum of doubles."""
         text = START + word
         n = len(text)
         arcs = self.arcs(text)
@@ -172,8 +167,8 @@ class Lattice:
         whole = alpha[n]
         for i, j, piece, p in arcs:
             share = alpha[i] + p + beta[n - j] - whole
-            if share > -12:  # less than a hundred-thousandth of a count
-                into[piece] = into.get(piece, 0.0) + math.exp(share)
+            if share > -30:
+                into[piece] = into.get(piece, 0.0) + times * math.exp(share)
 
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -184,27 +179,15 @@ def unpack(data: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), np.int32)
 
 
-def class_names(docs: DataFrame, id_col: str, class_col: str | None) -> list[tuple[str | None, int]]:
-    """The most frequent classes of training rows with their row counts; None stands for all others."""
-    rows = docs.where(~held_out(id_col, MOD, REST))
-    if class_col is None or class_col not in docs.columns:
-        return [(None, rows.count())]
-    found = rows.groupBy(F.col(class_col).cast("string").alias("name")).count()
-    top = found.where("name is not null").orderBy(F.desc("count"), "name").limit(CLASSES - 1).collect()
-    rest = (found.agg(F.sum("count")).first()[0] or 0) - sum(r["count"] for r in top)
-    return [*((r["name"], r["count"]) for r in top), *([(None, rest)] if rest or not top else [])]
-
-
-def bundles(docs: DataFrame, classes: list[str | None], id_col: str = "doc_id", text_col: str = "text", class_col: str | None = None) -> DataFrame:
-    """Rows of ``bundle``, its distinct ``words``, their training counts by class, and its documents."""
-    learned = [f"l{k}" for k in range(len(classes))]
+def bundles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``bundle``, its distinct ``words``, their counts in training rows, and its documents."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         part = (context.partitionId() if context else 0) << 32
         for n, rows in enumerate(chunks(batches, limit=BUNDLE_BYTES)):
             numbers: dict[bytes, int] = {b"": 0}  # the end token; no word is empty
-            held, kind = rows.column(2).to_numpy(), rows.column(3).to_numpy()
+            held = rows.column(2).to_numpy()
             ids, counts, sizes = [], [], []
             for text in rows.column(1):
                 own: dict[bytes, int] = {}
@@ -217,23 +200,26 @@ def bundles(docs: DataFrame, classes: list[str | None], id_col: str = "doc_id",
                 counts.append(np.fromiter(own.values(), np.int32, len(own))[order])
                 sizes.append(len(own))
             at, tf = np.concatenate(ids), np.concatenate(counts)
-            of = np.repeat(np.where(held, -1, kind), sizes)
-            sums = [np.bincount(at[of == k], tf[of == k], len(numbers)).astype(np.int64) for k in range(len(classes))]
+            taught = ~np.repeat(held, sizes)
+            learned = np.bincount(at[taught], tf[taught], len(numbers)).astype(np.int64)
             words = pa.array(list(numbers), pa.binary()).cast(pa.string())
             one = lambda a, kind: pa.array([a], pa.list_(kind))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part + n]), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), *(one(x, pa.int64()) for x in sums), pa.array([rows.column(0).to_pylist()], pa.list_(pa.int64())), one(held, pa.bool_()), one(np.array(sizes, np.int32), pa.int32()), pa.array([pack(np.concatenate([np.diff(x, prepend=0) for x in ids]))], pa.binary()), pa.array([pack(tf)], pa.binary())],
-                ["bundle", "words", *learned, "doc_ids", "held", "sizes", "numbers", "counts"])
+                [pa.array([part + n]), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), one(learned, pa.int64()),
+                 pa.array([rows.column(0).to_pylist()], pa.list_(pa.int64())), one(held, pa.bool_()), one(np.array(sizes, np.int32), pa.int32()),
+                 pa.array([pack(np.concatenate([np.diff(x, prepend=0) for x in ids]))], pa.binary()), pa.array([pack(tf)], pa.binary())],
+                ["bundle", "words", "learned", "doc_ids", "held", "sizes", "numbers", "counts"])
 
-    kind = F.lit(len(classes) - 1)
-    if class_col is not None and class_col in docs.columns:
-        kind = F.coalesce(*[F.when(F.col(class_col).cast("string") == c, i) for i, c in enumerate(classes) if c is not None], kind)
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held_out(id_col, MOD, REST).alias("held"), kind.alias("kind"))
-    return own.mapInArrow(task, f"bundle long, words array<string>, {', '.join(f'{c} array<long>' for c in learned)}, doc_ids array<long>, held array<boolean>, sizes array<int>, numbers binary, counts binary")
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held_out(id_col, MOD, REST).alias("held"))
+    return own.mapInArrow(
+        task, "bundle long, words array<string>, learned array<long>, doc_ids array<long>, held array<boolean>, sizes array<int>, numbers binary, counts binary")
 
 
 def reweigh(words: DataFrame, weights: dict[bytes, float], stop: float, prior: dict[bytes, float]) -> tuple[dict[bytes, float], float]:
-    """Weights of the pieces and the stopping probability from one pass over all distinct training words."""
+    """Weights of the pieces and the stopping probability from one pass over the distinct training words.
+
+    ``words``: ``word`` and ``n``, how often it occurs.
+    """
     shared = words.sparkSession.sparkContext.broadcast((weights, stop))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,9 +227,9 @@ def reweigh(words: DataFrame, weights: dict[bytes, float], stop: float, prior: d
         found: dict[bytes, float] = {}
         n = 0
         for batch in batches:
-            for w in batch.column(0):
-                lattice.expect(w.as_py().encode(), found)
-            n += batch.num_rows
+            for w, times in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                lattice.expect(w.encode(), found, times)
+                n += times
         if n:
             found[b""] = n  # the number of words
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.float64())], ["piece", "n"])
@@ -257,25 +243,19 @@ def reweigh(words: DataFrame, weights: dict[bytes, float], stop: float, prior: d
     return {p: counts.get(p, 0.0) + PRIOR * w / total for p, w in prior.items()}, n / max(n + 1e-9, sum(counts.values()))
 
 
-def score(docs: DataFrame, pieces_path: str, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang") -> DataFrame:
-    """Token counts, base score and the model's log10 probability of every row."""
+def score(docs: DataFrame, pieces_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Token counts, base score and the lattice's log10 probability of every row."""
     spark = docs.sparkSession
-    classes = class_names(docs, id_col, class_col)
-    each = range(len(classes))
-    packed = materialize(bundles(docs, [c for c, _ in classes], id_col, text_col, class_col), "bundles")
-    learned = [f"l{k}" for k in each]
-    cells = packed.select("bundle", F.posexplode(F.arrays_zip("words", *learned))).select("bundle", F.col("pos").alias("number"), F.col("col.words").alias("word"), *[f"col.{c}" for c in learned])
-    counts = materialize(cells.groupBy("word").agg(*[F.sum(c).alias(c) for c in learned]), "counts")
-    total = sum((F.col(c) for c in learned), F.lit(0).cast("long"))
-    facts = counts.agg(F.sum(total), F.count_if(total > 0), *[x for c in learned for x in (F.sum(c), *[F.count_if(F.expr(f"{c} {test}")) for test in ("> 0", "= 1", "= 2")])]).first()
-    tokens, kinds, *own = (int(x or 0) for x in facts)
-    sizes, types, once, twice = (own[i::4] for i in range(4))
-    discount = min(0.95, max(0.05, sum(once) / (sum(once) + 2 * sum(twice)))) if sum(once) else 0.5
-    share = (sum(types) - kinds) / max(1, sum(types))
-    weight = [(n + 1) / (sum(n for _, n in classes) + len(classes)) for _, n in classes]
+    packed = materialize(bundles(docs, id_col, text_col), "bundles")
+    cells = packed.select("bundle", F.posexplode(F.arrays_zip("words", "learned"))).select(
+        "bundle", F.col("pos").alias("number"), F.col("col.words").alias("word"), F.col("col.learned").alias("n"))
+    counts = materialize(cells.groupBy("word").agg(F.sum("n").alias("n")), "counts")
+    facts = counts.agg(F.sum("n"), F.count_if(F.col("n") > 0), F.sum(F.when(F.col("word") == "", F.col("n")))).first()
+    tokens, kinds, texts = (int(x or 0) for x in facts)
+    end = (texts + 1) / (tokens + 2)
     prior = first_weights(read_pieces(pieces_path))
     weights, stop = prior, 0.3
-    taught = counts.where((total > 0) & (F.col("word") != "")).select("word")
+    taught = counts.where("n > 0 and word <> ''")
     for _ in range(ROUNDS):
         weights, stop = reweigh(taught, weights, stop, prior)
     shared = spark.sparkContext.broadcast((weights, stop))
@@ -283,39 +263,28 @@ def score(docs: DataFrame, pieces_path: str, id_col: str = "doc_id", text_col: s
     def value(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(*shared.value)
         for batch in batches:
-            p = [lattice.log_probability(w.encode()) if w else math.log(1e-9) for w in batch.column(0).to_pylist()]
+            p = [math.log1p(-end) + lattice.log_probability(w.encode()) if w else math.log(end) for w in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], [*batch.schema.names, "p"])
 
-    kept = "word string, " + ", ".join(f"{c} long" for c in learned)
-    valued = materialize(counts.mapInArrow(value, f"{kept}, p double"), "words")
-    back = cells.select("bundle", "number", "word").join(valued, "word").select(F.col("bundle").alias("of"), "number", *learned, "p")
+    valued = materialize(counts.mapInArrow(value, "word string, n long, p double"), "words")
+    back = cells.select("bundle", "number", "word").join(valued, "word").select(F.col("bundle").alias("of"), "number", "n", "p")
 
     def add_up(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
             return pd.DataFrame(columns=[x.split()[0] for x in SCORED.split(", ")])
         row = left.iloc[0]
         order = np.argsort(right["number"].to_numpy())
-        by = [right[c].to_numpy()[order].astype(float) for c in learned]
-        c = sum(by)
-        lattice = right["p"].to_numpy()[order]
+        n, p = right["n"].to_numpy()[order], right["p"].to_numpy()[order]
         steps, tf = unpack(row["numbers"]), unpack(row["counts"])
         length = np.asarray(row["sizes"], np.int64)
         starts = np.concatenate([[0], np.cumsum(length)[:-1]])
         at = np.cumsum(steps.astype(np.int64))
         at -= np.repeat(at[starts] - steps[starts], length)  # a document's steps start from 0
         add = lambda x: np.add.reduceat(x, starts)  # noqa: E731  every document has the end token
-        # natural logs: long words have probabilities below the smallest double
-        with np.errstate(divide="ignore"):
-            spread = np.logaddexp(np.log(share * c / max(1, tokens)), math.log(max(1e-9, 1 - share)) + lattice)
-            sums = []
-            for k in each:
-                if sizes[k]:
-                    seen = np.log(np.maximum(by[k] - discount, 0) / sizes[k])
-                    p = np.logaddexp(seen, math.log(discount * types[k] / sizes[k]) + spread)
-                    sums.append(math.log(weight[k]) + add(tf * p[at]))
-        whole = np.logaddexp.reduce(sums, axis=0) if sums else add(tf * lattice[at])
-        base = np.log10((c + 1.0) / (tokens + 1.0 * (kinds + 1)))
-        return pd.DataFrame({"doc_id": pd.array(row["doc_ids"], dtype="Int64"), "held_out": np.asarray(row["held"], bool), "n_tokens": add(tf.astype(np.int64)), "n_known": add(np.where(c[at] > 0, tf, 0).astype(np.int64)), "train_tokens": tokens, "base_score": add(tf * base[at]), "score": whole / LN10})
+        base = np.log10((n + 1.0) / (tokens + 1.0 * (kinds + 1)))
+        return pd.DataFrame({
+            "doc_id": pd.array(row["doc_ids"], dtype="Int64"), "held_out": np.asarray(row["held"], bool), "n_tokens": add(tf.astype(np.int64)),
+            "n_known": add(np.where(n[at] > 0, tf, 0).astype(np.int64)), "train_tokens": tokens, "base_score": add(tf * base[at]), "score": add(tf * p[at]) / LN10})
 
     packs = packed.select("bundle", "doc_ids", "held", "sizes", "numbers", "counts")
     return packs.groupBy("bundle").cogroup(back.groupBy("of")).applyInPandas(add_up, SCORED)

@@ -37,7 +37,7 @@ def test_lattice_sums_all_segmentations():
         assert lattice.log_probability(word) == pytest.approx(math.log(total))
         found = {}
         lattice.expect(word, found)
-        assert found == pytest.approx({p: n / total for p, n in expected.items()}, abs=1e-4)
+        assert found == pytest.approx({p: n / total for p, n in expected.items()}, abs=1e-9)
 
 
 def test_long_and_foreign_words():
@@ -82,43 +82,63 @@ def test_more_probable_in_its_own_corpus(spark):
     assert sum(r.known == r.most for r in got) / len(got) > 0.95
 
 
-def test_score_against_plain_mixture(spark, monkeypatch):
-    """Classes, discounting and the lattice in plain Python, with the vocabulary's own weights."""
+def _every_way(weights, text):
+    """Sum over all segmentations by plain recursion, for one word with its start mark."""
+    first = sum(w for p, w in weights.items() if p.startswith(lm.START))
+    inner = sum(weights.values()) - first
+    size = max(len(p) for p in weights)
+
+    def below(at):
+        if at == len(text):
+            return 0.3
+        total = 0.0
+        for k in range(1, min(size, len(text) - at) + 1):
+            w = weights.get(text[at:at + k], 0.0)
+            if at and w and not text[at:at + k].startswith(lm.START):
+                total += w / inner * 0.7 * below(at + k)
+            elif not at and w and text[:k].startswith(lm.START):
+                total += w / first * below(k)
+        return total
+
+    return below(0)
+
+
+def test_score_is_the_sum_over_all_segmentations(spark, monkeypatch):
+    """Whole documents, with the vocabulary's own weights: every segmentation, one by one."""
     monkeypatch.setattr(lm, "ROUNDS", 0)
-    monkeypatch.setattr(lm, "CLASSES", 3)
-    rows = [(i, f"The cat{i % 3} w{i % 11} " + ("le chat " if i % 2 else "new ") * (i % 4), ("en", "fr", "de", None, "it")[i % 5] if i % 7 else "en") for i in range(60)]
-    rows += [(101, None, "en"), (None, "the le", "fr")]
+    rows = [(i, f"The cat{i % 3} w{i % 11} " + "new " * (i % 4)) for i in range(60)] + [(101, None), (None, "the le")]
     held = lambda i: binascii.crc32(("" if i is None else str(i)).encode()) % 7 == 2
-    toks = [[*(t or "").encode().lower().split(), b""] for _, t, _ in rows]
-    n_by = Counter(la for i, _, la in rows if not held(i))
-    top = [la for la, _ in sorted(((la, n) for la, n in n_by.items() if la), key=lambda x: (-x[1], x[0]))[:2]]
-    kinds = [*top, None]
-    docs_of = {k: sum(n for la, n in n_by.items() if (la if la in top else None) == k) for k in kinds}
-    c = {k: Counter() for k in kinds}
-    for (i, _, la), ws in zip(rows, toks):
-        if not held(i):
-            c[la if la in top else None].update(ws)
-    whole = sum(c.values(), Counter())
-    cells = [n for k in kinds for n in c[k].values()]
-    once, twice = cells.count(1), cells.count(2)
-    discount = min(0.95, max(0.05, once / (once + 2 * twice)))
-    share = (len(cells) - len(whole)) / len(cells)
-    lattice = lm.Lattice(lm.first_weights(lm.read_pieces(PATH)), 0.3)
+    weights = lm.first_weights(lm.read_pieces(PATH))
+    taught = [(t or "").encode().lower().split() for i, t in rows if not held(i)]
+    end = (len(taught) + 1) / (sum(map(len, taught)) + len(taught) + 2)
+    known = {}
     want = []
-    for (i, _, _), ws in zip(rows, toks):
-        total = 0.0
-        for k in kinds:
-            p = (docs_of[k] + 1) / (sum(docs_of.values()) + len(kinds))
-            for w in ws:
-                q = share * whole[w] / whole.total() + (1 - share) * (math.exp(lattice.log_probability(w)) if w else 1e-9)
-                p *= max(c[k][w] - discount, 0) / c[k].total() + discount * len(c[k]) / c[k].total() * q
-            total += p
-        want.append((str(i), math.log10(total)))
-    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PATH).collect()
+    for i, t in rows:
+        p = math.log10(end)
+        for w in (t or "").encode().lower().split():
+            known[w] = known.get(w) or _every_way(weights, lm.START + w)
+            p += math.log10((1 - end) * known[w])
+        want.append((str(i), p))
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect()
     for (i, x), (j, y) in zip(sorted((str(r.doc_id), r.score) for r in got), sorted(want), strict=True):
         assert i == j and x == pytest.approx(y, rel=1e-9)
 
 
-def test_held_out_texts_beat_the_base(spark):
-    got = lm.lm_score(spark, "/root/testdata/sf0.1").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
-    assert got[0] > got[1]
+def test_reweighting_counts_words_as_often_as_they_occur(spark):
+    """One pass of expected counts raises the training words' probability, most that of frequent ones."""
+    words = spark.createDataFrame([("the", 500), ("thble", 20), ("qxz", 1)], "word string, n long")
+    prior = lm.first_weights(lm.read_pieces(PATH))
+    weights, stop = lm.reweigh(words, prior, 0.3, prior)
+    before, after = lm.Lattice(prior, 0.3), lm.Lattice(weights, stop)
+    total = lambda lat: sum(n * lat.log_probability(w) for w, n in ((b"the", 500), (b"thble", 20), (b"qxz", 1)))
+    assert total(after) > total(before) + 500 and 0 < stop <= 1
+    assert lm.reweigh(words.limit(0), prior, 0.3, prior) == (prior, 0.3)
+
+
+def test_held_out_texts_gain_from_the_corpus(spark, monkeypatch):
+    """Re-weighted pieces say more about unseen texts than the vocabulary's ranks alone."""
+    mean = lambda: spark_mean(lm.lm_score(spark, "/root/testdata/sf0.01"))
+    spark_mean = lambda df: df.where("held_out").agg(F.sum("score") / F.sum("n_tokens")).first()[0]
+    taught = mean()
+    monkeypatch.setattr(lm, "ROUNDS", 0)
+    assert taught > mean() + 1
