@@ -40,7 +40,7 @@ from dailylake.llm.langid import held_out
 
 MOD, REST = 7, 2
 #: Passes over all distinct training words that re-weight the pieces.
-ROUNDS = 1
+ROUNDS = 2
 #: Weight, in words, of the vocabulary's own scores beside the expected counts.
 PRIOR = 200.0
 #: Scores from here down mark pieces without a rank.
