@@ -219,13 +219,13 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that are good and not toxic, with their columns as they are."""
+    """The rows of ``docs`` that are good and not toxic, with their columns as they are.
+
+    The rows are written once with their odds, so a text meets the classifier once.
+    """
     known = fit(docs, labels, id_col=id_col, text_col=text_col)
-    scored = docs.withColumn("llm_odds", evidence(docs, known, text_col))
-    slim = materialize(scored.select(_text(host_col).alias("llm_host"), _text(path_col).alias("llm_path"), "llm_odds"), "odds")
-    host, path = (_text(c) if c else F.lit(None).cast("string") for c in (host_col, path_col))
-    sites = _judged(slim.withColumnsRenamed({"llm_host": host_col, "llm_path": path_col}), scored, host, path)
-    return sites.where("llm_keep").select(*docs.columns)
+    scored = materialize(docs.withColumn("llm_odds", evidence(docs, known, text_col)), "scored")
+    return _judged(scored, scored, _text(host_col), _text(path_col)).where("llm_keep").select(*docs.columns)
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
