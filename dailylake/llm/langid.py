@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dailylake.llm.common import chunks
+from dailylake.llm.common import chunks, materialize
 
 SLOTS = 1 << 21
 PROBES = 3
@@ -36,6 +36,8 @@ MIN_RATIO = 0.25
 UNKNOWN = "und"
 #: Languages in one word of a bitmask.
 WORD = 32
+#: Languages that are learned at most: the masks, on the driver and broadcast, take 8 MB for each 32.
+MOST = 512
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -117,14 +119,17 @@ def count_trigrams(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
 
 def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Filter:
     """Count, choose each language's trigrams, and gather the filter's slots."""
-    rows = docs.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).cast("string").alias("lang")).count().collect()
+    found = docs.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).cast("string").alias("lang")).count()
+    rows = found.limit(MOST + 1).collect()
+    if len(rows) > MOST:
+        raise ValueError(f"more than {MOST} values of {lang_col}: the filter's masks would outgrow the driver; map them to languages first")
     names = [r.lang for r in sorted(rows, key=lambda r: (-r["count"], r.lang))]
     masks = np.zeros((-(-len(names) // WORD), SLOTS), np.uint32)
     if not names:
         return Filter(names, masks)
     spark = docs.sparkSession
     number = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "lang string, i int")
-    counts = count_trigrams(docs, lang_col, text_col)
+    counts = materialize(count_trigrams(docs, lang_col, text_col), "trigrams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     shares = counts.join(totals, "lang").join(number, "lang").select("gram", "i", (F.col("n") / F.col("total")).alias("share"))
     top = shares.groupBy("gram").agg(F.max("share").alias("top"))

@@ -4,6 +4,7 @@ import binascii
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from dailylake.llm import langid
@@ -45,6 +46,19 @@ def test_more_languages_than_a_word(spark):
     assert [known.decide(t)[0] for _, t in rows] == [la for la, _ in rows]
 
 
+def test_too_many_languages_fail_clearly(spark):
+    df = spark.createDataFrame([(f"l{i:04}", "some words") for i in range(1000)], "lang string, text string")
+    with pytest.raises(ValueError, match="more than 512 values of lang"):
+        langid.learn(df)
+
+
+def test_very_long_text(spark):
+    known = langid.learn(spark.createDataFrame([("en", "the then there"), ("fr", "des les ces")], "lang string, text string"))
+    df = spark.createDataFrame([(1, "the then " * 400_000 + "des"), (2, "q" * 3_000_000)], "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.predict(df, known).collect()}
+    assert got[1].lang_pred == "en" and got[1].score > 0.99 and got[2].lang_pred in ("en", "fr")
+
+
 def test_edge_cases(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "12 +"), (4, "q"), (4, "q"), (None, "a b")], "doc_id long, text string").withColumn("lang_pred", F.lit(1))
     nothing = langid.learn(df.select("doc_id", "text", F.lit(None).cast("string").alias("lang")))
