@@ -45,7 +45,7 @@ def _prefix(h: Column, depth: int) -> Column:
 
 
 def directory(rows: DataFrame, base: int, depth: int, limit: int) -> DataFrame:
-    """``entry`` (the first ``depth`` bits) of every bucket that fits below ``base``, and its shard.
+    """``llm_entry`` (the first ``depth`` bits) of every bucket that fits below ``base``, and its shard.
 
     ``rows``: ``llm_hash`` and ``llm_bytes`` of rows whose buckets at ``base`` don't fit.
     """
@@ -61,7 +61,7 @@ def directory(rows: DataFrame, base: int, depth: int, limit: int) -> DataFrame:
         shards = shards.unionByName(below.where("depth = 0"))
     # all entries that share the shard's bits
     width = F.expr(f"shiftleft(1L, {depth} - depth)")
-    entries = F.explode(F.sequence(F.col("prefix") * width, (F.col("prefix") + 1) * width - 1)).alias("entry")
+    entries = F.explode(F.sequence(F.col("prefix") * width, (F.col("prefix") + 1) * width - 1)).alias("llm_entry")
     named = shards.withColumn("bits", F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2), BITS, "0")).withColumn("shard", F.expr(f"substring(bits, {BITS + 1} - depth, depth)"))
     return named.select(entries, F.col("shard").alias("llm_shard"), F.col("depth").alias("llm_depth"), F.col("bytes").alias("llm_shard_bytes"), F.col("docs").alias("llm_shard_docs"))
 
@@ -95,7 +95,7 @@ def assign(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col
     placed = []
     while True:
         entries = directory(rows, base, depth, limit)
-        found = materialize(rows.withColumn("entry", _prefix(F.col("llm_hash"), depth)).join(entries, "entry", "left").drop("entry"), "placed")
+        found = materialize(rows.withColumn("llm_entry", _prefix(F.col("llm_hash"), depth)).join(entries, "llm_entry", "left").drop("llm_entry"), "placed")
         placed.append(found.where("llm_shard is not null"))
         rows = found.where("llm_shard is null").select(*columns, "llm_hash", "llm_bytes")
         if not rows.limit(1).count():
@@ -110,10 +110,14 @@ def assign(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col
 
 
 def write(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the rows as Parquet, one folder for each shard and page; a shard's rows meet in one task."""
+    """Write the rows as Parquet, one folder for each shard and page; a shard's rows meet in one task.
+
+    The folders' column is ``shard``, or ``llm_shard`` where the rows have a column of that name.
+    """
     out = assign(docs, limit, id_col, text_col)
-    name = F.concat(F.lit("b"), F.col("llm_shard"), F.when(F.col("llm_page") > 0, F.concat(F.lit("-"), F.col("llm_page"))).otherwise("")).alias("shard")
-    out.select(*docs.columns, name).repartition("shard").write.partitionBy("shard").parquet(path)
+    folder = "llm_shard" if "shard" in docs.columns else "shard"
+    name = F.concat(F.lit("b"), F.col("llm_shard"), F.when(F.col("llm_page") > 0, F.concat(F.lit("-"), F.col("llm_page"))).otherwise("")).alias(folder)
+    out.select(*docs.columns, name).repartition(folder).write.partitionBy(folder).parquet(path)
 
 
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:

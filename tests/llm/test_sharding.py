@@ -1,6 +1,7 @@
 """Extendible hashing against one-split-at-a-time; pages; files."""
 
 import hashlib
+import os
 import random
 from collections import defaultdict
 
@@ -68,6 +69,23 @@ def test_files(spark):
     assert sharding.assign(df.limit(0), columns=["doc_id"]).count() == 0
 
 
+def test_clashing_columns(spark):
+    """Columns named as the operator's own words stay as they are, in rows and files."""
+    own = ["entry", "shard", "prefix", "bytes", "docs", "at", "low", "high", "fits", "parent", "bits"]
+    df = frame(spark, [(i, "z" * 40) for i in range(60)])
+    for i, c in enumerate(own):
+        df = df.withColumn(c, F.lit(i))
+    got = sharding.assign(df, 500)
+    assert got.columns == [*df.columns, "llm_shard", "llm_depth", "llm_page", "llm_bytes", "llm_shard_bytes", "llm_shard_docs"]
+    want = {r.doc_id: r.llm_shard for r in sharding.assign(frame(spark, [(i, "z" * 40) for i in range(60)]), 500).collect()}
+    assert {r.doc_id: r.llm_shard for r in got.collect()} == want and {tuple(r) for r in got.select(own).distinct().collect()} == {tuple(range(len(own)))}
+    path = scratch_path(spark, "shards")
+    sharding.write(df, path, 500)
+    back = spark.read.parquet(path)
+    assert back.drop("llm_shard").columns == df.columns and back.count() == 60 and {r.shard for r in back.collect()} == {1}
+    assert sorted(os.listdir(path.removeprefix("file:")))[-1].startswith("llm_shard=b")
+
+
 def test_native(spark):
     plan = sharding.assign(frame(spark, [(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
