@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from dailylake.llm import topk
@@ -28,7 +29,8 @@ def run(spark, rows):
 
 def test_search(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 97)
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "ROUND_BYTES", 3 * 8 * 21)
+    monkeypatch.setattr(topk, "TASK_ROWS", 150)
     rng = np.random.default_rng(3)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=20)]) for i in range(400)]
     same = rows[7][1]
@@ -70,16 +72,26 @@ def test_repeated_ids_with_distinct_scores(spark, monkeypatch):
     assert set(run(spark, rows)) == plain(rows)
 
 
-def test_an_id_with_many_vectors_has_many_blocks(spark, monkeypatch, tmp_path):
-    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 50)
-    whole, path = topk.search_block, str(tmp_path / "sizes")
+def test_an_id_with_many_vectors_is_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "TASK_ROWS", 50)
+    rows = [(50, [1.0, 1.0]), (50, [2.0, 0.0])] + [(7, [float(i), 1.0]) for i in range(400)] + [(i, [1.0, float(i)]) for i in range(100, 150)]
+    assert set(run(spark, rows)) == plain(rows)
 
-    def noted(*a, **b):
-        with open(path, "a") as f:
-            f.write(f"{len(a[2])}\n")
-        return whole(*a, **b)
 
-    monkeypatch.setattr(topk, "search_block", noted)
-    rows = [(50, [1.0, 1.0])] + [(7, [float(i), 1.0]) for i in range(400)] + [(i, [1.0, float(i)]) for i in range(100, 150)]
-    assert set(run(spark, rows)) == plain(rows)
-    assert max(int(x) for x in open(path)) < 150
+def test_components_too_large_for_a_score_fail(spark):
+    rows = [(0, [1.0, 2.0]), (1, [float(2**20), 0.0])]
+    assert run(spark, rows) == [(0, 1, 1, 2**36)]
+    for x in (2.0**30, 1e30):
+        with pytest.raises(Exception, match="too large for scores of 64 bits"):
+            run(spark, rows + [(2, [x, 0.0])])
+
+
+def test_rows_are_shuffled_once_whatever_the_rounds(spark, monkeypatch):
+    """The plan of a round reads the written rows and exchanges winners only."""
+    plans = []
+    keep = topk.materialize
+    monkeypatch.setattr(topk, "materialize", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or keep(df, name))
+    monkeypatch.setattr(topk, "ROUND_BYTES", 200)
+    run(spark, [(i, [1.0, float(i)]) for i in range(500)])
+    rounds = [p for name, p in plans if name == "winners"]
+    assert len(rounds) > 1 and all(p.count("Exchange hashpartitioning(query_id") == 1 and p.count("Exchange") == 1 for p in rounds)
