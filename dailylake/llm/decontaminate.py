@@ -12,10 +12,11 @@ threshold, and only candidates are verified, by the shingles themselves.
 Everything is DataFrame functions. The sketches are broadcast if their counted rows are few,
 and else joined by a shuffle; so are the candidates.
 
-Edge cases: a text is lower-cased and cut into runs of letters and digits; a text with fewer
-words than a shingle has one shingle, all its words, so an item of one to four words is only
-found in a document of exactly those words and not inside a longer one; a text without words (or null) has none
-and is never in a pair; repeated items or rows give one pair; every text of an item id, null ids
+Edge cases: a text is lower-cased and cut into runs of letters and digits; an item with fewer
+words than a shingle is one shingle, all its words, and is searched in the documents' shingles
+of that many words, so it is found inside longer documents too; a text without words (or null)
+has none and is never in a pair; a very long document is cut into shingles by one task, some
+hundred bytes for a word; empty tables have no pairs; repeated items or rows give one pair; every text of an item id, null ids
 included, is an item by itself, and a document has the id if it contains one of its texts;
 a null id is an id of its own; other columns of the inputs are ignored.
 """
@@ -83,10 +84,22 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n
     """Pairs of a document (``doc_id`` and ``text_hash``) and an item with at least the threshold.
 
     ``docs``: doc_id, text; ``items``: item_id, text. An id with several texts may have
-    several pairs with a document, of different ``n_shingles``.
+    several pairs with a document, of different ``n_shingles``. Items of fewer than ``n``
+    words are searched by their own number of words, each number that occurs in a pass.
     """
     docs = docs.select(F.col("doc_id"), F.col("text"), F.xxhash64("text").alias("text_hash"))
     items = items.select(F.col("item_id"), F.col("text")).distinct().withColumn("item_hash", F.xxhash64("text"))
+    items = items.withColumn("words", F.least(F.lit(n), F.size(words_of(F.col("text")))))
+    lengths = sorted(r["words"] for r in items.where("words > 0").select("words").distinct().collect())  # n at most
+    found = [_contained(docs, items.where(F.col("words") == k).drop("words"), threshold, k) for k in lengths or [n]]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _contained(docs: DataFrame, items: DataFrame, threshold: float, n: int) -> DataFrame:
+    """:func:`contained` by shingles of ``n`` words."""
     sketch = materialize(sketches(items, threshold, n), "sketches")
     found = docs.select("doc_id", "text_hash", F.explode(shingle_hashes(F.col("text"), n)).alias("hash")).join(_few(sketch), "hash")
     hits = found.groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(F.countDistinct("hash").alias("hits"), F.first("least").alias("least"))
@@ -105,29 +118,34 @@ def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     return docs.join(_few(bad), docs[id_col].eqNullSafe(F.col("llm_id")) & (F.xxhash64(docs[text_col]) == F.col("llm_text")), "left_anti")
 
 
-def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered query: every document with every benchmark item that it contains.
-
-    Of several texts of an item id the one counts that the document holds most of, then the longest.
-    """
-    pairs = contained(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+def best_pairs(pairs: DataFrame) -> DataFrame:
+    """One row for a document id and an item id: the text that the document holds most of, then the longest."""
     pairs = pairs.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
     best = pairs.groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_shingles", "n_shared")).alias("best"))
     return best.select("doc_id", "item_id", "best.n_shingles", "best.n_shared", "best.containment")
 
 
+def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registered query: every document with every benchmark item that it contains."""
+    return best_pairs(contained(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
 CONTAMINATION_SQL = r"""
-WITH texts AS (
-  SELECT doc_id AS id, FALSE AS is_item, text FROM documents UNION ALL SELECT item_id, TRUE, text FROM benchmark),
-cut AS (
-  SELECT id, is_item, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM texts),
-grams AS (
-  SELECT DISTINCT id, is_item, array_to_string(w[i:i + 4], ' ') AS g
-  FROM (SELECT id, is_item, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM cut WHERE len(w) > 0)),
-sizes AS (SELECT id, count(*) AS n_shingles FROM grams WHERE is_item GROUP BY id),
-shared AS (
-  SELECT d.id AS doc_id, t.id AS item_id, count(*) AS n_shared
-  FROM grams t JOIN grams d ON t.g = d.g AND t.is_item AND NOT d.is_item GROUP BY 1, 2)
-SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
-FROM shared JOIN sizes ON item_id = id WHERE n_shared >= 0.8 * n_shingles - 1e-9
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, text FROM (SELECT DISTINCT doc_id, text FROM documents)),
+items AS (SELECT row_number() OVER () AS t, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+doc_words AS (SELECT d, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM docs),
+item_words AS (SELECT t, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM items),
+item_grams AS (
+  SELECT DISTINCT t, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT t, w, least(5, len(w)) AS k, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM item_words WHERE len(w) > 0)),
+doc_grams AS (
+  SELECT DISTINCT d, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT d, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM doc_words, (SELECT DISTINCT k FROM item_grams) WHERE len(w) >= k)),
+sizes AS (SELECT t, count(*) AS n_shingles FROM item_grams GROUP BY t),
+shared AS (SELECT d, t, count(*) AS n_shared FROM item_grams JOIN doc_grams USING (k, g) GROUP BY d, t),
+pairs AS (
+  SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
+  FROM shared JOIN sizes USING (t) JOIN docs USING (d) JOIN items USING (t) WHERE n_shared >= 0.8 * n_shingles - 1e-9)
+SELECT doc_id, item_id, n_shingles, n_shared, containment FROM pairs
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY containment DESC, n_shingles DESC) = 1
 """

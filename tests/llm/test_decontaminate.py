@@ -9,16 +9,22 @@ from pyspark.sql import functions as F
 from dailylake.llm import decontaminate as D
 
 
-def plain_shingles(text):
-    w = [x for x in re.split(r"[\W_]+", (text or "").lower()) if x]
-    return {" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+def words(text):
+    return [x for x in re.split(r"[\W_]+", (text or "").lower()) if x]
+
+
+def plain_shingles(text, k):
+    w = words(text)
+    return {" ".join(w[i:i + k]) for i in range(len(w) - k + 1)}
 
 
 def plain(docs, items, t=0.8):
-    sets = {}
-    for i, x in items:
-        sets.setdefault(i, set()).update(plain_shingles(x))
-    return {(d, i, len(s)) for d, x in docs for i, s in sets.items() if s and len(s & plain_shingles(x)) >= t * len(s) - 1e-9}
+    out = set()
+    for i, x in set(items):
+        k = min(5, len(words(x)))
+        s = plain_shingles(x, k) if k else set()
+        out |= {(d, i, len(s)) for d, text in docs if s and len(s & plain_shingles(text, k)) >= t * len(s) - 1e-9}
+    return out
 
 
 def corpus(seed):
@@ -58,6 +64,30 @@ def test_pairs(spark, monkeypatch, broadcast):
     assert None in bad and any(d is None for d, _ in clean)
 
 
+def test_short_items_inside_long_documents(spark):
+    items = [(1, "what is two plus"), (2, "Paris"), (3, "blue whale"), (4, "one two three"), (5, "two, three"), (6, "")]
+    docs = [(1, "tell me: what is two plus two? " + "filler " * 3000), (2, "a paris of the north"), (3, "whale blue"), (4, "zero one two three four"), (5, "blue whale"), (6, "parisian"), (7, None)]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.n_shingles) for r in D.contained(df, it).collect()}
+    assert got == plain(docs, items) == {(1, 1, 1), (2, 2, 1), (4, 4, 1), (4, 5, 1), (5, 3, 1)}
+    assert sorted(r.doc_id for r in D.keep_clean(df, it).collect()) == [3, 6, 7]
+
+
+def test_sql_states_the_operator(spark):
+    """Short items, several texts of an id, null ids and repeated rows, in DuckDB too."""
+    duckdb = pytest.importorskip("duckdb")
+    docs, items = corpus(3)
+    docs += [(None, "the red fox runs home"), (900, "red fox"), (900, "no fox"), (900, "red fox")]
+    items += [(None, "red fox"), (70, "red fox"), (70, "the red fox runs home"), (71, None), items[0]]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", df.toPandas().astype({"doc_id": "Int64"}))
+    con.register("benchmark", it.toPandas().astype({"item_id": "Int64"}))
+    want = con.sql(D.CONTAMINATION_SQL).fetchall()
+    got = [tuple(r) for r in D.best_pairs(D.contained(df, it)).collect()]
+    assert len(want) > 30 and sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     it = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
