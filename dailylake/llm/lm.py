@@ -46,6 +46,8 @@ PRIOR = 200.0
 #: Scores from here down mark pieces without a rank.
 UNSCORED = -1e8
 START = "▁".encode()
+#: Bytes of a word, its start mark included, whose probabilities a double can hold without logs.
+SHORT = 40
 BUNDLE_BYTES = 20 << 20
 LN10 = math.log(10)
 
@@ -86,6 +88,7 @@ class Lattice:
     def __init__(self, weights: dict[bytes, float], stop: float):
         self.stop = stop
         self.tables: list[dict[bytes, float | None]] = []
+        self.plain: list[dict[bytes, float | None]] = []  # the same without logs, for short words
         for inner in (False, True):
             own = {p: w for p, w in weights.items() if p.startswith(START) != inner}
             total = math.log(sum(own.values()))
@@ -95,6 +98,7 @@ class Lattice:
                     table.setdefault(p[:k], None)
             table |= {p: math.log(w) - total for p, w in own.items() if w > 0}
             self.tables.append(table)
+            self.plain.append({p: None if w is None else math.exp(w) for p, w in table.items()})
 
     def arcs(self, text: bytes) -> list[tuple[int, int, bytes, float]]:
         """Pieces along the text as (from, to, piece, log probability), by their start."""
@@ -160,6 +164,8 @@ class Lattice:
         Shares below e^-30 of a word are left out: they can't change a sum of doubles."""
         text = START + word
         n = len(text)
+        if n <= SHORT and self._expect_short(text, into, times):
+            return
         arcs = self.arcs(text)
         alpha = self.forward(arcs, n)
         # the backward recursion is the forward one over the reversed arcs
@@ -171,6 +177,36 @@ class Lattice:
                 into[piece] = into.get(piece, 0.0) + times * math.exp(share)
 
 
+    def _expect_short(self, text: bytes, into: dict[bytes, float], times: float) -> bool:
+        """The same recursions without logs; false if the numbers get too small for them."""
+        n = len(text)
+        alpha, beta = [0.0] * (n + 1), [0.0] * (n + 1)
+        alpha[0] = beta[n] = 1.0
+        arcs = []
+        get, on = self.plain[0].get, 1.0
+        for i in range(n):
+            here = alpha[i] * on
+            if here > 0.0:
+                for j in range(i + 1, n + 1):
+                    p = get(text[i:j], -1.0)
+                    if p is None:
+                        continue
+                    if p < 0.0:
+                        break
+                    arcs.append((i, j, text[i:j], p * on))
+                    alpha[j] += here * p
+            if not i:
+                get, on = self.plain[1].get, 1.0 - self.stop
+        if alpha[n] < 1e-250:
+            return False
+        part = times / alpha[n]
+        for i, j, piece, p in reversed(arcs):
+            after = p * beta[j]
+            beta[i] += after
+            into[piece] = into.get(piece, 0.0) + alpha[i] * after * part
+        return True
+
+
 def pack(numbers: np.ndarray) -> bytes:
     return zlib.compress(numbers.astype(np.int32).tobytes(), 1)
 

@@ -40,6 +40,18 @@ def test_lattice_sums_all_segmentations():
         assert found == pytest.approx({p: n / total for p, n in expected.items()}, abs=1e-9)
 
 
+def test_expected_counts_of_short_and_long_words_agree(monkeypatch):
+    """With and without logs, and where the numbers get too small."""
+    lattice = lm.Lattice(lm.first_weights(lm.read_pieces(PATH)), 0.3)
+    for word in (b"a", b"thereunto", b"\x00\x01\x02" * 12, "日本".encode(), b"zqxj" * 9):
+        plain, logs = {}, {}
+        lattice.expect(word, plain, 3)
+        with monkeypatch.context() as m:
+            m.setattr(lm, "SHORT", 0)
+            lattice.expect(word, logs, 3)
+        assert all(plain[p] == pytest.approx(logs.get(p, 0.0), rel=1e-6, abs=1e-9) for p in plain) and logs.keys() <= plain.keys()
+
+
 def test_long_and_foreign_words():
     lattice = lm.Lattice(lm.first_weights(lm.read_pieces(PATH)), 0.3)
     for word in ("x" * 20_000, "日本́", "▁▁a", "\x00\U0001F600"):
