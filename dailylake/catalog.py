@@ -154,6 +154,8 @@ SILVER_LOCATION_COLS = [f.name for f in SILVER_LOCATIONS.fields]
 
 # Range rules in price units (the weather defaults are -80..60 degrees).
 PRICE_QUALITY = Q.QualityConfig(temp_min_c=5000.0, temp_max_c=495000.0)
+# Wide price bounds: the rows with faults fail by those.
+PRICE_FAULTS = Q.QualityConfig(temp_min_c=0.0, temp_max_c=520000.0, min_completeness_ratio=0.9)
 # The backfill gate only has to pass on valid prices.
 PRICE_GATE = Q.QualityConfig(temp_min_c=0.0, temp_max_c=1e9)
 # Freshness is judged against this reference time (a parameter of the check).
@@ -490,6 +492,40 @@ def q_report(spark, sf_dir):
                       "ratio", "failed_rule", "passed")
 
 
+def _faulty(t: Tables) -> DataFrame:
+    """Silver daily rows, one an order, with the faults that the order's key says.
+
+    Of a location's orders of a day the first one counts, and any whose key 7 divides (a
+    second delivery). Keys with certain remainders lack a value, have a day or a
+    humidity that can't be, or are lost.
+    """
+    key = t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("dt"), F.col("o_totalprice").cast("double").alias("price"))
+    own = key.join(t.customer.select("c_custkey", F.col("c_nationkey").cast("string").alias("location_id")), F.col("o_custkey") == F.col("c_custkey"))
+    first = own.groupBy("location_id", "dt").agg(F.min("o_orderkey").alias("first"))
+    own = own.join(first, ["location_id", "dt"]).where("o_orderkey = first or o_orderkey % 7 = 0")
+    k = F.col("o_orderkey")
+    return own.where(k % 61 != 5).select(
+        "dt", F.when(k % 397 != 1, F.col("location_id")).alias("location_id"),
+        F.when(k % 389 != 2, F.date_add("dt", 1).cast("timestamp")).alias("ingested_at"),
+        F.when(k % 383 == 3, F.date_add("dt", 1)).when(k % 379 != 4, F.col("dt")).alias("date"),
+        F.col("price").alias("temp_min_c"), F.col("price").alias("temp_max_c"), F.when(k % 5 != 0, F.col("price")).alias("temp_avg_c"),
+        F.when(k % 373 == 6, 140.0).when(k % 367 == 7, -1.0).otherwise(50.0).alias("humidity_avg"))
+
+
+@query
+def q_report_faults(spark, sf_dir):
+    """The gate over rows with every kind of fault, against the day's own locations: days pass and fail."""
+    t = _tables(spark, sf_dir)
+    rep = Q.gate_report(_faulty(t), _day_silver(t)[1], PRICE_FAULTS, expected_dts=_calendar(t.obs()))
+    return rep.select("dt", "daily_rows", "location_rows", "dup_groups", "dup_rows", "present", "expected", "ratio", "failed_rule", "passed")
+
+
+@query
+def q_range_faults(spark, sf_dir):
+    rows = _faulty(_tables(spark, sf_dir))
+    return Q.range_counts(rows, PRICE_FAULTS.ranges(rows.columns), ["dt"])
+
+
 # ---- model tests -----------------------------------------------------------------------------
 
 @query
@@ -524,3 +560,20 @@ def t_source_freshness(spark, sf_dir):
     out = Q.source_freshness({"stg_weather_daily": t.staging_daily(),
                               "stg_locations": t.staging_locations()}, FRESHNESS_NOW)
     return _ntz(out, "max_loaded_at")
+
+
+@query
+def t_faults(spark, sf_dir):
+    """Model tests that find something: nulls, repeated locations and repeated keys among faulty rows."""
+    rows = {"faulty": _faulty(_tables(spark, sf_dir))}
+    nulls = Q.test_not_null(rows, [("faulty", c) for c in ("location_id", "date", "ingested_at", "temp_avg_c")])
+    return nulls.unionByName(Q.test_unique(rows, [("faulty", ["location_id"]), ("faulty", ["location_id", "date"])]))
+
+
+@query
+def mart_anomalies_flat(spark, sf_dir):
+    """z-scores where every fifth location reads the same value each day: no spread, no score."""
+    fact = _gold(spark, sf_dir).fact()
+    flat = F.when(F.col("location_id").cast("int") % 5 == 0, F.lit(1000)).otherwise(F.col("temp_avg_c"))
+    m = G.mart_anomalies(fact.withColumn("temp_avg_c", flat.cast(fact.schema["temp_avg_c"].dataType)))
+    return m.withColumn("z_score", F.round("z_score", 6))

@@ -34,8 +34,13 @@ def change_vs_lag(c: str, n: int, key: str = "location_id", order: str = "date")
 
 
 def group_stats(df: DataFrame, key: str, c: str) -> DataFrame:
-    """Whole-group mean and sample standard deviation, one row per key."""
-    return df.groupBy(key).agg(F.avg(c).alias("_mean"), F.stddev_samp(c).alias("_sd"))
+    """Whole-group mean and sample standard deviation, one row per key.
+
+    Merged moments of equal values can be off zero by rounding: a series whose least and
+    greatest values are equal has no spread.
+    """
+    sd = F.stddev_samp(c)
+    return df.groupBy(key).agg(F.avg(c).alias("_mean"), F.when(F.min(c) == F.max(c), sd * 0).otherwise(sd).alias("_sd"))
 
 
 def zscore(x: Column, mean: Column, sd: Column) -> Column:

@@ -80,25 +80,26 @@ def mart_anomalies(fact: DataFrame) -> DataFrame:
 
 
 def location_moments(fact: DataFrame) -> DataFrame:
-    """Count, mean and sum of squared deviations of ``temp_avg_c`` by location and month.
+    """Count, mean, sum of squared deviations, least and greatest ``temp_avg_c`` by location and month.
 
     They merge: a load changes its months' rows only, and :func:`merged_moments`
     gives the whole series' statistics without reading it.
     """
     x = F.col("temp_avg_c").cast("double")
     return (fact.groupBy("location_id", F.trunc("date", "month").alias("month"))
-            .agg(F.count(x).alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("m2")))
+            .agg(F.count(x).alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("m2"), F.min(x).alias("lo"), F.max(x).alias("hi")))
 
 
 def merged_moments(moments: DataFrame) -> DataFrame:
     """Mean and sample deviation by location: squared deviations within the months and between them."""
     some = moments.where("n > 0")
-    whole = some.groupBy("location_id").agg(F.sum("n").alias("_n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_mean"))
+    whole = some.groupBy("location_id").agg(F.sum("n").alias("_n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_mean"),
+                                            (F.min("lo") == F.max("hi")).alias("_flat"))
     whole = whole.withColumnRenamed("location_id", "_loc")
     parts = some.join(whole, some["location_id"].eqNullSafe(whole["_loc"]))
     spread = F.sum(F.col("m2") + F.col("n") * (F.col("mean") - F.col("_mean")) * (F.col("mean") - F.col("_mean")))
-    return (parts.groupBy("_loc", "_n", "_mean").agg(spread.alias("_m2"))
-            .select("_loc", "_mean", F.when(F.col("_n") > 1, F.sqrt(F.col("_m2") / (F.col("_n") - 1))).alias("_sd")))
+    return (parts.groupBy("_loc", "_n", "_mean", "_flat").agg(spread.alias("_m2"))
+            .select("_loc", "_mean", F.when((F.col("_n") > 1) & ~F.col("_flat"), F.sqrt(F.col("_m2") / (F.col("_n") - 1))).alias("_sd")))
 
 
 def mart_anomalies_from(fact: DataFrame, moments: DataFrame) -> DataFrame:

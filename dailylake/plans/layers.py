@@ -18,10 +18,10 @@ STAGING, ANALYTICS, BI = "staging", "analytics", "analytics_bi"
 
 MART_ANOMALIES = f"""
 WITH whole AS (
-    SELECT location_id AS loc, sum(n) AS n, sum(n * mean) / sum(n) AS mean FROM {ANALYTICS}.{MOMENTS} WHERE n > 0 GROUP BY location_id),
+    SELECT location_id AS loc, sum(n) AS n, sum(n * mean) / sum(n) AS mean, min(lo) = max(hi) AS flat FROM {ANALYTICS}.{MOMENTS} WHERE n > 0 GROUP BY location_id),
 stats AS (
-    SELECT w.loc, w.mean, CASE WHEN w.n > 1 THEN sqrt(sum(p.m2 + p.n * (p.mean - w.mean) * (p.mean - w.mean)) / (w.n - 1)) END AS sd
-    FROM {ANALYTICS}.{MOMENTS} p JOIN whole w ON p.location_id <=> w.loc WHERE p.n > 0 GROUP BY w.loc, w.n, w.mean)
+    SELECT w.loc, w.mean, CASE WHEN w.n > 1 AND NOT w.flat THEN sqrt(sum(p.m2 + p.n * (p.mean - w.mean) * (p.mean - w.mean)) / (w.n - 1)) END AS sd
+    FROM {ANALYTICS}.{MOMENTS} p JOIN whole w ON p.location_id <=> w.loc WHERE p.n > 0 GROUP BY w.loc, w.n, w.mean, w.flat)
 SELECT f.location_id, f.date, f.temp_avg_c, CASE WHEN sd <> 0 THEN (cast(f.temp_avg_c AS double) - mean) / sd END AS z_score
 FROM {ANALYTICS}.{FACT} f LEFT JOIN stats ON f.location_id <=> stats.loc"""
 

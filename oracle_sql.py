@@ -465,6 +465,60 @@ SELECT dt, daily_rows, location_rows, dup_groups, present, expected, ratio,
        """ + _CASE + """ AS failed_rule, (""" + _CASE + """) IS NULL AS passed
 FROM rep"""
 
+# one row an order, with faults by its key, in place of the day's aggregates
+FAULTY = """,
+firsts AS (SELECT location_id, date, min(o_orderkey) AS k0 FROM oc GROUP BY 1, 2),
+faulty AS (
+  SELECT date AS dt, CASE WHEN o_orderkey % 397 <> 1 THEN location_id END AS location_id,
+         CASE WHEN o_orderkey % 389 <> 2 THEN date + INTERVAL 1 DAY END AS ingested_at,
+         CASE WHEN o_orderkey % 383 = 3 THEN cast(date + INTERVAL 1 DAY AS date) WHEN o_orderkey % 379 <> 4 THEN date END AS date,
+         cast(price AS double) AS temp_min_c, cast(price AS double) AS temp_max_c,
+         CASE WHEN o_orderkey % 5 <> 0 THEN cast(price AS double) END AS temp_avg_c,
+         CASE WHEN o_orderkey % 373 = 6 THEN 140.0 WHEN o_orderkey % 367 = 7 THEN -1.0 ELSE 50.0 END AS humidity_avg
+  FROM oc JOIN firsts USING (location_id, date)
+  WHERE (o_orderkey = k0 OR o_orderkey % 7 = 0) AND o_orderkey % 61 <> 5
+)"""
+
+_swaps = [
+    (CAL, CAL + FAULTY),
+    ("  FROM silver_d GROUP BY dt\n),\nlstat", "  FROM faulty GROUP BY dt\n),\nlstat"),
+    ("SELECT dt, count(*) AS dup_groups FROM\n    (SELECT dt, location_id, date FROM silver_d GROUP BY",
+     "SELECT dt, count(*) AS dup_groups, cast(sum(n) AS bigint) AS dup_rows FROM\n    (SELECT dt, location_id, date, count(*) AS n FROM faulty GROUP BY"),
+    ("""  SELECT dt, count(DISTINCT location_id) AS present, (SELECT count(*) FROM reg) AS expected
+  FROM silver_d WHERE location_id IN (SELECT location_id FROM reg) GROUP BY dt""",
+     """  SELECT l.dt, count(DISTINCT f.location_id) AS present, count(DISTINCT l.location_id) AS expected
+  FROM silver_l l LEFT JOIN faulty f ON f.dt = l.dt AND f.location_id = l.location_id GROUP BY l.dt"""),
+    ("< 5000.0 OR", "< 0.0 OR"), ("> 495000.0", "> 520000.0"), ("ratio < 0.95", "ratio < 0.9"),
+    ("coalesce(dup.dup_groups, 0) AS dup_groups,", "coalesce(dup.dup_groups, 0) AS dup_groups, coalesce(dup.dup_rows, 0) AS dup_rows,"),
+    ("location_rows, dup_groups, present", "location_rows, dup_groups, dup_rows, present"),
+]
+_sql = ORACLE["q_report"]
+for _old, _new in _swaps:
+    assert _old in _sql, _old
+    _sql = _sql.replace(_old, _new)
+ORACLE["q_report_faults"] = _sql
+
+ORACLE["q_range_faults"] = SILVER + FAULTY + "\n" + "\nUNION ALL\n".join(
+    f"""SELECT dt, '{c}' AS "column", cast({lo} AS double) AS min_v, cast({hi} AS double) AS max_v,
+       count({c}) AS n_valid, cast(coalesce(count_if({c} < {lo}), 0) AS bigint) AS n_low,
+       cast(coalesce(count_if({c} > {hi}), 0) AS bigint) AS n_high FROM faulty GROUP BY dt"""
+    for c, lo, hi in [("temp_min_c", 0.0, 520000.0), ("temp_max_c", 0.0, 520000.0), ("temp_avg_c", 0.0, 520000.0), ("humidity_avg", 0.0, 100.0)])
+
+ORACLE["t_faults"] = SILVER + FAULTY + "\n" + "\nUNION ALL ".join(
+    [f"""SELECT 'faulty' AS model, '{c}' AS "column", cast(count_if({c} IS NULL) AS bigint) AS failures FROM faulty"""
+     for c in ("location_id", "date", "ingested_at", "temp_avg_c")]
+    + [f"""SELECT 'faulty', '{keys}', (SELECT count(*) FROM (SELECT {keys} FROM faulty GROUP BY {keys} HAVING count(*) > 1))"""
+       for keys in ("location_id", "location_id,date")])
+
+ORACLE["mart_anomalies_flat"] = GOLD + """,
+cents AS (
+  SELECT location_id, date, CASE WHEN cast(location_id AS int) % 5 = 0 THEN cast(1000 AS decimal(18,6)) ELSE temp_avg_c END AS temp_avg_c,
+         CASE WHEN cast(location_id AS int) % 5 = 0 THEN 100000 ELSE cast(temp_avg_c * 100 AS bigint) END AS x FROM fact),
+st AS (SELECT location_id, avg(x) AS m, stddev_samp(x) AS sd FROM cents GROUP BY location_id)
+SELECT c.location_id, c.date, c.temp_avg_c,
+       round(CASE WHEN st.sd IS NULL OR st.sd = 0 THEN NULL ELSE (c.x - st.m) / st.sd END, 6) AS z_score
+FROM cents c JOIN st USING (location_id)"""
+
 # ---- model tests -----------------------------------------------------------------------------------
 
 _NN_TESTS = [("stg_weather_daily", "stg", "location_id"), ("stg_weather_daily", "stg", "date"),
