@@ -7,7 +7,9 @@ two neighbours of each touched position, whose new pairs are added to the index.
 thus merged once per distinct pre-token of the task, not once per occurrence.
 
 Edge cases: a null text counts as empty; an empty text has no tokens; ids are never special
-tokens; repeated rows give repeated results; other columns of the input are ignored.
+tokens; repeated rows give repeated results; a very long text is one step of a task, some
+hundred bytes of its memory a distinct pre-token and four a token; an empty table gives an
+empty result; other columns of the input are ignored.
 """
 
 from __future__ import annotations

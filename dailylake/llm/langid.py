@@ -13,8 +13,10 @@ collected and broadcast.
 Edge cases: a null text, or one without a letter, is ``und`` with score 0, and so is every
 text if nothing could be learned; a text whose trigrams are in no language gets the language
 with most training rows, score 0; ties go the same way, then to the smaller name; null
-languages teach nothing; repeated rows count and are answered as often as they occur; other
-columns of the input are ignored.
+languages teach nothing; repeated rows count and are answered as often as they occur; a very
+long text is one step of a task, at some fifty bytes of its memory a character; more languages
+than ``MOST`` are an error; an empty table gives an empty result; other columns of the input are
+ignored.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ Edge cases: a null text counts as empty; null hosts or paths form a site of thei
 rows without id, label or document don't count, and an id with several label rows has their
 mean; of the rows of a labelled id the one of the smallest features is learned from; with
 no labels, or labels of one kind, the odds are those of the labels alone (even for none), and
-even odds reject nothing; repeated rows count and are answered as often as they occur; other
+even odds reject nothing; a very long text is read whole, its distinct words held by one task;
+an empty table gives an empty result; repeated rows count and are answered as often as they occur; other
 columns pass unchanged through ``keep`` and are ignored by ``judge``.
 """
 

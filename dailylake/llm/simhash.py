@@ -15,8 +15,9 @@ Exact copies meet first (one fingerprint each). Documents come back by a join wi
 table of fingerprints.
 
 Edge cases: null and empty texts have fingerprint zero, linked like any other; a null id
-stays and takes no part in the minimum; repeated rows give repeated results; other columns
-of the input are ignored.
+stays and takes no part in the minimum; repeated rows give repeated results; a very long
+text is hashed whole, by one task, at some tens of bytes of its memory a word; an empty table
+gives an empty result; other columns of the input are ignored.
 """
 
 from __future__ import annotations

@@ -86,3 +86,13 @@ def test_query(spark):
 def test_bit_counts():
     h = np.random.default_rng(0).integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2)
     assert simhash.bit_counts(h).tolist() == [int((h >> np.uint64(b) & np.uint64(1)).sum()) for b in range(64)]
+
+
+def test_very_long_text(spark):
+    """One text of millions of characters, its near copy, and a short one."""
+    rng = random.Random(3)
+    long = " ".join("w%d" % rng.randrange(500) for _ in range(400_000))
+    rows = [(1, long), (2, long + " one more"), (3, "short text of few words")]
+    got = {r.doc_id: r for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].component_id, got[2].component_id, got[3].component_id) == (1, 1, 3)
+    assert got[3].fingerprint == "%016x" % plain_fingerprint(rows[2][1])

@@ -86,3 +86,14 @@ def test_equal_windows_have_equal_anchors():
         first, last, anchor, gram = S.runs(lead + core + lead)
         found.append({p - len(lead): (a - p, g) for f, e, a, g in zip(first, last, anchor, gram) for p in range(f, e + 1) if 0 <= p - len(lead) <= 500})
     assert found[0] == found[1] and len(found[0]) == 501
+
+
+def test_very_long_text(spark):
+    """A passage at both ends of a text of millions of bytes, and in another one."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passage = text(700)
+    rows = [(1, passage + text(2_500_000) + passage), (2, text(900) + passage), (3, text(2_000))]
+    got = {r.doc_id: r for r in S.remove(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].n_spans == 2 and 1400 <= got[1].n_removed < 1420 and got[2].n_spans == 1 and 700 <= got[2].n_removed < 720
+    assert got[3].n_removed == 0 and bytes(got[3].kept).decode() == rows[2][1]
