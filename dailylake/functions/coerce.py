@@ -25,7 +25,11 @@ def to_double(c) -> Column:
 
 
 def to_int(c) -> Column:
-    """Integer coercion through double, so '3.0' -> 3 like ``to_numeric`` then Int64."""
+    """Integer coercion through double: '3.0' is 3.
+
+    A value that is no whole number or too large is unusable like text that is no number,
+    and NULL: one bad code must not fail the load of its day.
+    """
     d = to_double(c)
     return F.when(d == F.floor(d), d.try_cast("int"))
 

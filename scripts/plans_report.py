@@ -17,7 +17,8 @@ from dailylake.catalog import REGISTRY  # noqa: E402
 from dailylake.session import build_session  # noqa: E402
 
 WRITES = {"src_bronze_json", "sink_bronze_roundtrip", "src_silver_parquet", "sink_silver_overwrite",
-          "load_daily_replace_dt", "load_locations_full", "load_upsert_by_key", "backfill_range",
+          "load_daily_replace_dt", "load_locations_full", "load_upsert_by_key", "load_upsert_partitioned", "backfill_range",
+          "backfill_locations", "mart_incremental", "sink_bronze_rerun",
           "q_missing_partitions"}
 
 
