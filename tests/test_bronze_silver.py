@@ -250,3 +250,9 @@ def test_malformed_records_are_told_apart(spark, tmp_root):
     bad = {(r["dt"], r["malformed"]) for r in got.select("dt", "malformed").distinct().collect()}
     assert {d for d, m in bad if m} == {"2024-03-01", "2024-03-02", "2024-03-03"}
     assert ("2024-03-01", False) in bad and ("2024-03-04", False) in bad
+
+
+def test_whole_number_coercion(spark):
+    from dailylake.functions.coerce import to_int
+    df = spark.createDataFrame([("3",), ("3.0",), (" 4 ",), ("3.7",), ("1e3",), ("9e99",), ("NaN",), ("x",), ("",), (None,)], "v string")
+    assert [r[0] for r in df.select(to_int("v")).collect()] == [3, 3, 4, None, 1000, None, None, None, None, None]
