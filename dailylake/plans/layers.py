@@ -9,7 +9,7 @@ commit that it shows.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from dailylake.operators.snapshots import Snapshots
 from dailylake.plans.incremental import BY_MONTH, FACT, MOMENTS
@@ -58,6 +58,20 @@ FROM compared c JOIN {ANALYTICS}.dim_date d ON d.date = c.date JOIN {ANALYTICS}.
 }
 
 
+def store_series(spark: SparkSession, fact: DataFrame, name: str = f"{ANALYTICS}.fact_by_location", buckets: int = 64) -> DataFrame:
+    """The fact as a table in buckets of locations, each sorted by location and date; returns the table.
+
+    Windows over a location's series (the rolling, weekly and baseline models) and joins by
+    location then need no exchange, whoever asks and however often: for whole rebuilds and
+    repeated analyses of all history. A bucket is one file, so choose ``buckets`` by the
+    table's size; a location lies in one bucket, as its window does in one task.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+    (fact.repartition(buckets, "location_id").write.mode("overwrite").format("parquet")
+         .bucketBy(buckets, "location_id").sortBy("location_id", "date").saveAsTable(name))
+    return spark.table(name)
+
+
 def files_of(store: Snapshots, table: str, record: dict) -> str:
     """The folders of a table as one path pattern; a load whose partitions are all current is one name."""
     state = record["tables"][table]

@@ -237,3 +237,14 @@ def test_bounds_of_stored_tables_come_from_footers(spark, lake):
     for ask in (P.location_range, P.rolling_range, P.country_daily):
         assert ask(fact, dim_l, gold=gold).collect() == ask(fact, dim_l).collect()
     assert gold.bounds("nothing", "date") is None
+
+
+def test_series_in_buckets_need_no_exchange(spark, lake):
+    fact = PL.table(spark, lake("series"), "fact_weather_daily")
+    stored = LY.store_series(spark, fact, "analytics_test.fact_by_location", 8)
+    for build in (G.mart_weather_rolling, G.mart_weekly_change, G.anomalies):
+        plan = build(stored)._jdf.queryExecution().executedPlan().toString()
+        assert "Window" in plan and "Exchange" not in plan
+        rows = lambda df: sorted(str(r) for r in df.collect())
+        assert rows(build(stored)) == rows(build(fact))
+    spark.sql("DROP TABLE analytics_test.fact_by_location")
