@@ -132,8 +132,8 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Fi
     spark = docs.sparkSession
     number = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "lang string, i int")
     counts = materialize(count_trigrams(docs, lang_col, text_col), "trigrams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    shares = counts.join(totals, "lang").join(number, "lang").select("gram", "i", (F.col("n") / F.col("total")).alias("share"))
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))  # MOST rows at most, as the numbers: broadcast
+    shares = counts.join(F.broadcast(totals), "lang").join(F.broadcast(number), "lang").select("gram", "i", (F.col("n") / F.col("total")).alias("share"))
     top = shares.groupBy("gram").agg(F.max("share").alias("top"))
     kept = shares.join(top, "gram").where(f"share >= {MIN_SHARE} and share >= {MIN_RATIO} * top").select("gram", "i")
 
