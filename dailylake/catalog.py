@@ -381,9 +381,15 @@ def backfill_locations(spark, sf_dir):
 
 
 @query
-def mart_incremental(spark, sf_dir):
-    """The stored rolling mart after loads out of order: the later half of the months
-    with gold, then the earlier half without, then the refresh."""
+def run_log(spark, sf_dir):
+    """The run log of the same run: loaded days with their rows, and days without data."""
+    log = spark.read.parquet(_backfilled(spark, sf_dir).runs)
+    return log.select("dt", "status", "records_loaded", "error_summary")
+
+
+def _gold_in_two_builds(spark, sf_dir) -> PL.LakePaths:
+    """A lake after loads out of order: the later half of the months with gold, then the
+    earlier half without, then the refresh."""
     t = _tables(spark, sf_dir)
     paths = PL.LakePaths(scratch_path(spark, "lake"))
     rows = LD.staging_daily_rows(_day_silver(t)[0]).withColumn("dt", F.col("date"))
@@ -398,7 +404,21 @@ def mart_incremental(spark, sf_dir):
         change.commit()
         if gold:
             PL.build_gold(spark, paths)
-    return PL.build_gold(spark, paths)["mart_weather_rolling"]
+    PL.build_gold(spark, paths)
+    return paths
+
+
+@query
+def mart_incremental(spark, sf_dir):
+    """The stored rolling mart after two builds."""
+    return PL.table(spark, _gold_in_two_builds(spark, sf_dir), "mart_weather_rolling")
+
+
+@query
+def bi_weekly_by_name(spark, sf_dir):
+    """The weekly view as other sessions read it, by its name in the catalog, after two builds."""
+    _gold_in_two_builds(spark, sf_dir)
+    return spark.table("analytics_bi.weather_weekly_bi")
 
 
 # ---- quality -------------------------------------------------------------------------------

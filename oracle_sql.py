@@ -519,6 +519,16 @@ SELECT c.location_id, c.date, c.temp_avg_c,
        round(CASE WHEN st.sd IS NULL OR st.sd = 0 THEN NULL ELSE (c.x - st.m) / st.sd END, 6) AS z_score
 FROM cents c JOIN st USING (location_id)"""
 
+ORACLE["run_log"] = SILVER + CAL + """
+SELECT cal.dt, CASE WHEN count(o.date) > 0 THEN 'success' ELSE 'failed' END AS status,
+       cast(nullif(count(o.date), 0) AS int) AS records_loaded,
+       CASE WHEN count(o.date) = 0 THEN 'missing_daily_partition' END AS error_summary
+FROM cal LEFT JOIN obs o ON o.date = cal.dt GROUP BY cal.dt"""
+
+# every location as the registry names it: the loads know no other snapshot
+ORACLE["bi_weekly_by_name"] = ORACLE["bi_weekly"].replace(
+    "dim_location l USING (location_id)", "(SELECT *, tz AS tz_id FROM reg) l USING (location_id)")
+
 # ---- model tests -----------------------------------------------------------------------------------
 
 _NN_TESTS = [("stg_weather_daily", "stg", "location_id"), ("stg_weather_daily", "stg", "date"),
