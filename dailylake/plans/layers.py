@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dailylake.operators.snapshots import Snapshots
 from dailylake.plans.incremental import BY_MONTH, FACT, MOMENTS
+from dailylake.session import folder_names
 
 STAGING, ANALYTICS, BI = "staging", "analytics", "analytics_bi"
 
@@ -78,7 +79,14 @@ def files_of(store: Snapshots, table: str, record: dict) -> str:
     loads: dict[str, list[str]] = {}
     for part, load in state["folders"].items():
         loads.setdefault(load, []).append(part)
-    names = [load if parts == [""] else f"{load}/{{{','.join(parts)}}}" for load, parts in sorted(loads.items())]
+    names = []
+    for load, parts in sorted(loads.items()):
+        if parts == [""]:
+            names.append(load)
+        elif len(parts) == len([n for n in folder_names(store.spark, f"{store.root}/{table}/{load}") if n.startswith(f"{state['by']}=")]):
+            names.append(f"{load}/{state['by']}=*")
+        else:
+            names.append(f"{load}/{{{','.join(parts)}}}")
     return f"{store.root}/{table}/{{{','.join(names)}}}"
 
 
