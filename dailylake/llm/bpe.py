@@ -4,7 +4,8 @@ Each task gathers the distinct pre-tokens of its documents, lays them out as one
 byte tokens and keeps an inverted index from merge rank (= token pair) to the positions where
 the pair stands. Merges are taken from a heap in rank order; applying one changes only the
 two neighbours of each touched position, whose new pairs are added to the index. A pair is
-thus merged once per distinct pre-token of the task, not once per occurrence.
+thus merged once per distinct pre-token of some megabytes of text, not once per occurrence;
+``with_tokens`` takes less text at a time and keeps the ids of short pieces it has met.
 
 Edge cases: a null text counts as empty; an empty text has no tokens; ids are never special
 tokens; repeated rows give repeated results; a very long text is one step of a task, some
@@ -29,8 +30,12 @@ from pyspark.sql.types import StructType
 
 from dailylake.llm.common import chunks
 
-#: Text bytes whose pre-tokens are replayed together.
+#: Text bytes whose pre-tokens are replayed together; a task takes some fifty times that.
 REPLAYED = 6 << 20
+#: The same where a task carries whole rows along and its worker has served other stages.
+REPLAYED_BESIDE = 1 << 20
+#: Pieces whose ids a task keeps at a time, and the characters of the longest of them.
+KNOWN, LONGEST = 100_000, 40
 
 ENCODED = "doc_id long, token_ids array<int>, n_tokens long"
 DIGESTED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -179,8 +184,8 @@ class _Numbers(dict):
         return n
 
 
-def encode_texts(vocab: Vocabulary, texts: list[str | None]) -> tuple[list[np.ndarray], list[list[int]]]:
-    """For each text the numbers of its pieces, and the token ids of each piece.
+def _split(vocab: Vocabulary, texts: list[str | None]) -> tuple[list[np.ndarray], list[str | tuple[str]]]:
+    """For each text the numbers of its pieces, and the distinct pieces by number.
 
     A piece is the text between two single spaces (with the space before it) where neither
     side of the space is white space: no pre-token crosses such a space, so pieces can be
@@ -197,9 +202,34 @@ def encode_texts(vocab: Vocabulary, texts: list[str | None]) -> tuple[list[np.nd
             first, *keys = text.split(" ")
             keys[:0] = [(w,) for w in vocab.find(first)]
         rows.append(np.fromiter(map(numbers.__getitem__, keys), np.int32, len(keys)))
-    pieces = [k[0] if isinstance(k, tuple) else " " + k for k in numbers]
+    return rows, list(numbers)
+
+
+def encode_texts(vocab: Vocabulary, texts: list[str | None]) -> tuple[list[np.ndarray], list[list[int]]]:
+    """For each text the numbers of its pieces, and the token ids of each piece."""
+    rows, keys = _split(vocab, texts)
+    return rows, _encode_pieces(vocab, keys)
+
+
+def encode_again(vocab: Vocabulary, texts: list[str | None], known: dict[str | tuple[str], array]) -> tuple[list[np.ndarray], list[array]]:
+    """The same, with the ids of short pieces taken from ``known`` and kept there for the next texts."""
+    rows, keys = _split(vocab, texts)
+    found = [known.get(k) for k in keys]
+    new = [i for i, ids in enumerate(found) if ids is None]
+    for i, ids in zip(new, _encode_pieces(vocab, [keys[i] for i in new])):
+        found[i] = array("i", ids)
+        if len(keys[i] if isinstance(keys[i], str) else keys[i][0]) <= LONGEST:
+            if len(known) >= KNOWN:
+                known.clear()
+            known[keys[i]] = found[i]
+    return rows, found
+
+
+def _encode_pieces(vocab: Vocabulary, keys: list[str | tuple[str]]) -> list[list[int]]:
+    """Token ids of distinct pieces."""
+    pieces = [k[0] if isinstance(k, tuple) else " " + k for k in keys]
     words = _Numbers()
-    spread = [list(map(words.__getitem__, vocab.find(p))) if isinstance(k, tuple) else None for k, p in zip(numbers, pieces)]
+    spread = [list(map(words.__getitem__, vocab.find(p))) if isinstance(k, tuple) else None for k, p in zip(keys, pieces)]
     plain = [i for i, s in enumerate(spread) if s is None]
     tokens = vocab.find("".join([pieces[i] for i in plain]))
     own = np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens)).tolist()
@@ -211,7 +241,7 @@ def encode_texts(vocab: Vocabulary, texts: list[str | None]) -> tuple[list[np.nd
     known = [vocab.ids.get(w.encode()) for w in words]
     replayed = iter(vocab.replay([w.encode() for w, i in zip(words, known) if i is None]))
     by_word = [[i] if i is not None else next(replayed) for i in known]
-    return rows, [by_word[s[0]] if len(s) == 1 else [t for w in s for t in by_word[w]] for s in spread]
+    return [by_word[s[0]] if len(s) == 1 else [t for w in s for t in by_word[w]] for s in spread]
 
 
 def _run(docs: DataFrame, ranks_path: str, pattern: str, digest: bool, id_col: str, text_col: str) -> DataFrame:
@@ -265,15 +295,16 @@ def with_tokens(docs: DataFrame, ranks_path: str, pattern: str, text_col: str =
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = None
-        for part in chunks(batches, at, REPLAYED):
+        known: dict[str | tuple[str], array] = {}
+        for part in chunks(batches, at, REPLAYED_BESIDE):
             vocab = vocab or Vocabulary(tokens.value, pattern)
             texts = part.column(at).to_pylist()
-            rows, pieces = encode_texts(vocab, texts)
-            flat = [np.array(p, np.int32) for p in pieces]
-            ids = [np.concatenate([flat[i] for i in r.tolist()]) if len(r) else np.empty(0, np.int32) for r in rows]
-            right = [b"".join([vocab.tokens[t] for t in i.tolist()]) == (t or "").encode() for i, t in zip(ids, texts)]
-            offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
-            listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids)))
+            rows, pieces = encode_again(vocab, texts, known)
+            ids = [b"".join([pieces[i] for i in r.tolist()]) for r in rows]
+            right = [b"".join([vocab.tokens[t] for t in memoryview(i).cast("i")]) == (t or "").encode() for i, t in zip(ids, texts)]
+            offsets = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])])
+            listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+            del texts, rows, pieces, ids
             yield pa.RecordBatch.from_arrays([*(c.combine_chunks() for c in part.columns), listed, pa.array(np.diff(offsets)), pa.array(right)], [*part.column_names, *names])
 
     schema = StructType([*own.schema.fields, *StructType.fromDDL("token_ids array<int>, n_tokens long, decodes boolean").fields])

@@ -65,3 +65,36 @@ def bpe_lit():
     from pyspark.sql import functions as F
 
     return F.lit("clash")
+
+
+def test_with_tokens_across_steps(spark, known, monkeypatch):
+    """Pieces met in earlier steps, with few kept, and rows without text; columns pass unchanged."""
+    monkeypatch.setattr(bpe, "REPLAYED_BESIDE", 600)
+    monkeypatch.setattr(bpe, "KNOWN", 7)
+    rng = random.Random(6)
+    words = ["the", "Straße", "re-run", "漢字", "x" * 60, "a\tb", "don't", "  ", "aaaa", "𝒳y", ""]
+    rows = [(None, None), (0, ""), *((i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 60)))) for i in range(200))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted(((r.doc_id, r.text, r.token_ids, r.n_tokens, r.decodes) for r in bpe.with_tokens(df, PATH, P.PATTERN).collect()), key=str)
+    assert got == sorted(((i, t, (own := known.encode_ordinary(t or "")), len(own), True) for i, t in rows), key=str)
+
+
+def test_tokens_of_long_task_in_little_memory(vocab):
+    """Some megabytes of text in steps, as a task of with_tokens takes them: less than a hundred bytes a byte of a step."""
+    import tracemalloc
+    from array import array
+
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(60_000)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(bpe.REPLAYED_BESIDE * 3 // 1950)]
+    step = len(texts) // 3
+    held: dict[str | tuple[str], array] = {}
+    want = ids(vocab, texts[-5:])
+    tracemalloc.start()
+    for k in range(0, len(texts), step):
+        rows, pieces = bpe.encode_again(vocab, texts[k:k + step], held)
+    top = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    rows, pieces = bpe.encode_again(vocab, texts[-5:], held)
+    assert [[t for i in r.tolist() for t in pieces[i]] for r in rows] == want
+    assert len(held) <= bpe.KNOWN and top < 100 << 20
