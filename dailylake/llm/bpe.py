@@ -5,7 +5,8 @@ byte tokens and keeps an inverted index from merge rank (= token pair) to the po
 the pair stands. Merges are taken from a heap in rank order; applying one changes only the
 two neighbours of each touched position, whose new pairs are added to the index. A pair is
 thus merged once per distinct pre-token of some megabytes of text, not once per occurrence;
-``with_tokens`` takes less text at a time and keeps the ids of short pieces it has met.
+``digests`` keeps the pieces of text that its task has met, so that later megabytes replay new
+ones only, and ``with_tokens`` takes less text at a time and keeps the ids of short pieces.
 
 Edge cases: a null text counts as empty; an empty text has no tokens; ids are never special
 tokens; repeated rows give repeated results; a very long text is one step of a task, some
@@ -21,6 +22,7 @@ import heapq
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,8 @@ REPLAYED = 6 << 20
 REPLAYED_BESIDE = 1 << 20
 #: Pieces whose ids a task keeps at a time, and the characters of the longest of them.
 KNOWN, LONGEST = 100_000, 40
+#: Bytes of memory (about) of the pieces that a task of ``digests`` keeps; beyond that it starts over.
+MET = 160 << 20
 
 ENCODED = "doc_id long, token_ids array<int>, n_tokens long"
 DIGESTED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -56,7 +60,7 @@ class Vocabulary:
     def __init__(self, tokens: list[bytes], pattern: str):
         self.tokens = tokens
         self.ids = {t: i for i, t in enumerate(tokens)}
-        self.texts = [str(i) for i in range(len(tokens))]
+        self.texts = [b"%d" % i for i in range(len(tokens))]
         self.byte_ids = np.array([self.ids[bytes([b])] for b in range(256)])
         self.find = regex.compile(pattern).findall
         keys, merged = array("q"), array("i")
@@ -69,6 +73,7 @@ class Vocabulary:
         order = np.argsort(np.frombuffer(keys, np.int64))
         self.pair_keys = np.frombuffer(keys, np.int64)[order]
         self.pair_ids = np.frombuffer(merged, np.int32)[order]
+        self.byte_pairs = self.lookup(self.byte_ids[:, None], self.byte_ids[None, :])
 
     def lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merged ids of token pairs; -1 where the pair makes no token."""
@@ -80,18 +85,20 @@ class Vocabulary:
         """Token ids of every word: all merges of all words, in rank order.
 
         ``index`` maps a rank to the places whose pair had it when they were entered;
-        places whose pair has changed since are passed over.
+        places whose pair has changed since (``pair`` has the present one) are passed over.
         """
         if not words:
             return []
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes)
         n = int(ends[-1])
-        token = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        data = np.frombuffer(b"".join(words), np.uint8)
+        token = self.byte_ids[data]
         after = np.arange(1, n + 1)
         after[ends - 1] = -1
         before = np.arange(-1, n - 1)
         before[ends - sizes] = -1
+        pair = np.full(n, -1, np.int32)  # merged id of the pair that starts at a place
         index: dict[int, list[np.ndarray]] = {}
         heap: list[int] = []
         odd: list[np.ndarray] = []
@@ -107,14 +114,14 @@ class Vocabulary:
                 index[rank].append(own)
 
         inner = np.flatnonzero(after >= 0)
-        found = self.lookup(token[inner], token[after[inner]])
-        enter(inner[found >= 0], found[found >= 0])
+        pair[inner] = self.byte_pairs[data[inner], data[inner + 1]]
+        inner = np.flatnonzero(pair >= 0)
+        enter(inner, pair[inner])
         while heap:
             rank = heapq.heappop(heap)
             lists = index.pop(rank)
             places = np.unique(np.concatenate(lists)) if len(lists) > 1 else np.sort(lists[0])
-            places = places[(token[places] >= 0) & (after[places] >= 0)]
-            places = places[self.lookup(token[places], token[after[places]]) == rank]
+            places = places[pair[places] == rank]
             if (after[places[:-1]] == places[1:]).any():  # a run such as aaa: from the left, without overlap
                 kept, taken = [], -1
                 for i in places.tolist():
@@ -126,11 +133,12 @@ class Vocabulary:
                 continue
             right = after[places]
             token[places], token[right] = rank, -1
+            pair[places] = pair[right] = -1
             after[places] = follow = after[right]
             before[follow[follow >= 0]] = places[follow >= 0]
             lead = before[places]
             starts = np.concatenate([places[follow >= 0], lead[lead >= 0]])
-            found = self.lookup(token[starts], token[after[starts]])
+            pair[starts] = found = self.lookup(token[starts], token[after[starts]])
             starts, found = starts[found >= 0], found[found >= 0]
             if (found <= rank).any():
                 odd.append(starts[found <= rank])
@@ -172,8 +180,8 @@ class Vocabulary:
         return [t for t in token if t >= 0]
 
 
-#: A space at either end of a text or beside other white space.
-_ODD_SPACE = re.compile(r"(?:^|\s) | (?:\s|$)")
+#: A space before white space or the end of a text; one after other white space. (Apart they are found faster.)
+_SPACE_ODD, _ODD_SPACE = re.compile(r" (?:\s|$)"), re.compile(r"[^\S ] ")
 
 
 class _Numbers(dict):
@@ -184,25 +192,26 @@ class _Numbers(dict):
         return n
 
 
-def _split(vocab: Vocabulary, texts: list[str | None]) -> tuple[list[np.ndarray], list[str | tuple[str]]]:
-    """For each text the numbers of its pieces, and the distinct pieces by number.
+def _split(vocab: Vocabulary, texts: list[str | None], numbers: _Numbers | None = None) -> tuple[list[np.ndarray], list[str | tuple[str]]]:
+    """For each text the numbers of its pieces, and by number the pieces that ``numbers`` didn't have before.
 
     A piece is the text between two single spaces (with the space before it) where neither
     side of the space is white space: no pre-token crosses such a space, so pieces can be
     split into pre-tokens each by itself. Texts with other white space around a space are
     split into pre-tokens as a whole.
     """
-    numbers = _Numbers()
+    numbers = _Numbers() if numbers is None else numbers
+    before = len(numbers)
     rows = []
     for text in texts:
         text = text or ""
-        if _ODD_SPACE.search(text):
+        if text[:1] == " " or _SPACE_ODD.search(text) or _ODD_SPACE.search(text):
             keys = [(w,) for w in vocab.find(text)]
         else:  # a piece is numbered by its text after the space, other pre-tokens as a tuple
             first, *keys = text.split(" ")
             keys[:0] = [(w,) for w in vocab.find(first)]
         rows.append(np.fromiter(map(numbers.__getitem__, keys), np.int32, len(keys)))
-    return rows, list(numbers)
+    return rows, list(islice(numbers, before, None))
 
 
 def encode_texts(vocab: Vocabulary, texts: list[str | None]) -> tuple[list[np.ndarray], list[list[int]]]:
@@ -244,45 +253,72 @@ def _encode_pieces(vocab: Vocabulary, keys: list[str | tuple[str]]) -> list[list
     return [by_word[s[0]] if len(s) == 1 else [t for w in s for t in by_word[w]] for s in spread]
 
 
-def _run(docs: DataFrame, ranks_path: str, pattern: str, digest: bool, id_col: str, text_col: str) -> DataFrame:
+class _Met:
+    """The pieces that a task has met, and by their numbers what they are encoded to."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.vocab = vocab
+        self.numbers = _Numbers()
+        self.lengths: list[int] = []
+        self.ids: list[bytes] = []
+        self.back: list[bytes] = []
+        self.size = 0
+
+    def numbers_of(self, texts: list[str | None]) -> list[np.ndarray]:
+        """For each text the numbers of its pieces; those not met before are encoded, and their ids decoded."""
+        rows, new = _split(self.vocab, texts, self.numbers)
+        words, tokens = self.vocab.texts, self.vocab.tokens
+        for ids in _encode_pieces(self.vocab, new):
+            self.lengths.append(len(ids))
+            self.ids.append(b" ".join([words[t] for t in ids]))
+            self.back.append(b"".join([tokens[t] for t in ids]))
+            self.size += 200 + len(self.ids[-1]) + 2 * len(self.back[-1])
+        return rows
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``token_ids``, ``n_tokens`` of every row, as the rank file's encoder gives them."""
     tokens = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = None
         for part in chunks(batches, limit=REPLAYED):
             vocab = vocab or Vocabulary(tokens.value, pattern)
-            texts = part.column(1).to_pylist()
-            rows, pieces = encode_texts(vocab, texts)
+            rows, pieces = encode_texts(vocab, part.column(1).to_pylist())
             lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
             counts = [int(lengths[r].sum()) for r in rows]
-            if digest:
-                names = [" ".join([vocab.texts[t] for t in p]) for p in pieces]
-                back = [b"".join([vocab.tokens[t] for t in p]) for p in pieces]
-                ids_sha, back_sha = [], []
-                for r in rows:
-                    own = r.tolist()
-                    ids_sha.append(hashlib.sha256(" ".join([names[i] for i in own]).encode()).hexdigest())
-                    back_sha.append(hashlib.sha256(b"".join([back[i] for i in own])).hexdigest())
-                columns = [part.column(0).combine_chunks(), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(back_sha, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-            else:
-                offsets = np.concatenate([[0], np.cumsum(counts)])
-                values = np.fromiter((t for r in rows for i in r.tolist() for t in pieces[i]), np.int32, int(offsets[-1]))
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
-                yield pa.RecordBatch.from_arrays([part.column(0).combine_chunks(), ids, pa.array(counts, pa.int64())], ["doc_id", "token_ids", "n_tokens"])
-
-    own = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
-    return own.mapInArrow(task, DIGESTED if digest else ENCODED)
+            offsets = np.concatenate([[0], np.cumsum(counts)])
+            values = np.fromiter((t for r in rows for i in r.tolist() for t in pieces[i]), np.int32, int(offsets[-1]))
+            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+            yield pa.RecordBatch.from_arrays([part.column(0).combine_chunks(), ids, pa.array(counts, pa.int64())], ["doc_id", "token_ids", "n_tokens"])
 
-
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``token_ids``, ``n_tokens`` of every row, as the rank file's encoder gives them."""
-    return _run(docs, ranks_path, pattern, False, id_col, text_col)
+    return _texts(docs, id_col, text_col).mapInArrow(task, ENCODED)
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and decode again; per row the number of ids and the hashes of ids and decoded bytes."""
-    return _run(docs, ranks_path, pattern, True, id_col, text_col)
+    tokens = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = met = None
+        for part in chunks(batches, limit=REPLAYED):
+            vocab = vocab or Vocabulary(tokens.value, pattern)
+            met = met if met and met.size <= MET else _Met(vocab)
+            rows = met.numbers_of(part.column(1).to_pylist())
+            counts, ids_sha, back_sha = [], [], []
+            for r in rows:
+                own = r.tolist()
+                counts.append(sum(map(met.lengths.__getitem__, own)))
+                ids_sha.append(hashlib.sha256(b" ".join(map(met.ids.__getitem__, own))).hexdigest())
+                back_sha.append(hashlib.sha256(b"".join(map(met.back.__getitem__, own))).hexdigest())
+            columns = [part.column(0).combine_chunks(), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(back_sha, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return _texts(docs, id_col, text_col).mapInArrow(task, DIGESTED)
 
 
 def with_tokens(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:

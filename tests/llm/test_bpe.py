@@ -79,6 +79,39 @@ def test_with_tokens_across_steps(spark, known, monkeypatch):
     assert got == sorted(((i, t, (own := known.encode_ordinary(t or "")), len(own), True) for i, t in rows), key=str)
 
 
+@pytest.mark.parametrize("kept", [bpe.REPLAYED, 3_000])
+def test_digests_across_steps(spark, known, monkeypatch, kept):
+    """Pieces met in earlier steps of a task, with all kept or few, beside odd spaces and rows without text."""
+    monkeypatch.setattr(bpe, "REPLAYED", 600)
+    monkeypatch.setattr(bpe, "MET", kept)
+    rng = random.Random(7)
+    words = ["the", "Straße", "re-run", "漢字", "x" * 60, "a\tb", "don't", "\n", "aaaaaa", "𝒳y", "", "\x85", "e\n"]
+    rows = [(None, None), (0, ""), (1, " "), (2, " a"), (3, "a "), *((i, " ".join(rng.choice(words[:rng.choice([7, 13])]) for _ in range(rng.randint(0, 60)))) for i in range(4, 200))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = [(i, len(own := known.encode_ordinary(t or "")), sha(" ".join(map(str, own)).encode()), sha((t or "").encode())) for i, t in rows]
+    assert sorted(map(tuple, bpe.digests(df, PATH, P.PATTERN).collect()), key=str) == sorted(want, key=str)
+
+
+def test_words_of_a_task_are_replayed_once(monkeypatch):
+    """The task of digests alone, in four steps over the same words."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    context = SimpleNamespace(broadcast=lambda x: SimpleNamespace(value=x))
+    docs = SimpleNamespace(sparkSession=SimpleNamespace(sparkContext=context), selectExpr=lambda *a: SimpleNamespace(mapInArrow=lambda task, schema: task))
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefgh", k=12)) for _ in range(50)]
+    texts = ["x " + " ".join(rng.sample(words, 50)) for _ in range(4)]
+    monkeypatch.setattr(bpe, "REPLAYED", len(texts[0]) + 50)
+    replayed = []
+    monkeypatch.setattr(bpe.Vocabulary, "replay", lambda self, words, f=bpe.Vocabulary.replay: replayed.extend(words) or f(self, words))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    assert len(list(bpe.digests(docs, PATH, P.PATTERN)(iter([batch])))) == 4
+    assert 0 < len(replayed) == len(set(replayed)) <= 50
+
+
 def test_tokens_of_long_task_in_little_memory(vocab):
     """Some megabytes of text in steps, as a task of with_tokens takes them: less than a hundred bytes a byte of a step."""
     import tracemalloc
