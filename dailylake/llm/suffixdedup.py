@@ -307,6 +307,11 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str =
 
 
 def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered query: what is left of every document without passages of 400 bytes that occur elsewhere."""
+    """Registered query: what is left of every document without passages of 400 bytes that occur elsewhere.
+
+    ``text`` is that rest to be read: a character that a passage cuts through is U+FFFD there, while
+    the hash is that of the bytes. ``n_bytes`` is the length of the input.
+    """
     out = remove(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    rest = F.make_valid_utf8(F.col("kept").cast("string"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), rest.alias("text"))

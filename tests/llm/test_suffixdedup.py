@@ -1,5 +1,6 @@
 """Removed passages against brute force over all windows; the factor arrays themselves."""
 
+import hashlib
 import random
 from collections import Counter
 
@@ -97,3 +98,21 @@ def test_very_long_text(spark):
     got = {r.doc_id: r for r in S.remove(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1].n_spans == 2 and 1400 <= got[1].n_removed < 1420 and got[2].n_spans == 1 and 700 <= got[2].n_removed < 720
     assert got[3].n_removed == 0 and bytes(got[3].kept).decode() == rows[2][1]
+
+
+def test_query_returns_the_rest_to_be_read(spark, tmp_path):
+    """Passages of 60 long words go from both texts, one of 55 short words (below 400 bytes) stays; cut characters are marked."""
+    rng = random.Random(11)
+    words = lambda n, k: " ".join("".join(rng.choices("abcdefgh", k=k)) for _ in range(n))
+    long, short, cut = words(60, 8), words(55, 5), words(50, 9)
+    rows = [(1, f"{words(70, 6)}\n{long}\n{words(9, 6)}"), (2, f"{long}\n{words(80, 6)}"), (3, f"{words(5, 6)} {short}"), (4, f"{short} {words(5, 7)}"),
+            (5, "Aé" + cut), (6, "B©" + cut + "é"), (7, words(300, 6)), (8, None), (9, ""), (None, "漢字")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in S.suffix_dedup(spark, str(tmp_path)).collect()}
+    for i, kept, size, removed, spans in plain(rows, 400):
+        r = got[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (size, removed, spans, hashlib.sha256(kept).hexdigest())
+        assert r.text == kept.decode(errors="replace")
+    assert long not in got[1].text and long not in got[2].text and min(got[1].n_removed, got[2].n_removed) >= 400
+    assert [got[i].text for i in (3, 4, 7, 9, None)] == [rows[k][1] for k in (2, 3, 6, 8, 9)] and got[8].text == ""
+    assert got[5].text == "A\ufffd" and got[6].text == "B\ufffdé"
