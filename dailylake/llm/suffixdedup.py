@@ -29,7 +29,8 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,12 @@ BLOCK = 10
 #: Windows that are sorted at a time; whole grams, so BUCKET runs more at most.
 SORTED = 20_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Words of a passage that ``repeated`` names, and of the grams that deal its windows.
+WORDS = 51
+WORD_GRAM = 16
+#: Text bytes that one step of that search holds at a time: some ten numbers a word.
+WORD_BYTES = 3 << 20
+_STEPS = (0xD1342543DE82EF95, 0x2545F4914F6CDD1D)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 
 RUNS = "doc_id long, th long, at int, wide int, lead int, gram long, s1 long, s2 long"
@@ -65,21 +72,26 @@ def gram_hashes(data: bytes, gram: int) -> np.ndarray:
     return h
 
 
+def _anchors(h: np.ndarray, n: int) -> np.ndarray:
+    """For every window of ``n`` grams the place of the one of smallest hash."""
+    m = len(h)
+    value = (h & _HIGH) | np.arange(m, dtype=np.uint64)  # the place decides between equals: leftmost
+    blocks = np.concatenate([value, np.full(-m % n, np.iinfo(np.uint64).max)]).reshape(-1, n)
+    left = np.minimum.accumulate(blocks, axis=1).ravel()
+    right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    windows = m - n + 1
+    return (np.minimum(right[:windows], left[n - 1:n - 1 + windows]) & ~_HIGH).astype(np.int64)
+
+
 def runs(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First and last window of every run, its anchor, and the anchor's gram hash."""
     if len(data) < length:
         none = np.empty(0, np.int64)
         return none, none, none, none
     h = gram_hashes(data, gram)
-    m, n = len(h), length - gram + 1
-    value = (h & _HIGH) | np.arange(m, dtype=np.uint64)  # the place decides between equals: leftmost
-    blocks = np.concatenate([value, np.full(-m % n, np.iinfo(np.uint64).max)]).reshape(-1, n)
-    left = np.minimum.accumulate(blocks, axis=1).ravel()
-    right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    windows = m - n + 1
-    anchor = (np.minimum(right[:windows], left[n - 1:n - 1 + windows]) & ~_HIGH).astype(np.int64)
+    anchor = _anchors(h, length - gram + 1)
     cut = np.flatnonzero(np.diff(anchor)) + 1
-    first, last = np.concatenate([[0], cut]), np.concatenate([cut - 1, [windows - 1]])
+    first, last = np.concatenate([[0], cut]), np.concatenate([cut - 1, [len(anchor) - 1]])
     return first, last, anchor[first], h[anchor[first]].view(np.int64)
 
 
@@ -117,6 +129,29 @@ def factors(spans: list[bytes], length: int) -> tuple[list[int], list[int]]:
     return previous, following
 
 
+def _reach(parts: list[bytes]) -> list[int]:
+    """The longest prefix that each part shares with another one."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    best = [0] * len(parts)
+    for i, j in zip(order, order[1:]):
+        n = min(len(parts[i]), len(parts[j]))
+        a, b = parts[i][:n], parts[j][:n]
+        shared = n if a == b else n - (7 + (int.from_bytes(a) ^ int.from_bytes(b)).bit_length()) // 8
+        best[i], best[j] = max(best[i], shared), max(best[j], shared)
+    return best
+
+
+def candidates(spans: list[tuple[int, bytes]], length: int) -> list[tuple[int, int]]:
+    """First and last window (last < first: none) of every run of one gram that may have an equal one.
+
+    ``spans``: lead and bytes. Equal windows lie alike about the anchor, so a window takes no
+    more bytes left of it, and none right of it, than the run shares with another one there.
+    """
+    before = _reach([data[:lead][::-1] for lead, data in spans])
+    after = _reach([data[lead:] for lead, data in spans])
+    return [(lead - b, lead + a - length) for (lead, _), b, a in zip(spans, before, after)]
+
+
 def _stretches(flags: list[bool]) -> Iterator[tuple[int, int]]:
     """First and last of every stretch of true flags."""
     edges = np.flatnonzero(np.diff(np.concatenate([[False], flags, [False]]).astype(np.int8)))
@@ -160,10 +195,17 @@ def _sort_buckets(cut: DataFrame, length: int, first: bool) -> DataFrame:
         def solve() -> pa.RecordBatch:
             held.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
             own = [r for i, r in enumerate(held) if not i or r[:5] != held[i - 1][:5]]
-            previous, following = factors([r[5] for r in own], length)
+            kept = {}
+            for _, group in groupby(sorted(range(len(own)), key=lambda k: own[k][0]), key=lambda k: own[k][0]):
+                places = list(group)
+                for k, (a, b) in zip(places, candidates([own[k][4:] for k in places], length)):
+                    if a <= b:
+                        kept[k] = a, own[k][5][a:b + length]
+            own = [(*own[k][:3], own[k][3] + a, data) for k, (a, data) in sorted(kept.items())]
+            previous, following = factors([r[4] for r in own], length)
             rows, start = [], 0
             for r in own:
-                n = len(r[5]) - length + 1
+                n = len(r[4]) - length + 1
                 flags = [p >= length or (not first and q >= length) for p, q in zip(previous[start:start + n], following[start:start + n])]
                 rows += [(r[1], r[2], r[3] + a, r[3] + b + length) for a, b in _stretches(flags)]
                 start += n
@@ -278,13 +320,107 @@ def passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str
     return copies.unionByName(_sort_buckets(cut.where("not many").drop("many"), length, first)).unionByName(_by_window(cut.where("many").drop("many"), length, first))
 
 
+def word_sums(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number of every word of the texts, and prefix sums of its two hashes times powers of ``_STEPS``."""
+    words = [t.split() for t in texts]
+    of = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+    digest = xxhash.xxh3_128_digest
+    hashes = np.frombuffer(b"".join([digest(w) for t in words for w in t]), np.uint64).reshape(-1, 2)
+    sums = np.zeros((2, len(of) + 1), np.uint64)
+    for k, step in enumerate(_STEPS):
+        np.cumsum(hashes[:, k] * _powers(step, len(of)), out=sums[k, 1:])
+    return of, sums, np.stack([_powers(pow(step, -1, 1 << 64), len(of) + 1) for step in _STEPS])
+
+
+def _powers(step: int, n: int) -> np.ndarray:
+    out = np.full(n, step, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_runs(texts: list[bytes], words: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, Callable[[np.ndarray, np.ndarray], np.ndarray]]:
+    """Text number, first and last window, anchor and its gram's hash of every run; a function hashes words from-to."""
+    of, sums, back = word_sums(texts)
+
+    def hashed(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (sums[:, end] - sums[:, start]) * back[:, start]
+
+    windows = np.arange(max(0, len(of) - words + 1))
+    windows = windows[of[windows] == of[windows + words - 1]]
+    if not len(windows):
+        none = np.empty(0, np.int64)
+        return none, none, none, none, none, hashed
+    places = np.arange(len(of) - gram + 1)
+    h = hashed(places, places + gram)[0] * _MIX
+    h ^= h >> np.uint64(29)
+    anchor = _anchors(h, words - gram + 1)[windows]
+    cut = np.flatnonzero(np.diff(anchor)) + 1
+    first, last = windows[np.concatenate([[0], cut])], windows[np.concatenate([cut - 1, [len(windows) - 1]])]
+    at = anchor[np.concatenate([[0], cut])]
+    return of[first], first, last, at, h[at].view(np.int64), hashed
+
+
+def repeated(docs: DataFrame, words: int = WORDS, gram: int = WORD_GRAM) -> DataFrame:
+    """``of``, ``of_th`` of every document with a passage of ``words`` words that another row has too.
+
+    Words are split at ASCII white space, whose kind and number don't matter. ``docs`` as for
+    ``passages``. Windows of words are dealt as those of bytes are: of the runs whose gram two
+    texts share, those alike as a whole settle their texts, and only grams that a text not settled
+    shares go on by window. A text is known by its 64-bit hash, a window by 128 bits.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, limit=WORD_BYTES):
+            th = part.column(0).to_numpy()
+            of, first, last, anchor, own, hashed = word_runs(part.column(1).to_pylist(), words, gram)
+            if len(of):
+                # the place of the anchor counts too: runs alike in it have equal windows at equal places
+                s = hashed(first, last + words) + ((anchor - first).astype(np.uint64) + np.uint64(1)) * _MIX
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (th[of], own, *s.view(np.int64))], ["th", "gram", "s1", "s2"])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, limit=WORD_BYTES):
+            th = part.column(0).to_numpy()
+            of, first, last, _, own, hashed = word_runs(part.column(1).to_pylist(), words, gram)
+            keep = np.isin(own, np.unique(part.column(2).combine_chunks().flatten().to_numpy()))
+            size = (last - first + 1)[keep]
+            at = np.repeat(first[keep] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            w = hashed(at, at + words).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (np.repeat(th[of[keep]], size), *w)], ["th", "w1", "w2"])
+
+    ids = materialize(docs.groupBy("th").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")), "texts")
+    own = materialize(docs.select("th", "data").mapInArrow(task, "th long, gram long, s1 long, s2 long"), "word-runs")
+    # grams of two texts at least; what follows is small beside all runs
+    pairs = own.groupBy("gram").agg(F.min("th").alias("a"), F.max("th").alias("b")).where("a != b").select("gram")
+    met = materialize(own.join(pairs, "gram", "left_semi"), "word-runs-met")
+    alike = ["gram", "s1", "s2"]
+    kinds = materialize(met.groupBy(*alike).agg(F.min("th").alias("th"), F.max("th").alias("other")), "word-kinds")
+    whole = met.join(kinds.where("th != other").select(*alike), alike).select("th")
+    copies = own.select("th").distinct().join(ids.where("n > 1").select("th"), "th", "left_semi")
+    settled = materialize(whole.unionByName(copies).distinct(), "settled")
+    open_kinds = kinds.where("th = other").join(settled, "th", "left_anti").select("gram").distinct()
+    wanted = kinds.join(open_kinds, "gram", "left_semi").groupBy("th").agg(F.collect_set("gram").alias("grams"))
+    lists = wanted.join(ids, "th").select(F.col("th").alias("of_th"), F.col("doc_id").alias("of"), "grams")
+    joined = docs.join(lists, _same(docs, lists)).select("th", "data", "grams")
+    single = materialize(joined.mapInArrow(windows, "th long, w1 long, w2 long").distinct(), "word-windows")
+    classes = single.groupBy("w1", "w2").agg(F.count("*").alias("texts")).where("texts > 1").select("w1", "w2")
+    found = settled.unionByName(single.join(classes, ["w1", "w2"]).select("th")).distinct()
+    return docs.select("doc_id", "th").join(found, "th").select(F.col("doc_id").alias("of"), F.col("th").alias("of_th"))
+
+
 def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str = "none", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``kept`` (the remaining bytes), ``n_bytes``, ``n_removed``, ``n_spans`` of every row."""
+    """``doc_id``, ``kept`` (the remaining bytes), ``n_bytes``, ``n_removed``, ``n_spans`` of every row.
+
+    ``repeated``: whether the text has a passage of over 50 words that another row has too; such a
+    passage may be shorter than ``length`` bytes and then stays in ``kept``.
+    """
     data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), data.alias("data"), F.xxhash64(data).alias("th"))
     found = passages(own, length, gram, keep)
-    lists = materialize(found.groupBy("of", "of_th").agg(F.collect_set(F.struct("start", "end")).alias("cuts")), "cuts")
-    joined = own.join(lists, _same(own, lists), "left").select("doc_id", "data", "cuts")
+    cuts = found.select("of", "of_th", F.struct("start", "end").alias("cut"), F.lit(False).alias("again"))
+    marks = repeated(own).select("of", "of_th", F.lit(None).cast("struct<start:int,end:int>").alias("cut"), F.lit(True).alias("again"))
+    lists = materialize(cuts.unionByName(marks).groupBy("of", "of_th").agg(F.collect_set("cut").alias("cuts"), F.max("again").alias("again")), "cuts")
+    joined = own.join(lists, _same(own, lists), "left").select("doc_id", "data", "cuts", F.coalesce("again", F.lit(False)).alias("again"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
@@ -301,17 +437,19 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep: str =
                         end = c["end"]
                 rows.append((b"".join([*kept, text[end:]]), len(text), removed, spans))
             columns = zip(*rows)
-            yield pa.RecordBatch.from_arrays([part.column(0).combine_chunks(), *(pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.int64(), pa.int64(), pa.int64())))], ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
+            numbers = [pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.int64(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([part.column(0).combine_chunks(), *numbers, part.column(3).combine_chunks()], ["doc_id", "kept", "n_bytes", "n_removed", "n_spans", "repeated"])
 
-    return joined.mapInArrow(task, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    return joined.mapInArrow(task, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, repeated boolean")
 
 
 def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: what is left of every document without passages of 400 bytes that occur elsewhere.
 
     ``text`` is that rest to be read: a character that a passage cuts through is U+FFFD there, while
-    the hash is that of the bytes. ``n_bytes`` is the length of the input.
+    the hash is that of the bytes. ``n_bytes`` is the length of the input. ``repeated`` names the
+    documents with a passage of over 50 words that another one has too, removed or not.
     """
     out = remove(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     rest = F.make_valid_utf8(F.col("kept").cast("string"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), rest.alias("text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), rest.alias("text"), "repeated")

@@ -116,3 +116,63 @@ def test_query_returns_the_rest_to_be_read(spark, tmp_path):
     assert long not in got[1].text and long not in got[2].text and min(got[1].n_removed, got[2].n_removed) >= 400
     assert [got[i].text for i in (3, 4, 7, 9, None)] == [rows[k][1] for k in (2, 3, 6, 8, 9)] and got[8].text == ""
     assert got[5].text == "A\ufffd" and got[6].text == "B\ufffdé"
+
+
+def test_candidates():
+    """Every window that another run has too is a candidate, and few others are."""
+    rng = random.Random(3)
+    for _ in range(60):
+        gram = bytes(rng.choice(b"ab") for _ in range(6))
+        spans = []
+        for _ in range(5):
+            before = bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 14)))
+            spans.append((len(before), before + gram + bytes(rng.choice(b"ab") for _ in range(20 - 6 - rng.randint(0, len(before)) + 2))))
+        spans = [(lead, data) for lead, data in spans if len(data) >= 20]
+        for k, ((lead, data), (a, b)) in enumerate(zip(spans, S.candidates(spans, 20))):
+            others = {(o - i, d[i:i + 20]) for j, (o, d) in enumerate(spans) if j != k for i in range(min(o, len(d) - 20) + 1)}
+            equal = [i for i in range(min(lead, len(data) - 20) + 1) if (lead - i, data[i:i + 20]) in others]
+            assert all(a <= i <= b for i in equal)
+            assert a >= 0 and b <= len(data) - 20
+
+
+def in_two(rows, words):
+    """Positions of the rows with ``words`` words on end that another row has too."""
+    own = [(t or "").encode().split() for _, t in rows]
+    found = [{tuple(w[k:k + words]) for k in range(len(w) - words + 1)} for w in own]
+    rows_of = Counter(x for f in found for x in f)
+    return [any(rows_of[x] > 1 for x in f) for f in found]
+
+
+@pytest.mark.parametrize("seed,gram,held", [(1, 4, 3 << 20), (2, 3, 300), (3, 12, 3 << 20)])
+def test_repeated(spark, monkeypatch, seed, gram, held):
+    monkeypatch.setattr(S, "WORD_BYTES", held)
+    rng = random.Random(seed)
+    words = lambda n: [rng.choice(["a", "b", "é", "dd"]) for _ in range(n)]
+    shared = [words(n) for n in (11, 12, 12, 13, 20, 40)]
+    rows = []
+    for i in range(120):
+        parts = [words(rng.choice([0, 5, 12, 60])) for _ in range(2)]
+        parts[1:1] = [rng.choice(shared)] * (rng.random() < 0.4)
+        rows.append((i, rng.choice([" ", "\n", " \t "]).join(w for p in parts for w in p)))
+    once = " ".join(words(30))
+    rows += [(200, f"{once} x {once}"), (201, " ".join(["z"] * 90)), (202, "q " * 12), (202, "q " * 12), (None, "w " * 14), (None, "w " * 14),
+             (203, "k " * 11), (203, "k " * 11), (204, None), (205, ""), (204, None), (206, " ".join(shared[5])), (None, "v " + " ".join(shared[5]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).withColumn("data", F.coalesce("text", F.lit("")).cast("binary"))
+    docs = docs.withColumn("th", F.xxhash64("data")).select("doc_id", "data", "th")
+    got = {(r.of, r.of_th) for r in S.repeated(docs, 12, gram).collect()}
+    at = {(r.doc_id, bytes(r.data)): r.th for r in docs.collect()}
+    want = in_two(rows, 12)
+    assert {(i, at[i, (t or "").encode()]) for (i, t), w in zip(rows, want) if w} == got
+    assert 20 < sum(want) < len(rows) - 20
+
+
+def test_query_names_passages_of_over_50_words(spark, tmp_path):
+    """A passage of 51 short words stays in both texts, which are named; one of 50 words names none."""
+    rng = random.Random(12)
+    words = lambda n, k: " ".join("".join(rng.choices("abcdefgh", k=k)) for _ in range(n))
+    over, under = words(51, 4), words(50, 4)
+    rows = [(1, f"{words(70, 6)} {over} {words(9, 6)}"), (2, f"{words(3, 6)}\n{over}"), (3, f"{words(9, 6)} {under} {words(40, 5)}"), (4, f"{under} {words(40, 5)}"), (5, words(300, 6)), (6, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in S.suffix_dedup(spark, str(tmp_path)).collect()}
+    assert [got[i].repeated for i in range(1, 7)] == [True, True, False, False, False, False]
+    assert all(got[i].n_removed == 0 and got[i].text == (t or "") for i, t in rows)
